@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import DATE_FORMATS, NULL_TOKENS, PRODUCER
+from .constants import DATE_FORMATS, NULL_TOKENS, PRODUCER, TWO_DIGIT_CENTURY_START
 
 
 def _c(c: Column | str) -> Column:
@@ -29,10 +29,22 @@ def try_decimal(c: Column | str, precision: int = 18, scale: int = 5) -> Column:
     return _c(c).try_cast(f"decimal({precision},{scale})")
 
 
-def tolerant_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """PRJ-3/PRJ-4: first layout that parses wins; none parses -> NULL."""
+def tolerant_date(
+    c: Column | str, formats: Sequence[str] = DATE_FORMATS, century_start: int = TWO_DIGIT_CENTURY_START
+) -> Column:
+    """PRJ-3/PRJ-4: first layout that parses wins; none parses -> NULL.
+
+    Spark reads a two-digit year as 20xx; layouts with ``yy`` (not ``yyyy``)
+    are moved into the 100-year window that starts at ``century_start``.
+    """
     col = F.trim(_c(c))
-    return F.coalesce(*[F.try_to_date(col, F.lit(fmt)) for fmt in formats])
+    parsed = []
+    for fmt in formats:
+        d = F.try_to_date(col, fmt)
+        if "yy" in fmt and "yyyy" not in fmt:
+            d = F.when(F.year(d) >= century_start + 100, F.add_months(d, -1200)).otherwise(d)
+        parsed.append(d)
+    return F.coalesce(*parsed)
 
 
 def shutin_flag(well_type: Column | str, measures: Sequence[Column | str], producer: str = PRODUCER) -> Column:

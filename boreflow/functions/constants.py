@@ -9,6 +9,8 @@ BBL_PER_SM3 = Decimal("6.2898")
 NULL_TOKENS = ("", "NULL", "NaN")
 # Date layouts accepted by the tolerant parser, tried in this order.
 DATE_FORMATS = ("yyyy-MM-dd", "dd-MM-yy")
+# Two-digit years fall in the 100 years starting here.
+TWO_DIGIT_CENTURY_START = 1970
 # Well role that produces oil; injector label.
 PRODUCER = "OP"
 INJECTOR = "WI"

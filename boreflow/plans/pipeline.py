@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import dims, fact, gold, timeseries
+from ..operators import dims, fact, gold, silver, timeseries
 from . import standin
 
 
@@ -66,3 +66,36 @@ class Pipeline:
     @cached_property
     def reconcile(self) -> DataFrame:
         return gold.reconcile_detail(self.well_day, self.monthly_reported)
+
+    # --- bronze / silver from untyped stand-ins --------------------------------
+    @cached_property
+    def bronze_daily(self) -> DataFrame:
+        return standin.bronze_daily(self.spark, self.sf_dir)
+
+    @cached_property
+    def bronze_monthly(self) -> DataFrame:
+        return standin.bronze_monthly(self.spark, self.sf_dir)
+
+    @cached_property
+    def silver_daily(self) -> tuple[DataFrame, DataFrame]:
+        return silver.clean_daily(self.bronze_daily)
+
+    @cached_property
+    def silver_monthly(self) -> DataFrame:
+        return silver.clean_monthly(self.bronze_monthly)
+
+    @cached_property
+    def event_pages(self) -> DataFrame:
+        return standin.event_pages(self.spark, self.sf_dir)
+
+    @cached_property
+    def fx_payloads(self) -> DataFrame:
+        return standin.fx_payloads(self.spark, self.sf_dir)
+
+    @cached_property
+    def dim_entity(self) -> DataFrame:
+        return dims.dim_latest(self.well_day)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dims.calendar(self.well_day)

@@ -203,3 +203,178 @@ STANDIN_ORDER = ("names", "well_day", "price", "fx", "monthly_reported", "price_
 def standin_ctes() -> str:
     """All stand-in CTEs, in dependency order, for a ``WITH`` list."""
     return ",\n".join(f"{name} AS ({STANDIN_SQL[name]})" for name in STANDIN_ORDER)
+
+
+# ---------------------------------------------------------------------------
+# Untyped bronze stand-ins (all STRING), with deliberate defects.
+# A defect code k = (well_id * 31 + day number) mod 97 picks which value of a
+# row is damaged; every row is kept, and rows with k = 10 appear twice (a
+# duplicated key for DQ-2).
+# ---------------------------------------------------------------------------
+
+
+def _s(c: str) -> F.Column:
+    return F.col(c).cast("string")
+
+
+def bronze_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw daily production as the CSV load leaves it: 24 text columns."""
+    from ..functions.cleaning import null_tokens
+    from ..operators.silver import RAW_DAILY
+
+    w = well_day(spark, sf_dir)
+    k = F.pmod(F.col("well_id") * 31 + F.datediff("prod_date", F.lit("1970-01-01").cast("date")), F.lit(97))
+    w = w.withColumn("_k", k)
+
+    def when_k(cases: dict[int, F.Column], default: F.Column) -> F.Column:
+        out = default
+        for code, val in reversed(list(cases.items())):
+            out = F.when(F.col("_k") == code, val).otherwise(out)
+        return out
+
+    third = F.pmod(F.col("_k"), F.lit(3)) == 0
+    raw = w.select(
+        when_k({0: F.date_format("prod_date", "dd-MM-yy"), 1: F.lit("not a date")}, _s("prod_date")).alias("dateprd"),
+        F.concat(F.lit("NO "), _s("well_id")).alias("well_bore_code"),
+        _s("well_id").alias("npd_well_bore_code"),
+        F.col("well_name").alias("npd_well_bore_name"),
+        F.upper(F.substring("field_name", 1, 3)).alias("npd_field_code"),
+        F.col("field_name").alias("npd_field_name"),
+        F.upper(F.substring("facility_name", 1, 3)).alias("npd_facility_code"),
+        F.col("facility_name").alias("npd_facility_name"),
+        when_k({11: F.lit("NaN")}, F.when(F.col("is_shutin"), F.lit("0")).otherwise(F.lit("24"))).alias("on_stream_hrs"),
+        F.when(third, F.lit(None).cast("string")).otherwise(_s("avg_whp")).alias("avg_downhole_pressure"),
+        F.when(third, F.lit(None).cast("string")).otherwise(_s("avg_choke_size")).alias("avg_downhole_temperature"),
+        F.when(third, F.lit(None).cast("string")).otherwise(_s("dp_choke_size")).alias("avg_dp_tubing"),
+        F.when(F.pmod(F.col("_k"), F.lit(5)) == 0, F.lit("")).otherwise(_s("avg_whp")).alias("avg_annulus_press"),
+        when_k({12: F.concat(F.lit("-"), _s("avg_choke_size"))}, _s("avg_choke_size")).alias("avg_choke_size_p"),
+        F.lit("%").alias("avg_choke_uom"),
+        _s("avg_whp").alias("avg_whp_p"),
+        F.when(F.pmod(F.col("_k"), F.lit(4)) == 0, F.lit("NULL")).otherwise(_s("avg_choke_size")).alias("avg_wht_p"),
+        _s("dp_choke_size").alias("dp_choke_size"),
+        when_k({2: F.lit("bad"), 3: F.lit(""), 4: F.lit("NaN"), 5: F.lit("NULL"),
+                6: F.concat(F.lit("-"), _s("oil_vol_sm3"))}, _s("oil_vol_sm3")).alias("bore_oil_vol"),
+        when_k({7: F.lit("n/a")}, _s("gas_vol_sm3")).alias("bore_gas_vol"),
+        when_k({8: F.lit("")}, _s("water_vol_sm3")).alias("bore_wat_vol"),
+        F.when(F.col("well_type") == "WI", _s("gas_vol_sm3")).alias("bore_wi_vol"),
+        F.when(F.col("well_type") == "WI", F.lit("injection")).otherwise(F.lit("production")).alias("flow_kind"),
+        when_k({9: F.concat(F.lit(" "), F.col("well_type"))}, F.col("well_type")).alias("well_type"),
+        F.col("_k"),
+    )
+    loaded = raw.select(*[null_tokens(c).alias(c) for c in RAW_DAILY], "_k")
+    return loaded.unionByName(loaded.where(F.col("_k") == 10)).drop("_k")
+
+
+def bronze_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw monthly production (10 text columns) with its units row."""
+    m = monthly_reported(spark, sf_dir)
+    rows = m.select(
+        F.col("well_name").alias("wellbore_name"),
+        F.upper(F.substring("well_name", 1, 3)).alias("npd_code"),
+        _s("prod_year").alias("year"),
+        _s("prod_month").alias("month"),
+        F.lit(None).cast("string").alias("on_stream_hrs"),
+        _s("oil_sm3").alias("oil_sm3"),
+        _s("gas_sm3").alias("gas_sm3"),
+        F.lit(None).cast("string").alias("water_sm3"),
+        F.lit(None).cast("string").alias("gi_sm3"),
+        F.lit(None).cast("string").alias("wi_sm3"),
+    )
+    units = spark.createDataFrame(
+        [(None, "", "", "", "hrs", "Sm3", "Sm3", "Sm3", "Sm3", "Sm3")], rows.schema
+    )
+    return rows.unionByName(units)
+
+
+def event_pages(spark: SparkSession, sf_dir: str, page_size: int = 5000) -> DataFrame:
+    """Paged JSON payloads built from ``events``, as a paged API returns them.
+
+    Page p holds events p*page_size … (p+1)*page_size inclusive, so adjacent
+    pages overlap by one record; every page reports the series total. Pages
+    are bounded by ``page_size``, so no payload grows with the data.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    total = ev.agg(F.count(F.lit(1))).scalar()
+    page = F.floor(F.col("event_id") / page_size).cast("bigint")
+    on_edge = (F.pmod(F.col("event_id"), F.lit(page_size)) == 0) & (F.col("event_id") > 0)
+    pages = F.when(on_edge, F.array(page, page - 1)).otherwise(F.array(page))
+    rec = F.struct(
+        F.col("event_id").alias("id"),
+        _s("ts").alias("period"),
+        _s("value").alias("value"),
+        F.col("event_type").alias("series-description"),
+        F.lit("$/BBL").alias("units"),
+    )
+    docs = ev.select(F.explode(pages).alias("page"), rec.alias("rec")).groupBy("page").agg(
+        F.sort_array(F.collect_list("rec")).alias("data"), F.count(F.lit(1)).alias("n")
+    )
+    body = F.struct(F.struct(total.alias("total"), F.lit("daily").alias("frequency"), F.col("data")).alias("response"))
+    return docs.select("page", F.parse_json(F.to_json(body)).alias("raw"))
+
+
+def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX as top-level JSON arrays, one document per calendar month (at most
+    31 records each), built from the ``fx`` stand-in."""
+    f = fx(spark, sf_dir)
+    rec = F.struct(_s("rate_date").alias("date"), F.col("nok_per_usd").alias("rate"))
+    docs = f.groupBy(F.trunc("rate_date", "month").alias("month")).agg(F.sort_array(F.collect_list(rec)).alias("a"))
+    return docs.select("month", F.parse_json(F.to_json("a")).alias("raw"))
+
+
+_BRONZE_DAILY_SQL = """
+  WITH w AS (SELECT *, (well_id * 31 + (prod_date - DATE '1970-01-01')) % 97 AS k FROM well_day),
+  r AS (
+    SELECT
+      CASE k WHEN 0 THEN strftime(prod_date, '%d-%m-%y') WHEN 1 THEN 'not a date'
+             ELSE CAST(prod_date AS VARCHAR) END AS dateprd,
+      'NO ' || CAST(well_id AS VARCHAR) AS well_bore_code,
+      CAST(well_id AS VARCHAR) AS npd_well_bore_code,
+      well_name AS npd_well_bore_name,
+      upper(substring(field_name, 1, 3)) AS npd_field_code,
+      field_name AS npd_field_name,
+      upper(substring(facility_name, 1, 3)) AS npd_facility_code,
+      facility_name AS npd_facility_name,
+      CASE WHEN k = 11 THEN 'NaN' WHEN is_shutin THEN '0' ELSE '24' END AS on_stream_hrs,
+      CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(avg_whp AS VARCHAR) END AS avg_downhole_pressure,
+      CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(avg_choke_size AS VARCHAR) END AS avg_downhole_temperature,
+      CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(dp_choke_size AS VARCHAR) END AS avg_dp_tubing,
+      CASE WHEN k % 5 = 0 THEN '' ELSE CAST(avg_whp AS VARCHAR) END AS avg_annulus_press,
+      CASE WHEN k = 12 THEN '-' || CAST(avg_choke_size AS VARCHAR) ELSE CAST(avg_choke_size AS VARCHAR) END
+        AS avg_choke_size_p,
+      '%' AS avg_choke_uom,
+      CAST(avg_whp AS VARCHAR) AS avg_whp_p,
+      CASE WHEN k % 4 = 0 THEN 'NULL' ELSE CAST(avg_choke_size AS VARCHAR) END AS avg_wht_p,
+      CAST(dp_choke_size AS VARCHAR) AS dp_choke_size,
+      CASE k WHEN 2 THEN 'bad' WHEN 3 THEN '' WHEN 4 THEN 'NaN' WHEN 5 THEN 'NULL'
+             WHEN 6 THEN '-' || CAST(oil_vol_sm3 AS VARCHAR) ELSE CAST(oil_vol_sm3 AS VARCHAR) END AS bore_oil_vol,
+      CASE WHEN k = 7 THEN 'n/a' ELSE CAST(gas_vol_sm3 AS VARCHAR) END AS bore_gas_vol,
+      CASE WHEN k = 8 THEN '' ELSE CAST(water_vol_sm3 AS VARCHAR) END AS bore_wat_vol,
+      CASE WHEN well_type = 'WI' THEN CAST(gas_vol_sm3 AS VARCHAR) END AS bore_wi_vol,
+      CASE WHEN well_type = 'WI' THEN 'injection' ELSE 'production' END AS flow_kind,
+      CASE WHEN k = 9 THEN ' ' || well_type ELSE well_type END AS well_type,
+      k
+    FROM w),
+  l AS (SELECT {nulls}, k FROM r)
+  SELECT * EXCLUDE (k) FROM l UNION ALL SELECT * EXCLUDE (k) FROM l WHERE k = 10"""
+
+
+def _null_map(cols) -> str:
+    return ", ".join(f"CASE WHEN {c} IN ('', 'NULL', 'NaN') THEN NULL ELSE {c} END AS {c}" for c in cols)
+
+
+def _bronze_daily_sql() -> str:
+    from ..operators.silver import RAW_DAILY
+
+    return _BRONZE_DAILY_SQL.replace("{nulls}", _null_map(RAW_DAILY))
+
+
+STANDIN_SQL["bronze_daily"] = _bronze_daily_sql()
+STANDIN_SQL["bronze_monthly"] = """
+        SELECT well_name AS wellbore_name, upper(substring(well_name, 1, 3)) AS npd_code,
+               CAST(prod_year AS VARCHAR) AS year, CAST(prod_month AS VARCHAR) AS month,
+               CAST(NULL AS VARCHAR) AS on_stream_hrs, CAST(oil_sm3 AS VARCHAR) AS oil_sm3,
+               CAST(gas_sm3 AS VARCHAR) AS gas_sm3, CAST(NULL AS VARCHAR) AS water_sm3,
+               CAST(NULL AS VARCHAR) AS gi_sm3, CAST(NULL AS VARCHAR) AS wi_sm3
+        FROM monthly_reported
+        UNION ALL SELECT NULL, '', '', '', 'hrs', 'Sm3', 'Sm3', 'Sm3', 'Sm3', 'Sm3'"""
+STANDIN_ORDER = STANDIN_ORDER + ("bronze_daily", "bronze_monthly")
