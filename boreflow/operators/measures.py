@@ -55,6 +55,13 @@ def _mean(c: str) -> F.Column:
     return safe_ratio(F.sum(c), F.count(c))
 
 
+def _corr(a: str, b: str) -> F.Column:
+    # Pearson correlation; NULL (not an ANSI divide-by-zero error, as
+    # ``corr`` raises) when either side is constant or has one value.
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    return safe_ratio(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def choke_performance(fact: DataFrame, entity: str = "well_name") -> DataFrame:
     """BI-4: per entity mean choke, mean oil rate, mean wellhead pressure
     (bubble size) and the choke-oil correlation over producing days."""
@@ -62,7 +69,7 @@ def choke_performance(fact: DataFrame, entity: str = "well_name") -> DataFrame:
         _mean("avg_choke_size").alias("avg_choke"),
         _mean("oil_vol_sm3").alias("avg_oil_sm3"),
         _mean("avg_whp").alias("avg_whp"),
-        F.corr(F.col("avg_choke_size").cast("double"), F.col("oil_vol_sm3").cast("double")).alias("choke_oil_corr"),
+        _corr("avg_choke_size", "oil_vol_sm3").alias("choke_oil_corr"),
         F.count(F.lit(1)).alias("days"),
     )
 

@@ -91,8 +91,10 @@ def global_rank_running(
     order = [v.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
     laid = _ranged(df, order, partitions)
     w = Window.partitionBy(_P).orderBy(*order)
+    # ties are defined by the value alone, not by the tie-break columns
+    w_rank = Window.partitionBy(_P).orderBy(v.desc_nulls_last())
     local = (
-        laid.withColumn("_lrank", F.rank().over(w))
+        laid.withColumn("_lrank", F.rank().over(w_rank))
         .withColumn("_lrn", F.row_number().over(w))
         .withColumn("_lcum", F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     )

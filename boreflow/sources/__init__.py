@@ -1,4 +1,12 @@
-from .files import infer_schema_diff, load_audit, read_json_payloads, read_untyped_csv
+from .files import (
+    infer_schema_diff,
+    land_bronze,
+    load_audit,
+    load_untyped_csv,
+    read_json_payloads,
+    read_untyped_csv,
+    split_rejects,
+)
 from .payloads import flatten_payload, merge_pages, payload_shape
 from .sinks import append_new, write_partitions, write_replace
 
@@ -6,6 +14,9 @@ __all__ = [
     "append_new",
     "flatten_payload",
     "infer_schema_diff",
+    "land_bronze",
+    "load_untyped_csv",
+    "split_rejects",
     "load_audit",
     "merge_pages",
     "payload_shape",

@@ -29,43 +29,61 @@ def _meta() -> list[F.Column]:
 
 
 def read_untyped_csv(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    columns: Sequence[str],
-    tokens: Iterable[str] = NULL_TOKENS,
-    header: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """SRC-1…3: CSV with an explicit all-STRING schema, ``"`` quoting.
-
-    Returns ``(rows, rejects)``. ``rows`` has the declared columns with the
-    null tokens mapped to NULL plus the source file columns; ``rejects`` has
-    the raw line of every row whose field count or quoting did not fit
-    (PERMISSIVE mode), with its file. No schema-inference pass is made.
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], header: bool = True
+) -> DataFrame:
+    """SRC-1/SRC-3: CSV with an explicit all-STRING schema, ``"`` quoting,
+    PERMISSIVE mode. Returns the declared columns, ``_corrupt_record`` (the
+    raw line of every row whose field count or quoting did not fit) and the
+    source file columns. No schema-inference pass is made.
+
+    Spark answers no query on raw CSV that needs only ``_corrupt_record``
+    (a count of rejects, say), so land this once with ``land_bronze`` and
+    split rows and rejects from the landed table (``split_rejects``).
     """
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in columns] + [T.StructField(CORRUPT, T.StringType())]
     )
-    raw = (
+    return (
         spark.read.schema(schema)
         .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("nullValue", None)
         .csv(list(paths) if not isinstance(paths, str) else paths)
         .select(*columns, CORRUPT, *_meta())
     )
+
+
+def land_bronze(raw: DataFrame, path: str) -> DataFrame:
+    """Write the raw rows (rejects included) as Parquet once; return a reader
+    over the landed table. One CSV parse; later passes read columnar data."""
+    raw.write.mode("overwrite").parquet(path)
+    return raw.sparkSession.read.parquet(path)
+
+
+def split_rejects(
+    bronze: DataFrame, columns: Sequence[str], tokens: Iterable[str] = NULL_TOKENS
+) -> tuple[DataFrame, DataFrame]:
+    """SRC-2/SRC-3: ``(rows, rejects)`` from landed bronze. ``rows`` has the
+    null tokens mapped to NULL; ``rejects`` keeps the raw line and file."""
     tokens = list(tokens)
-    rows = raw.where(F.col(CORRUPT).isNull()).select(
+    rows = bronze.where(F.col(CORRUPT).isNull()).select(
         *[null_tokens(c, tokens).alias(c) for c in columns], *META_COLS
     )
-    rejects = raw.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("raw_line"), *META_COLS
-    )
+    rejects = bronze.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"), *META_COLS)
     return rows, rejects
 
 
+def load_untyped_csv(
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], bronze_path: str,
+    tokens: Iterable[str] = NULL_TOKENS, header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """SRC-1…3 end to end: read, land bronze, split rows and rejects."""
+    landed = land_bronze(read_untyped_csv(spark, paths, columns, header), bronze_path)
+    return split_rejects(landed, columns, tokens)
+
+
 def infer_schema_diff(
     spark: SparkSession, paths: str | Sequence[str], declared: Sequence[str], sampling_ratio: float = 1.0
 ) -> DataFrame:
@@ -103,9 +121,11 @@ def load_audit(rows: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
     """
     good = rows.groupBy(*META_COLS).agg(F.count(F.lit(1)).alias("rows_loaded"))
     if rejects is None:
-        return good.withColumn("rows_rejected", F.lit(0).cast("bigint"))
-    bad = rejects.groupBy(*META_COLS).agg(F.count(F.lit(1)).alias("rows_rejected"))
-    return good.join(bad, list(META_COLS), "full_outer").select(
+        both = good.withColumn("rows_rejected", F.lit(0).cast("bigint"))
+    else:
+        bad = rejects.groupBy(*META_COLS).agg(F.count(F.lit(1)).alias("rows_rejected"))
+        both = good.join(bad, list(META_COLS), "full_outer")
+    return both.select(
         F.col("_file").alias("file_path"),
         F.col("_file_size").alias("file_size"),
         F.col("_file_modified").alias("last_modified"),

@@ -70,6 +70,7 @@ def merge_pages(
 
 def payload_shape(payloads: DataFrame, raw: str = "raw") -> DataFrame:
     """SRC-7: how many payloads have each top-level shape and schema."""
+    schema = F.schema_of_variant(F.col(raw))
     return payloads.groupBy(
-        F.expr(f"typeof({raw})").alias("top_level_type"), F.schema_of_variant(F.col(raw)).alias("schema")
+        F.lower(F.regexp_extract(schema, r"^([A-Za-z]+)", 1)).alias("top_level_type"), schema.alias("schema")
     ).agg(F.count(F.lit(1)).alias("payloads"))
