@@ -79,25 +79,37 @@ class GoldRefresh:
 
     # -- one micro-batch -------------------------------------------------------
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        months_df = batch.select(month_start("prod_date").alias("m")).distinct()
-        # The touched months are few (bounded by the calendar span of one
-        # batch); as a literal list they prune the month-partitioned scans.
-        months = [r.m for r in months_df.collect()]
-        if not months:
-            return
-        years = sorted({m.year for m in months})
-        wells = batch.select("well_name").distinct()
-        buckets_df = wells.select(well_bucket("well_name", self.buckets).alias("_wb")).distinct()
-
         silver = self.silver()
-        # 1. filled price over the whole spine (one row per date)
+        # 1. filled price over the whole spine (one row per date). New spine
+        # dates can change the filled price of *later* dates (forward fill),
+        # so months whose filled price changed are touched as well.
         spine = silver.select(F.col("prod_date").alias("cal_date"))
         price_filled = timeseries.fill_series(
             spine, self.price, date="cal_date", value="brent_usd_bbl", series_date="price_date",
             out="brent_usd_bbl_filled",
         )
+        old = read_if_exists(self.spark, self.path("price_filled"))
+        touched_dates = batch.select(F.col("prod_date").alias("cal_date"))
+        if old is not None:
+            changed = price_filled.alias("n").join(old.alias("o"), "cal_date", "full_outer").where(
+                ~F.col("n.brent_usd_bbl_filled").eqNullSafe(F.col("o.brent_usd_bbl_filled"))
+            )
+            touched_dates = touched_dates.unionByName(changed.select("cal_date"))
+        # The touched months are few (bounded by the calendar span of the
+        # data, one value per month); as a literal list they prune the
+        # month-partitioned scans. Collected before price_filled is replaced.
+        months = [r.m for r in touched_dates.select(month_start("cal_date").alias("m")).distinct().collect()]
+        if not months:
+            return
         write_replace(price_filled, self.path("price_filled"))
         price_filled = self.spark.read.parquet(self.path("price_filled"))
+        years = sorted({m.year for m in months})
+        # wells whose per-well products change: those in the batch and those
+        # with rows in a month whose prices moved
+        wells = batch.select("well_name").unionByName(
+            silver.where(F.col("month_start").isin(months)).select("well_name")
+        ).distinct()
+        buckets_df = wells.select(well_bucket("well_name", self.buckets).alias("_wb")).distinct()
 
         # 2. fact, decline, water cut for the touched months
         touched = silver.where(F.col("month_start").isin(months))
