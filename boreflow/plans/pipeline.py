@@ -1,42 +1,68 @@
-"""The medallion pipeline over the stand-in inputs, built lazily.
+"""The medallion pipeline over the stand-in inputs.
 
-``Pipeline(spark, sf_dir)`` exposes each layer as a cached DataFrame
-*definition* (plans, not data): asking for ``fact`` twice returns the same
-logical plan, so Catalyst sees one plan per query and prunes and pushes
-filters through all layers down to the Parquet scans.
+Silver (the stand-in well-day, price, FX and monthly tables) is *stored*:
+the first query of a Spark application that needs it writes it as Parquet
+under the folder named by ``spark.checkpoint.dir`` and every later query
+reads that table, as gold queries read a silver table in a warehouse. The
+stored table also cuts the lineage, so a lost executor never recomputes the
+lineitem aggregation behind it.
+
+Gold layers are DataFrame *definitions* (plans, not data): Catalyst sees one
+plan per query and prunes columns and pushes filters down to the scans.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dims, fact, gold, silver, timeseries
+from ..session import ensure_checkpoint_dir
 from . import standin
 
+# (application id, sf_dir, table) -> stored path
+_STORED: dict[tuple[str, str, str], str] = {}
+
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, store_silver: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.store_silver = store_silver
+
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if not self.store_silver:
+            return build()
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        path = _STORED.get(key)
+        if path is None:
+            root = ensure_checkpoint_dir(self.spark).rstrip("/")
+            tag = hashlib.sha1(f"{key[0]}|{self.sf_dir}".encode()).hexdigest()[:12]
+            path = f"{root}/silver-{tag}/{name}"
+            build().write.mode("overwrite").parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(path)
 
     # --- silver stand-ins ---------------------------------------------------
     @cached_property
     def well_day(self) -> DataFrame:
-        return standin.well_day(self.spark, self.sf_dir)
+        return self._stored("well_day", lambda: standin.well_day(self.spark, self.sf_dir))
 
     @cached_property
     def price(self) -> DataFrame:
-        return standin.price(self.spark, self.sf_dir)
+        return self._stored("price", lambda: standin.price(self.spark, self.sf_dir))
 
     @cached_property
     def fx(self) -> DataFrame:
-        return standin.fx(self.spark, self.sf_dir)
+        return self._stored("fx", lambda: standin.fx(self.spark, self.sf_dir))
 
     @cached_property
     def monthly_reported(self) -> DataFrame:
-        return standin.monthly_reported(self.spark, self.sf_dir)
+        return self._stored("monthly_reported", lambda: standin.monthly_reported(self.spark, self.sf_dir))
 
     # --- gold -----------------------------------------------------------------
     @cached_property
@@ -70,11 +96,13 @@ class Pipeline:
     # --- bronze / silver from untyped stand-ins --------------------------------
     @cached_property
     def bronze_daily(self) -> DataFrame:
-        return standin.bronze_daily(self.spark, self.sf_dir)
+        return self._stored("bronze_daily", lambda: standin.bronze_daily(self.spark, self.sf_dir, self.well_day))
 
     @cached_property
     def bronze_monthly(self) -> DataFrame:
-        return standin.bronze_monthly(self.spark, self.sf_dir)
+        return self._stored(
+            "bronze_monthly", lambda: standin.bronze_monthly(self.spark, self.sf_dir, self.monthly_reported)
+        )
 
     @cached_property
     def silver_daily(self) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +118,7 @@ class Pipeline:
 
     @cached_property
     def fx_payloads(self) -> DataFrame:
-        return standin.fx_payloads(self.spark, self.sf_dir)
+        return standin.fx_payloads(self.spark, self.sf_dir, self.fx)
 
     @cached_property
     def dim_entity(self) -> DataFrame:

@@ -61,6 +61,14 @@ def _flag_volume(flag: str) -> F.Column:
     )
 
 
+def _max_flag_is(flag: str) -> F.Column:
+    """``MAX(l_returnflag) = flag`` from integer aggregates: a string MAX
+    makes Spark fall back to a sort-based aggregate over all of lineitem,
+    integer MAX stays in the hash aggregate."""
+    rf = F.col("l_returnflag")
+    return (F.max((rf > F.lit(flag)).cast("int")) == 0) & (F.max((rf == F.lit(flag)).cast("int")) == 1)
+
+
 def well_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver daily production stand-in: one row per (well, day).
 
@@ -74,7 +82,7 @@ def well_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = li.groupBy(
         F.col("l_suppkey").alias("well_id"), F.to_date("l_shipdate").alias("prod_date")
     ).agg(
-        F.when(F.max("l_returnflag") == "R", F.lit("WI")).otherwise(F.lit("OP")).alias("well_type"),
+        _max_flag_is("R").alias("_is_wi"),
         _flag_volume("N").alias("oil_vol_sm3"),
         _flag_volume("R").alias("gas_vol_sm3"),
         _flag_volume("A").alias("water_vol_sm3"),
@@ -82,6 +90,7 @@ def well_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.avg("l_tax") * 100).cast(DAILY_DECIMAL).alias("avg_whp"),
         (F.max("l_extendedprice") / 1000).cast(DAILY_DECIMAL).alias("dp_choke_size"),
     )
+    daily = daily.withColumn("well_type", F.when(F.col("_is_wi"), F.lit("WI")).otherwise(F.lit("OP"))).drop("_is_wi")
     return daily.join(well_names(spark, sf_dir), "well_id").withColumn(
         "is_shutin", shutin_flag("well_type", ["oil_vol_sm3"])
     )
@@ -217,12 +226,13 @@ def _s(c: str) -> F.Column:
     return F.col(c).cast("string")
 
 
-def bronze_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw daily production as the CSV load leaves it: 24 text columns."""
+def bronze_daily(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    """Raw daily production as the CSV load leaves it: 24 text columns.
+    ``daily``: an already stored ``well_day`` to derive it from."""
     from ..functions.cleaning import null_tokens
     from ..operators.silver import RAW_DAILY
 
-    w = well_day(spark, sf_dir)
+    w = daily if daily is not None else well_day(spark, sf_dir)
     k = F.pmod(F.col("well_id") * 31 + F.datediff("prod_date", F.lit("1970-01-01").cast("date")), F.lit(97))
     w = w.withColumn("_k", k)
 
@@ -265,9 +275,9 @@ def bronze_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.unionByName(loaded.where(F.col("_k") == 10)).drop("_k")
 
 
-def bronze_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_monthly(spark: SparkSession, sf_dir: str, monthly: DataFrame | None = None) -> DataFrame:
     """Raw monthly production (10 text columns) with its units row."""
-    m = monthly_reported(spark, sf_dir)
+    m = monthly if monthly is not None else monthly_reported(spark, sf_dir)
     rows = m.select(
         F.col("well_name").alias("wellbore_name"),
         F.upper(F.substring("well_name", 1, 3)).alias("npd_code"),
@@ -312,10 +322,10 @@ def event_pages(spark: SparkSession, sf_dir: str, page_size: int = 5000) -> Data
     return docs.select("page", F.parse_json(F.to_json(body)).alias("raw"))
 
 
-def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_payloads(spark: SparkSession, sf_dir: str, rates: DataFrame | None = None) -> DataFrame:
     """FX as top-level JSON arrays, one document per calendar month (at most
     31 records each), built from the ``fx`` stand-in."""
-    f = fx(spark, sf_dir)
+    f = rates if rates is not None else fx(spark, sf_dir)
     rec = F.struct(_s("rate_date").alias("date"), F.col("nok_per_usd").alias("rate"))
     docs = f.groupBy(F.trunc("rate_date", "month").alias("month")).agg(F.sort_array(F.collect_list(rec)).alias("a"))
     return docs.select("month", F.parse_json(F.to_json("a")).alias("raw"))
