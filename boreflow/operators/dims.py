@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import BBL_PER_SM3, PRODUCER
 from .ordering import global_row_number
+from .segmented import previous_value, running_sum, with_chunk
 
 
 def _latest(c: str, date: str) -> F.Column:
@@ -68,12 +69,16 @@ def dim_scd2(
     The surrogate key follows (entity, version, type, attributes) and is
     numbered without a single-task window (``global_row_number``).
     """
-    w = Window.partitionBy(entity).orderBy(date)
-    prev = F.lag(tracked).over(w)
-    flagged = daily.select(entity, tracked, *carried, date).withColumn(
+    # LAG and the running SUM run per (entity, month) with carries from the
+    # previous months (``segmented``), not in one window per entity.
+    base = with_chunk(daily.select(entity, tracked, *carried, date), date)
+    order = [F.col(date), F.col(tracked)]
+    with_prev = previous_value(base, [entity], order, tracked, "_prev")
+    prev = F.col("_prev")
+    flagged = with_prev.withColumn(
         "_new", F.when((F.col(tracked) != prev) | prev.isNull(), F.lit(1)).otherwise(F.lit(0))
     )
-    versioned = flagged.withColumn("_version", F.sum("_new").over(w))
+    versioned = running_sum(flagged, [entity], date, "_new", "_version")
     grouped = versioned.groupBy(entity, tracked, *carried, "_version").agg(
         F.min(date).alias("effective_start_date"), F.max(date).alias("effective_end_date")
     )

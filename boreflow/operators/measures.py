@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import safe_ratio
 from ..functions.constants import WHAT_IF_PRICES
+from .segmented import CHUNK, last_known_before, running_sum, with_chunk
+from .segmented import global_row_number as seg_row_number
 
 
 def kpi_strip(fact: DataFrame) -> DataFrame:
@@ -89,18 +91,28 @@ def deferred_volume(fact: DataFrame, entity: str = "well_name", window_days: int
 
     Each shut-in day is valued at the entity's mean oil over its last
     ``window_days`` producing (not shut-in) days before it; summed per entity.
-    Two per-entity windows; on a well × day grain each holds at most one row
-    per calendar day.
+
+    No window spans a whole entity: producing days get a chunked position k
+    and running sum S (``segmented``); the trailing mean is
+    (S_k − S_{k−n}) / min(k, n), with S_{k−n} from an equi-join on
+    (entity, k − n); a shut-in day takes the mean of the latest producing
+    day before it (``segmented.last_known_before``).
     """
-    base = fact.select(entity, "prod_date", "is_shutin", F.col("oil_vol_sm3").cast("double").alias("_oil"))
+    n = window_days
+    base = with_chunk(
+        fact.select(entity, "prod_date", "is_shutin", F.col("oil_vol_sm3").cast("double").alias("_oil")), "prod_date"
+    )
     prod = base.where(~F.col("is_shutin"))
-    wp = Window.partitionBy(entity).orderBy("prod_date").rowsBetween(-(window_days - 1), 0)
-    prod = prod.withColumn("_trail", F.avg("_oil").over(wp))
+    prod = seg_row_number(prod, [entity], [F.col("prod_date"), F.col("_oil")], "_k")
+    prod = running_sum(prod, [entity], "_k", "_oil", "_cum")
+    back = prod.select(entity, (F.col("_k") + n).alias("_k"), F.col("_cum").alias("_cum_back"))
+    prod = prod.join(back, [entity, "_k"], "left").withColumn(
+        "_trail", (F.col("_cum") - F.coalesce("_cum_back", F.lit(0.0))) / F.least(F.col("_k"), F.lit(n))
+    ).select(entity, "prod_date", "is_shutin", "_oil", CHUNK, "_trail")
     shut = base.where(F.col("is_shutin")).withColumn("_trail", F.lit(None).cast("double"))
     both = prod.unionByName(shut)
-    wa = Window.partitionBy(entity).orderBy("prod_date", "is_shutin").rowsBetween(Window.unboundedPreceding, -1)
-    est = both.withColumn(
-        "_est", F.when(F.col("is_shutin"), F.last("_trail", ignorenulls=True).over(wa))
+    est = last_known_before(
+        both, [entity], [F.col("prod_date"), F.col("is_shutin")], "_trail", "_est"
     ).where(F.col("is_shutin"))
     return est.groupBy(entity).agg(
         F.count(F.lit(1)).alias("shutin_days"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import failed_cast, safe_ratio
 from ..functions.constants import DATE_FORMATS, PRODUCER, WEEKEND_DAYS
+from .segmented import CHUNK, previous_value, with_chunk
 from .timeseries import islands
 
 
@@ -213,13 +214,12 @@ def unusual(
       (0 when the value is not zero); ``is_long_zero_run`` when ≥ ``min_zero_run``.
 
     Entity statistics come from one grouped aggregate joined back on the
-    entity; the previous value is a per-entity ``lag`` (at most one row per
-    calendar day per entity on a well × day grain).
+    entity; the previous value is a chunked ``lag`` (``segmented``).
     """
     x = fact.select(entity, "prod_date", F.col(value).cast("double").alias("_x"))
     stats = x.groupBy(entity).agg(F.avg("_x").alias("_mu"), F.stddev_samp("_x").alias("_sd"))
-    w = Window.partitionBy(entity).orderBy("prod_date")
-    flagged = x.join(stats, entity).withColumn("_prev", F.lag("_x").over(w))
+    flagged = previous_value(with_chunk(x.join(stats, entity), "prod_date"), [entity],
+                             [F.col("prod_date"), F.col("_x")], "_x", "_prev").drop(CHUNK)
     zeros = islands(x.where(F.col("_x") == 0), entity=entity, date="prod_date")
     zdays = zeros.select(
         entity, F.explode(F.sequence("event_start", "event_end")).alias("prod_date"), "duration_days"

@@ -7,6 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .segmented import global_row_number as seg_row_number
+from .segmented import with_chunk
+
 BucketFn = Callable[[Column], Column]
 
 
@@ -104,14 +107,14 @@ def islands(
     splits a run and a missing day ends it (S-9). ``anchor`` only shifts the
     key. Output: entity, start, end, duration = end − start + 1 days.
 
-    The row window is per entity; on a well × day grain an entity holds at
-    most one row per calendar day, which bounds each window.
+    The row number comes from ``segmented.global_row_number``: windows run
+    per (entity, month) and a per-chunk count carries the offset, so a hot
+    entity is spread over its months instead of one task.
     """
     rows = df.where(F.col(flag)) if flag else df
-    w = Window.partitionBy(entity).orderBy(date)
-    keyed = rows.select(entity, date).withColumn(
-        "_grp", F.datediff(F.col(date), F.lit(anchor).cast("date")) - F.row_number().over(w)
-    )
+    rows = with_chunk(rows.select(entity, date), date)
+    numbered = seg_row_number(rows, [entity], [F.col(date)], "_rn")
+    keyed = numbered.withColumn("_grp", F.datediff(F.col(date), F.lit(anchor).cast("date")) - F.col("_rn"))
     return (
         keyed.groupBy(entity, "_grp")
         .agg(F.min(date).alias(start), F.max(date).alias(end))
