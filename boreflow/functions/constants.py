@@ -22,10 +22,6 @@ RECONCILE_THRESHOLD_PCT = 1
 WHAT_IF_PRICES = (50, 70, 90)
 # Weekend day names as Spark's dayname() prints them.
 WEEKEND_DAYS = ("Sat", "Sun")
-# Roles: full access, partner viewer; wells the viewer may see.
-FULL_ACCESS_ROLES = ("VOLVE_DE", "VOLVE_ANALYST")
-VIEWER_ROLE = "VOLVE_VIEWER"
-VIEWER_WELLS = ("15/9-F-1 C", "15/9-F-15 D")
 # Columns masked for roles without full access.
 MASKED_COLUMNS = ("avg_whp", "benchmark_revenue_usd", "benchmark_revenue_nok")
 # Price payload: path of the record array, total count and record fields.
@@ -33,5 +29,11 @@ PRICE_ARRAY_PATH = "$.response.data"
 PRICE_TOTAL_PATH = "$.response.total"
 # --- end of fixed values ----------------------------------------------------
 
+# Default governance roles (parameters, not fixed values): two roles with full
+# access and a partner viewer who sees only the wells a policy names.
+FULL_ACCESS_ROLES = ("ENGINEER", "ANALYST")
+VIEWER_ROLE = "VIEWER"
+VIEWER_WELLS: tuple[str, ...] = ()
+
 DAILY_DECIMAL = "decimal(18,5)"
 HOURS_DECIMAL = "decimal(10,4)"

@@ -520,7 +520,7 @@ def q_gov_mask(p: Pipeline) -> DataFrame:
 @register(
     "gov_compare",
     oracle(
-        f"""SELECT 'VOLVE_DE' AS role, COUNT(DISTINCT well_name) AS wells_visible, COUNT(*) AS rows_visible,
+        f"""SELECT 'ENGINEER' AS role, COUNT(DISTINCT well_name) AS wells_visible, COUNT(*) AS rows_visible,
                    COUNT(avg_whp) AS avg_whp_visible FROM fact
             UNION ALL SELECT '{VIEWER_ROLE}', COUNT(DISTINCT well_name), COUNT(*), 0 FROM fact WHERE well_name IN ({_IN})
             UNION ALL SELECT 'UNKNOWN', 0, 0, 0""",
@@ -529,4 +529,4 @@ def q_gov_mask(p: Pipeline) -> DataFrame:
 )
 def q_gov_compare(p: Pipeline) -> DataFrame:
     """GOV-3: the same summary as three roles."""
-    return present(governance.compare_roles(p.fact, ["VOLVE_DE", VIEWER_ROLE, "UNKNOWN"], STANDIN_POLICY))
+    return present(governance.compare_roles(p.fact, ["ENGINEER", VIEWER_ROLE, "UNKNOWN"], STANDIN_POLICY))

@@ -3,30 +3,33 @@ from boreflow.operators import governance as G
 
 def _df(spark):
     return spark.createDataFrame(
-        [("15/9-F-1 C", 1.5, 10.0), ("15/9-F-15 D", 2.5, 20.0), ("15/9-F-5", 3.5, 30.0)],
+        [("W-1 C", 1.5, 10.0), ("W-15 D", 2.5, 20.0), ("W-5", 3.5, 30.0)],
         "well_name string, avg_whp double, benchmark_revenue_usd double")
 
 
+POLICY = G.Policy(restricted={"VIEWER": ("W-1 C", "W-15 D")})
+
+
 def test_roles(spark):
     df = _df(spark)
-    eng = G.governed(df, "VOLVE_DE")
+    eng = G.governed(df, "ENGINEER", POLICY)
     assert eng.count() == 3 and eng.where("avg_whp IS NULL").count() == 0
-    ana = G.governed(df, "VOLVE_ANALYST")
+    ana = G.governed(df, "ANALYST", POLICY)
     assert ana.count() == 3
-    view = G.governed(df, "VOLVE_VIEWER")
-    assert sorted(r.well_name for r in view.collect()) == ["15/9-F-1 C", "15/9-F-15 D"]
+    view = G.governed(df, "VIEWER", POLICY)
+    assert sorted(r.well_name for r in view.collect()) == ["W-1 C", "W-15 D"]
     assert view.where("avg_whp IS NOT NULL OR benchmark_revenue_usd IS NOT NULL").count() == 0
     assert view.schema == df.schema                                  # mask keeps the schema
-    unknown = G.governed(df, "SOMEONE")
+    unknown = G.governed(df, "SOMEONE", POLICY)
     assert unknown.count() == 0 and unknown.schema == df.schema
 
 
 def test_policy_table_and_compare(spark):
     df = _df(spark)
-    pol = spark.createDataFrame([("VOLVE_DE", "*"), ("VOLVE_VIEWER", "15/9-F-5")], "role string, entity string")
-    assert G.row_filter_table(df, "VOLVE_DE", pol).count() == 3
-    assert [r.well_name for r in G.row_filter_table(df, "VOLVE_VIEWER", pol).collect()] == ["15/9-F-5"]
+    pol = spark.createDataFrame([("ENGINEER", "*"), ("VIEWER", "W-5")], "role string, entity string")
+    assert G.row_filter_table(df, "ENGINEER", pol).count() == 3
+    assert [r.well_name for r in G.row_filter_table(df, "VIEWER", pol).collect()] == ["W-5"]
     assert G.row_filter_table(df, "NOBODY", pol).count() == 0
     cmp = {r.role: (r.wells_visible, r.rows_visible, r.avg_whp_visible)
-           for r in G.compare_roles(df, ["VOLVE_DE", "VOLVE_VIEWER"]).collect()}
-    assert cmp == {"VOLVE_DE": (3, 3, 3), "VOLVE_VIEWER": (2, 2, 0)}
+           for r in G.compare_roles(df, ["ENGINEER", "VIEWER"], POLICY).collect()}
+    assert cmp == {"ENGINEER": (3, 3, 3), "VIEWER": (2, 2, 0)}
