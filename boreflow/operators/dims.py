@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import BBL_PER_SM3, PRODUCER
 from .ordering import global_row_number
-from .segmented import previous_value, running_sum, with_chunk
+from .segmented import segmented_scan, with_chunk
 
 
 def _latest(c: str, date: str) -> F.Column:
@@ -70,15 +70,15 @@ def dim_scd2(
     numbered without a single-task window (``global_row_number``).
     """
     # LAG and the running SUM run per (entity, month) with carries from the
-    # previous months (``segmented``), not in one window per entity.
+    # previous months (``segmented_scan``), not in one window per entity.
     base = with_chunk(daily.select(entity, tracked, *carried, date), date)
     order = [F.col(date), F.col(tracked)]
-    with_prev = previous_value(base, [entity], order, tracked, "_prev")
+    with_prev = segmented_scan(base, [entity], order, lag=(tracked, "_prev"))
     prev = F.col("_prev")
     flagged = with_prev.withColumn(
         "_new", F.when((F.col(tracked) != prev) | prev.isNull(), F.lit(1)).otherwise(F.lit(0))
-    )
-    versioned = running_sum(flagged, [entity], date, "_new", "_version")
+    ).drop("_prev")
+    versioned = segmented_scan(flagged, [entity], order, running_sum=("_new", "_version"), running_sum_range_by=date)
     grouped = versioned.groupBy(entity, tracked, *carried, "_version").agg(
         F.min(date).alias("effective_start_date"), F.max(date).alias("effective_end_date")
     )

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import safe_ratio
 from ..functions.constants import WHAT_IF_PRICES
-from .segmented import CHUNK, last_known_before, running_sum, with_chunk
-from .segmented import global_row_number as seg_row_number
+from .segmented import CHUNK, segmented_scan, with_chunk
 
 
 def kpi_strip(fact: DataFrame) -> DataFrame:
@@ -93,26 +92,26 @@ def deferred_volume(fact: DataFrame, entity: str = "well_name", window_days: int
     ``window_days`` producing (not shut-in) days before it; summed per entity.
 
     No window spans a whole entity: producing days get a chunked position k
-    and running sum S (``segmented``); the trailing mean is
+    and running sum S (``segmented_scan``); the trailing mean is
     (S_k − S_{k−n}) / min(k, n), with S_{k−n} from an equi-join on
     (entity, k − n); a shut-in day takes the mean of the latest producing
-    day before it (``segmented.last_known_before``).
+    day before it (``segmented_scan``, last known value).
     """
     n = window_days
     base = with_chunk(
         fact.select(entity, "prod_date", "is_shutin", F.col("oil_vol_sm3").cast("double").alias("_oil")), "prod_date"
     )
     prod = base.where(~F.col("is_shutin"))
-    prod = seg_row_number(prod, [entity], [F.col("prod_date"), F.col("_oil")], "_k")
-    prod = running_sum(prod, [entity], "_k", "_oil", "_cum")
+    prod = segmented_scan(prod, [entity], [F.col("prod_date"), F.col("_oil")], row_number="_k",
+                          running_sum=("_oil", "_cum"))
     back = prod.select(entity, (F.col("_k") + n).alias("_k"), F.col("_cum").alias("_cum_back"))
     prod = prod.join(back, [entity, "_k"], "left").withColumn(
         "_trail", (F.col("_cum") - F.coalesce("_cum_back", F.lit(0.0))) / F.least(F.col("_k"), F.lit(n))
     ).select(entity, "prod_date", "is_shutin", "_oil", CHUNK, "_trail")
     shut = base.where(F.col("is_shutin")).withColumn("_trail", F.lit(None).cast("double"))
     both = prod.unionByName(shut)
-    est = last_known_before(
-        both, [entity], [F.col("prod_date"), F.col("is_shutin")], "_trail", "_est"
+    est = segmented_scan(
+        both, [entity], [F.col("prod_date"), F.col("is_shutin")], last_known_before=("_trail", "_est")
     ).where(F.col("is_shutin"))
     return est.groupBy(entity).agg(
         F.count(F.lit(1)).alias("shutin_days"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import failed_cast, safe_ratio
 from ..functions.constants import DATE_FORMATS, PRODUCER, WEEKEND_DAYS
-from .segmented import CHUNK, previous_value, with_chunk
+from .segmented import CHUNK, segmented_scan, with_chunk
 from .timeseries import islands
 
 
@@ -218,8 +218,10 @@ def unusual(
     """
     x = fact.select(entity, "prod_date", F.col(value).cast("double").alias("_x"))
     stats = x.groupBy(entity).agg(F.avg("_x").alias("_mu"), F.stddev_samp("_x").alias("_sd"))
-    flagged = previous_value(with_chunk(x.join(stats, entity), "prod_date"), [entity],
-                             [F.col("prod_date"), F.col("_x")], "_x", "_prev").drop(CHUNK)
+    flagged = segmented_scan(
+        with_chunk(x.join(stats, entity), "prod_date"), [entity], [F.col("prod_date"), F.col("_x")],
+        lag=("_x", "_prev"),
+    ).drop(CHUNK)
     zeros = islands(x.where(F.col("_x") == 0), entity=entity, date="prod_date")
     zdays = zeros.select(
         entity, F.explode(F.sequence("event_start", "event_end")).alias("prod_date"), "duration_days"
@@ -250,22 +252,22 @@ def series_checks(
     if weekdays_only:
         cal = cal.where(F.weekday("_d") < 5)
 
-    def one(df: DataFrame, name: str, agg: F.Column) -> DataFrame:
-        return df.agg(agg.cast("bigint").alias("n")).select(F.lit(name).alias("check_name"), "n")
-
     unit_bad = F.count_if(F.col(units) != F.lit(expected_unit)) if units and expected_unit else F.lit(0)
-    parts = [
-        one(series, "rows", F.count(F.lit(1))),
-        one(series, "null_values", F.count_if(F.col(value_text).isNull())),
-        one(series, "non_numeric_values", F.count_if(failed_cast(value_text, "double"))),
-        one(series, "unexpected_units", unit_bad),
-        one(per_date, "duplicate_dates", F.count_if(F.col("_n") > 1)),
-        one(cal.join(per_date, "_d", "left_anti"), "missing_dates", F.count(F.lit(1))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    base = series.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(value_text).isNull()).alias("null_values"),
+        F.count_if(failed_cast(value_text, "double")).alias("non_numeric_values"),
+        unit_bad.alias("unexpected_units"),
+    )
+    dup = per_date.agg(F.count_if(F.col("_n") > 1).alias("duplicate_dates"))
+    missing = cal.join(per_date, "_d", "left_anti").agg(F.count(F.lit(1)).alias("missing_dates"))
+
+    def long(df: DataFrame) -> DataFrame:
+        return df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("check_name"), F.col(c).cast("bigint").alias("n")) for c in df.columns
+        ])).alias("_p")).select("_p.*")
+
+    return long(base).unionByName(long(dup)).unionByName(long(missing))
 
 
 def water_cut_range(fact: DataFrame) -> DataFrame:

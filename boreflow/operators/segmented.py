@@ -2,14 +2,16 @@
 
 ``Window.partitionBy(entity).orderBy(date)`` sends every row of an entity to
 one task; a hot entity (a third of all rows, say) then runs in a single task.
-These helpers split each entity's rows into *chunks* (default: calendar
-month of the date) and window only inside ``(entity, chunk)``. What must flow
-across chunk borders (row offsets, running sums, the previous row's value,
-the last known value) comes from one summary row per ``(entity, chunk)``;
-that summary is ordered per entity, and its size is bounded by the number of
-chunks in the calendar span, not by the number of rows.
-
-All helpers return exactly what the single per-entity window would.
+``segmented_scan`` splits each entity's rows into *chunks* (default: the
+calendar month of the date) and windows only inside ``(entity, chunk)``.
+What must flow across chunk borders (row offsets, running sums, the previous
+row's value, the last known value) is read off the last row of each chunk:
+one summary row per ``(entity, chunk)``, ordered per entity, whose size is
+bounded by the number of chunks in the calendar span, not by the rows.
+
+One window pass, one small summary, one join; no aggregate with a
+variable-width buffer (which would make Spark sort). The results equal the
+single per-entity window.
 """
 
 from __future__ import annotations
@@ -31,83 +33,83 @@ def with_chunk(df: DataFrame, date: str, chunk: ChunkFn = month_chunk) -> DataFr
     return df.withColumn(CHUNK, chunk(F.col(date)))
 
 
-def _summary_window(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(CHUNK)
-
-
-def global_row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, chunk_col: str = CHUNK
+def segmented_scan(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    *,
+    row_number: str | None = None,
+    running_sum: tuple[str, str] | None = None,
+    running_sum_range_by: str | None = None,
+    lag: tuple[str, str] | None = None,
+    last_known_before: tuple[str, str] | None = None,
+    chunk_col: str = CHUNK,
 ) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order), chunked.
-
-    ``df`` must carry the chunk column, and the chunk must be monotone in
-    ``order`` (a chunk of the leading date column is).
-    """
-    local = df.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, chunk_col).orderBy(*order)))
-    counts = df.groupBy(*keys, chunk_col).agg(F.count(F.lit(1)).alias("_n"))
-    before = _summary_window(keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, chunk_col, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (
-        local.join(offsets, [*keys, chunk_col])
-        .withColumn(out, F.col("_off") + F.col("_lrn"))
-        .drop("_lrn", "_off")
-    )
-
-
-def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, out: str, chunk_col: str = CHUNK
-) -> DataFrame:
-    """LAG(value) OVER (PARTITION BY keys ORDER BY order), chunked.
-
-    The first row of a chunk takes the last row's value of the entity's
-    previous non-empty chunk (NULL values included, as LAG does).
+    """Per ``keys``, in ``order`` (ascending columns; make it a total order),
+    add any of:
+
+    * ``row_number=out``: ROW_NUMBER();
+    * ``running_sum=(value, out)``: SUM(value) ROWS UNBOUNDED PRECEDING, or
+      with ``running_sum_range_by=date`` the default RANGE frame over that
+      column (rows on the same date are peers);
+    * ``lag=(value, out)``: LAG(value) (NULL values included);
+    * ``last_known_before=(value, out)``: LAST_VALUE(value IGNORE NULLS)
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING.
+
+    ``df`` must carry ``chunk_col``, monotone in ``order`` (e.g. the month
+    of the leading date column, see ``with_chunk``).
     """
-    w = Window.partitionBy(*keys, chunk_col).orderBy(*order)
-    marked = df.withColumn("_lrn", F.row_number().over(w)).withColumn("_lag", F.lag(value).over(w))
-    last = df.groupBy(*keys, chunk_col).agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).getField("v").alias("_last")
+    part = [*keys, chunk_col]
+    w = Window.partitionBy(*part).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    x = df.withColumn("_lrn", F.row_number().over(w)).withColumn(
+        "_is_last", F.lead(F.lit(1)).over(w).isNull()
     )
-    carry = last.select(*keys, chunk_col, F.lag("_last").over(_summary_window(keys)).alias("_carry"))
-    return (
-        marked.join(carry, [*keys, chunk_col])
-        .withColumn(out, F.when(F.col("_lrn") == 1, F.col("_carry")).otherwise(F.col("_lag")))
-        .drop("_lrn", "_lag", "_carry")
-    )
-
-
-def running_sum(
-    df: DataFrame, keys: Sequence[str], date: str, value: str, out: str, chunk_col: str = CHUNK
-) -> DataFrame:
-    """SUM(value) OVER (PARTITION BY keys ORDER BY date) with the default
-    RANGE frame (rows on the same date are peers), chunked."""
-    w = Window.partitionBy(*keys, chunk_col).orderBy(date)
-    local = df.withColumn("_lsum", F.sum(value).over(w))
-    tot = df.groupBy(*keys, chunk_col).agg(F.sum(value).alias("_t"))
-    before = _summary_window(keys).rowsBetween(Window.unboundedPreceding, -1)
-    carry = tot.select(*keys, chunk_col, F.sum("_t").over(before).alias("_carry"))
-    return (
-        local.join(carry, [*keys, chunk_col])
-        .withColumn(
-            out,
-            F.when(F.col("_carry").isNull(), F.col("_lsum")).otherwise(F.col("_carry") + F.coalesce("_lsum", F.lit(0))),
+    summary_cols = [F.col("_lrn").alias("_n")]
+    if running_sum:
+        value, _ = running_sum
+        if running_sum_range_by:
+            rw = Window.partitionBy(*part).orderBy(running_sum_range_by)
+            x = x.withColumn("_lsum", F.sum(value).over(rw))
+        else:
+            x = x.withColumn("_lsum", F.sum(value).over(upto))
+        summary_cols.append(F.col("_lsum").alias("_t"))
+    if lag:
+        value, _ = lag
+        x = x.withColumn("_llag", F.lag(value).over(w))
+        summary_cols.append(F.col(value).alias("_lastv"))
+    if last_known_before:
+        value, _ = last_known_before
+        x = x.withColumn("_lknown", F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        x = x.withColumn("_lknown_all", F.last(value, ignorenulls=True).over(upto))
+        summary_cols.append(F.col("_lknown_all").alias("_lastk"))
+
+    summary = x.where(F.col("_is_last")).select(*part, *summary_cols)
+    sw = Window.partitionBy(*keys).orderBy(chunk_col)
+    before = sw.rowsBetween(Window.unboundedPreceding, -1)
+    carry_cols = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    if running_sum:
+        carry_cols.append(F.sum("_t").over(before).alias("_cum_before"))
+    if lag:
+        carry_cols.append(F.lag("_lastv").over(sw).alias("_prev_last"))
+    if last_known_before:
+        carry_cols.append(F.last("_lastk", ignorenulls=True).over(before).alias("_carry_known"))
+    carry = summary.select(*part, *carry_cols)
+
+    out = x.join(carry, part)
+    if row_number:
+        out = out.withColumn(row_number, F.col("_off") + F.col("_lrn"))
+    if running_sum:
+        out = out.withColumn(
+            running_sum[1],
+            F.when(F.col("_cum_before").isNull(), F.col("_lsum")).otherwise(
+                F.col("_cum_before") + F.coalesce(F.col("_lsum"), F.lit(0))
+            ),
         )
-        .drop("_lsum", "_carry")
-    )
-
-
-def last_known_before(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, out: str, chunk_col: str = CHUNK
-) -> DataFrame:
-    """LAST_VALUE(value IGNORE NULLS) OVER (PARTITION BY keys ORDER BY order
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), chunked."""
-    w = Window.partitionBy(*keys, chunk_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = df.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
-    known = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("v")))
-    last = df.groupBy(*keys, chunk_col).agg(F.max(known).getField("v").alias("_last"))
-    before = _summary_window(keys).rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select(*keys, chunk_col, F.last("_last", ignorenulls=True).over(before).alias("_carry"))
-    return (
-        local.join(carry, [*keys, chunk_col])
-        .withColumn(out, F.coalesce("_loc", "_carry"))
-        .drop("_loc", "_carry")
-    )
+    if lag:
+        out = out.withColumn(lag[1], F.when(F.col("_lrn") == 1, F.col("_prev_last")).otherwise(F.col("_llag")))
+    if last_known_before:
+        out = out.withColumn(last_known_before[1], F.coalesce("_lknown", "_carry_known"))
+    internal = ["_lrn", "_is_last", "_off", "_lsum", "_cum_before", "_llag", "_prev_last", "_lknown", "_lknown_all",
+                "_carry_known"]
+    return out.drop(*[c for c in internal if c in out.columns])

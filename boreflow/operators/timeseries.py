@@ -7,8 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .segmented import global_row_number as seg_row_number
-from .segmented import with_chunk
+from .segmented import segmented_scan, with_chunk
 
 BucketFn = Callable[[Column], Column]
 
@@ -70,9 +69,15 @@ def fill_series(
         local = rows.withColumn(
             "_fwd", F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
         ).withColumn("_bwd", F.first("_v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-        known = F.when(F.col("_v").isNotNull(), F.struct(F.col(date), F.col("_spine"), F.col("_v").alias("v")))
+        # position of known values as a long: day number, spine rows after
+        # series rows of the same day; integer ordering keeps the aggregate
+        # a hash aggregate
+        pos = F.when(
+            F.col("_v").isNotNull(),
+            F.datediff(F.col(date), F.lit("1970-01-01").cast("date")).cast("long") * 2 + F.col("_spine"),
+        )
         summary = rows.groupBy(*keys, "_b").agg(
-            F.max(known).getField("v").alias("_last"), F.min(known).getField("v").alias("_first")
+            F.max_by("_v", pos).alias("_last"), F.min_by("_v", pos).alias("_first")
         )
         sw = Window.partitionBy(*keys).orderBy("_b")
         summary = summary.select(
@@ -107,13 +112,13 @@ def islands(
     splits a run and a missing day ends it (S-9). ``anchor`` only shifts the
     key. Output: entity, start, end, duration = end − start + 1 days.
 
-    The row number comes from ``segmented.global_row_number``: windows run
+    The row number comes from ``segmented.segmented_scan``: windows run
     per (entity, month) and a per-chunk count carries the offset, so a hot
     entity is spread over its months instead of one task.
     """
     rows = df.where(F.col(flag)) if flag else df
     rows = with_chunk(rows.select(entity, date), date)
-    numbered = seg_row_number(rows, [entity], [F.col(date)], "_rn")
+    numbered = segmented_scan(rows, [entity], [F.col(date)], row_number="_rn")
     keyed = numbered.withColumn("_grp", F.datediff(F.col(date), F.lit(anchor).cast("date")) - F.col("_rn"))
     return (
         keyed.groupBy(entity, "_grp")

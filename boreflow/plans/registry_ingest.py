@@ -405,10 +405,10 @@ def q_flatten_nested(p: Pipeline) -> DataFrame:
                   COUNT(*) + COUNT_IF(event_id % 5000 = 0 AND event_id > 0) AS records_received,
                   COUNT(*) AS records_distinct,
                   COUNT_IF(event_id % 5000 = 0 AND event_id > 0) AS duplicates,
-                  0 AS missing
+                  0 AS conflicting_keys, 0 AS missing
            FROM events""",
         [("reported_total", "int"), ("records_received", "int"), ("records_distinct", "int"),
-         ("duplicates", "int"), ("missing", "int")],
+         ("duplicates", "int"), ("conflicting_keys", "int"), ("missing", "int")],
     ),
 )
 def q_merge_pages(p: Pipeline) -> DataFrame:

@@ -46,24 +46,32 @@ def merge_pages(
 ) -> tuple[DataFrame, DataFrame]:
     """SRC-6: merge paged payloads into one series and check completeness.
 
-    Returns ``(series, completeness)``: the flattened records de-duplicated on
-    ``key`` (overlapping pages), and one row with the total the source reports
-    (largest ``total_path`` seen), records received, distinct records,
-    duplicates and missing records.
+    Returns ``(series, completeness)``. Overlapping pages repeat whole
+    records, so the series is the *distinct* records (a hash aggregate over
+    all fields). Completeness is one row: the total the source reports (the
+    largest ``total_path`` seen), records received, distinct records,
+    duplicates (received − distinct), ``conflicting_keys`` (records sharing a
+    ``key`` but differing elsewhere; never dropped silently) and missing
+    (reported − distinct keys).
     """
     tagged = pages.withColumn("_total", F.try_variant_get(F.col(raw), total_path, "bigint"))
     flat = flatten_payload(tagged, fields, raw=raw, array_path=array_path, keep=["_total"]).drop("index")
-    series = flat.drop("_total").dropDuplicates(list(key))
-    # one chain of aggregates: per key (partial, then final), then one row
-    per_key = flat.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_t"))
+    cols = [c for c in flat.columns if c != "_total"]
+    rows = flat.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"), F.max("_total").alias("_t"))
+    series = rows.drop("_c", "_t")
+    per_key = rows.groupBy(*key).agg(
+        F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_v"), F.max("_t").alias("_t")
+    )
     comp = per_key.agg(
         F.max("_t").alias("reported_total"),
-        F.sum("_n").alias("records_received"),
-        F.count(F.lit(1)).alias("records_distinct"),
+        F.sum("_c").alias("records_received"),
+        F.sum("_v").alias("records_distinct"),
+        F.count(F.lit(1)).alias("_keys"),
     ).select(
         "reported_total", "records_received", "records_distinct",
         (F.col("records_received") - F.col("records_distinct")).alias("duplicates"),
-        (F.col("reported_total") - F.col("records_distinct")).alias("missing"),
+        (F.col("records_distinct") - F.col("_keys")).alias("conflicting_keys"),
+        (F.col("reported_total") - F.col("_keys")).alias("missing"),
     )
     return series, comp
 

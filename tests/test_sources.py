@@ -112,7 +112,8 @@ def test_price_pages_merge_and_checks(spark, tmpdir_path):
     fields = {"period": ("$.period", "string"), "value": ("$.value", "string"), "units": ("$.units", "string")}
     series, comp = payloads.merge_pages(good, fields, ["period"], "$.response.data", "$.response.total")
     c = comp.first()
-    assert (c.reported_total, c.records_received, c.records_distinct, c.duplicates, c.missing) == (5, 5, 4, 1, 1)
+    assert (c.reported_total, c.records_received, c.records_distinct, c.duplicates, c.conflicting_keys,
+            c.missing) == (5, 5, 4, 1, 0, 1)
     checks = {r.check_name: r.n for r in quality.series_checks(series, "period", "value", "units", "$/BBL").collect()}
     assert checks == {"rows": 4, "null_values": 1, "non_numeric_values": 1, "unexpected_units": 1,
                       "duplicate_dates": 0, "missing_dates": 1}  # 09-06 is a Thursday
