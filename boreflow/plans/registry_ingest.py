@@ -530,3 +530,57 @@ def q_gov_mask(p: Pipeline) -> DataFrame:
 def q_gov_compare(p: Pipeline) -> DataFrame:
     """GOV-3: the same summary as three roles."""
     return present(governance.compare_roles(p.fact, ["ENGINEER", VIEWER_ROLE, "UNKNOWN"], STANDIN_POLICY))
+
+
+# ---------------------------------------------------------------------------
+# FIL-2 batch split (DQ-9 batch counts) and SO-2 top-k
+# ---------------------------------------------------------------------------
+
+STANDIN_SPLIT_DATE = "1998-01-01"  # splits the stand-in years roughly in half
+
+
+@register(
+    "dq_batches",
+    oracle(
+        f"""SELECT CASE WHEN prod_date < DATE '{STANDIN_SPLIT_DATE}' THEN 'first' ELSE 'second' END AS batch,
+                   COUNT(*) AS silver_rows, COUNT_IF(is_shutin) AS shutin_days,
+                   MIN(prod_date) AS first_date, MAX(prod_date) AS last_date
+            FROM ({SILVER_DAILY_SQL}) s GROUP BY 1""",
+        [("batch", "keep"), ("silver_rows", "int"), ("shutin_days", "int"), ("first_date", "keep"),
+         ("last_date", "keep")],
+    ),
+)
+def q_batches(p: Pipeline) -> DataFrame:
+    """FIL-2 / DQ-9: the two load batches of silver, split at a date."""
+    from ..operators.silver import clean_daily
+
+    parts = []
+    for batch in ("first", "second"):
+        clean, _ = clean_daily(p.bronze_daily, split_date=STANDIN_SPLIT_DATE, batch=batch)
+        parts.append(clean.agg(
+            F.count(F.lit(1)).alias("silver_rows"),
+            F.count_if("is_shutin").alias("shutin_days"),
+            F.min("prod_date").alias("first_date"),
+            F.max("prod_date").alias("last_date"),
+        ).select(F.lit(batch).alias("batch"), "*"))
+    return present(parts[0].unionByName(parts[1]))
+
+
+@register(
+    "top_wells",
+    oracle(
+        """SELECT well_name, SUM(est_revenue_usd) AS cumulative_revenue_usd, COUNT(*) AS producing_days
+           FROM fact GROUP BY well_name
+           ORDER BY cumulative_revenue_usd DESC NULLS LAST, well_name LIMIT 10""",
+        [("well_name", "keep"), ("cumulative_revenue_usd", "dec"), ("producing_days", "int")],
+        {"cumulative_revenue_usd": 2},
+    ),
+)
+def q_top_wells(p: Pipeline) -> DataFrame:
+    """SO-2: top-10 wells by value (the limit is the report; planned as
+    TakeOrderedAndProject, a per-partition top-k then a final merge)."""
+    t = p.fact.groupBy("well_name").agg(
+        F.sum("est_revenue_usd").alias("cumulative_revenue_usd"), F.count(F.lit(1)).alias("producing_days")
+    )
+    top = t.orderBy(F.col("cumulative_revenue_usd").desc_nulls_last(), F.col("well_name")).limit(10)
+    return present(top, {"cumulative_revenue_usd": 2})
