@@ -26,6 +26,8 @@ from . import standin
 
 # (application id, sf_dir, table) -> stored path
 _STORED: dict[tuple[str, str, str], str] = {}
+# (application id, sf_dir) -> pipeline (its DataFrames are immutable plans)
+_PIPELINES: dict[tuple[str, str], "Pipeline"] = {}
 
 
 class Pipeline:
@@ -34,6 +36,16 @@ class Pipeline:
         self.sf_dir = sf_dir
         self.store_silver = store_silver
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
+        """The application's pipeline over ``sf_dir``; its layer plans are
+        built once and shared by every query (plans, not cached data)."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        p = _PIPELINES.get(key)
+        if p is None or p.spark is not spark:
+            p = _PIPELINES[key] = cls(spark, sf_dir)
+        return p
+
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.store_silver:
             return build()
