@@ -109,7 +109,7 @@ def _missing_price_rows(
 
 def price_gaps(
     daily: DataFrame, price: DataFrame, producer: str = PRODUCER, date: str = "prod_date",
-    price_date: str = "price_date", value: str | None = None,
+    price_date: str = "price_date", value: str | None = None, out: str = "null_price_rows",
 ) -> DataFrame:
     """DQ-8: producer rows without a price on their day, by weekday name.
 
@@ -117,7 +117,7 @@ def price_gaps(
     """
     return _missing_price_rows(daily, price, producer, date, price_date, value).groupBy(
         F.dayname(date).alias("day_of_week")
-    ).agg(F.count(F.lit(1)).alias("null_price_rows"))
+    ).agg(F.count(F.lit(1)).alias(out))
 
 
 def weekday_gaps(
