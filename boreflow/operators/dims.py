@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import BBL_PER_SM3, PRODUCER
@@ -14,9 +14,11 @@ from .segmented import segmented_scan, with_chunk
 
 def _latest(c: str, date: str) -> F.Column:
     # Value on the entity's latest date, even when that value is NULL
-    # (MAX_BY semantics). Ties on the date are resolved by the value itself
-    # so the answer does not depend on row order.
-    return F.max_by(F.col(c), F.struct(F.col(date), F.col(c))).alias(c)
+    # (MAX_BY semantics); rows without a date are ignored. Ties on the date
+    # are resolved by the value itself so the answer does not depend on row
+    # order.
+    ordering = F.when(F.col(date).isNotNull(), F.struct(F.col(date), F.col(c)))
+    return F.max_by(F.col(c), ordering).alias(c)
 
 
 def dim_latest(

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import failed_cast, safe_ratio
+from ..functions.cleaning import failed_cast
 from ..functions.constants import DATE_FORMATS, PRODUCER, WEEKEND_DAYS
 from .segmented import CHUNK, segmented_scan, with_chunk
 from .timeseries import islands
@@ -282,6 +282,6 @@ def water_cut_range(fact: DataFrame) -> DataFrame:
 
 __all__ = [
     "category_counts", "column_quartiles", "column_stats", "date_formats", "dim_uniqueness", "duplicate_keys",
-    "key_mismatch", "load_counts", "negatives", "null_profile", "orphans", "price_gaps", "safe_ratio",
+    "key_mismatch", "load_counts", "negatives", "null_profile", "orphans", "price_gaps",
     "series_checks", "uncastable", "unusual", "water_cut_range", "weekday_gaps",
 ]
