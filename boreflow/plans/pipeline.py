@@ -16,9 +16,11 @@ from __future__ import annotations
 from functools import cached_property
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 from ..operators import dims, fact, gold, silver, timeseries
 from ..session import ensure_checkpoint_dir
@@ -28,6 +30,7 @@ from . import standin
 _STORED: dict[tuple[str, str, str], str] = {}
 # (application id, sf_dir) -> pipeline (its DataFrames are immutable plans)
 _PIPELINES: dict[tuple[str, str], "Pipeline"] = {}
+_LOCK = threading.RLock()
 
 
 class Pipeline:
@@ -41,23 +44,29 @@ class Pipeline:
         """The application's pipeline over ``sf_dir``; its layer plans are
         built once and shared by every query (plans, not cached data)."""
         key = (spark.sparkContext.applicationId, sf_dir)
-        p = _PIPELINES.get(key)
-        if p is None or p.spark is not spark:
-            p = _PIPELINES[key] = cls(spark, sf_dir)
-        return p
+        with _LOCK:
+            p = _PIPELINES.get(key)
+            if p is None or p.spark is not spark:
+                p = _PIPELINES[key] = cls(spark, sf_dir)
+            return p
 
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.store_silver:
             return build()
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        path = _STORED.get(key)
-        if path is None:
+        with _LOCK:
+            path = _STORED.get(key)
+            if path is not None:
+                try:
+                    return self.spark.read.parquet(path)
+                except AnalysisException:  # the folder was cleaned: write it again
+                    _STORED.pop(key, None)
             root = ensure_checkpoint_dir(self.spark).rstrip("/")
             tag = hashlib.sha1(f"{key[0]}|{self.sf_dir}".encode()).hexdigest()[:12]
             path = f"{root}/silver-{tag}/{name}"
             build().write.mode("overwrite").parquet(path)
             _STORED[key] = path
-        return self.spark.read.parquet(path)
+            return self.spark.read.parquet(path)
 
     # --- silver stand-ins ---------------------------------------------------
     @cached_property
