@@ -135,11 +135,11 @@ class Pipeline:
 
     @cached_property
     def event_pages(self) -> DataFrame:
-        return standin.event_pages(self.spark, self.sf_dir)
+        return self._stored("event_pages", lambda: standin.event_pages(self.spark, self.sf_dir))
 
     @cached_property
     def fx_payloads(self) -> DataFrame:
-        return standin.fx_payloads(self.spark, self.sf_dir, self.fx)
+        return self._stored("fx_payloads", lambda: standin.fx_payloads(self.spark, self.sf_dir, self.fx))
 
     @cached_property
     def dim_entity(self) -> DataFrame:
