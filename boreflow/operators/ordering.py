@@ -29,15 +29,13 @@ from ..session import ensure_checkpoint_dir
 _P = "_part"
 
 
-def _num_parts(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    laid = df.repartitionByRange(_num_parts(df, partitions), *order).withColumn(_P, F.spark_partition_id())
+    # Without an explicit count AQE may coalesce neighbouring ranges to its
+    # advisory size (order is preserved: only contiguous ranges merge), so
+    # the partition count follows the data at any scale.
+    laid = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    laid = laid.withColumn(_P, F.spark_partition_id())
     # Reliable checkpoint: fixes the sampled range bounds for both the
     # summary pass and the row pass, and cuts the lineage.
     return laid.checkpoint(eager=True)
