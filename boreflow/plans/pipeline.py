@@ -7,7 +7,9 @@ reads that table, as gold queries read a silver table in a warehouse. The
 stored table also cuts the lineage, so a lost executor never recomputes the
 lineitem aggregation behind it.
 
-Gold layers are DataFrame *definitions* (plans, not data): Catalyst sees one
+The filled price and the fact are stored the same way (the warehouse keeps
+them as materialized tables that every derived table reads). The derived
+gold layers are DataFrame *definitions* (plans, not data): Catalyst sees one
 plan per query and prunes columns and pushes filters down to the scans.
 """
 
@@ -89,14 +91,14 @@ class Pipeline:
     @cached_property
     def price_filled(self) -> DataFrame:
         spine = self.well_day.select("prod_date").withColumnRenamed("prod_date", "cal_date")
-        return timeseries.fill_series(
+        return self._stored("price_filled", lambda: timeseries.fill_series(
             spine, self.price, date="cal_date", value="brent_usd_bbl",
             series_date="price_date", out="brent_usd_bbl_filled",
-        )
+        ))
 
     @cached_property
     def fact(self) -> DataFrame:
-        return fact.build_fact(self.well_day, self.price_filled, self.fx)
+        return self._stored("fact", lambda: fact.build_fact(self.well_day, self.price_filled, self.fx))
 
     @cached_property
     def scd1(self) -> DataFrame:
