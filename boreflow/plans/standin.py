@@ -272,7 +272,9 @@ def bronze_daily(spark: SparkSession, sf_dir: str, daily: DataFrame | None = Non
         F.col("_k"),
     )
     loaded = raw.select(*[null_tokens(c).alias(c) for c in RAW_DAILY], "_k")
-    return loaded.unionByName(loaded.where(F.col("_k") == 10)).drop("_k")
+    # rows with k = 10 are loaded twice; an explode keeps one partition layout
+    copies = F.explode(F.when(F.col("_k") == 10, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return loaded.select("*", copies.alias("_copy")).drop("_k", "_copy")
 
 
 def bronze_monthly(spark: SparkSession, sf_dir: str, monthly: DataFrame | None = None) -> DataFrame:
