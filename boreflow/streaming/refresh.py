@@ -10,9 +10,10 @@ the full silver table and overwrites just those partitions:
 | price_filled       | whole (one row/date) | a new date can change the fill of others   |
 | fact               | month                | row-wise over silver                       |
 | decline, water cut | month                | grouped by month                           |
-| downtime events    | well bucket          | islands never cross wells, but span months |
-| well totals        | well bucket          | sum over all months of a well              |
-| value ranking      | whole                | global order over the per-well totals      |
+| well-month value   | month                | per-well totals without re-reading the fact |
+| shut-in days       | month                | islands input, two columns                  |
+| downtime events    | well bucket          | islands never cross wells, but span months  |
+| value ranking      | whole                | global order over the per-well totals       |
 | decomposition      | year                 | the baseline is the year's first month     |
 | refresh log        | batch id             | one row per micro-batch                    |
 
@@ -123,28 +124,29 @@ class GoldRefresh:
         write_partitions(gold.decline_trend(fact_m), self.path("decline_trend"), ["month_start"])
         write_partitions(gold.water_cut_trend(fact_m), self.path("water_cut_trend"), ["month_start"])
 
-        # 3. per-well products for the touched well buckets, over all months
-        fact_all = self.spark.read.parquet(self.path("fact")).drop("month_start").withColumn(
-            "_wb", well_bucket("well_name", self.buckets)
-        )
-        fact_wb = fact_all.join(F.broadcast(buckets_df), "_wb", "left_semi")
-        events = gold.downtime_events(fact_wb).withColumn("_wb", well_bucket("well_name", self.buckets))
-        write_partitions(events, self.path("downtime_events"), ["_wb"])
-        totals = fact_wb.groupBy("_wb", "well_name").agg(
-            F.sum("est_revenue_usd").alias("cumulative_revenue_usd"),
-            F.sum("est_revenue_nok").alias("cumulative_revenue_nok"),
+        # per-(well, month) value and the shut-in days of the touched months:
+        # small tables that the per-well products below read in full, so a
+        # refresh never re-reads the whole fact
+        write_partitions(
+            fact_m.groupBy(month_start("prod_date").alias("month_start"), "well_name").agg(
+                F.sum("est_revenue_usd").alias("est_revenue_usd"), F.sum("est_revenue_nok").alias("est_revenue_nok")
+            ),
+            self.path("well_month_value"), ["month_start"],
         )
-        write_partitions(totals, self.path("well_totals"), ["_wb"])
-
-        # 4. ranking over all per-well totals (one row per well)
-        all_totals = self.spark.read.parquet(self.path("well_totals"))
-        ranking = gold.value_ranking(
-            all_totals.select(
-                "well_name",
-                F.col("cumulative_revenue_usd").alias("est_revenue_usd"),
-                F.col("cumulative_revenue_nok").alias("est_revenue_nok"),
-            )
+        write_partitions(
+            fact_m.where(F.col("is_shutin")).select("well_name", "prod_date", month_start("prod_date").alias("month_start")),
+            self.path("shutin_days"), ["month_start"],
         )
+
+        # 3. downtime events for the touched well buckets (islands span months)
+        shut = self.spark.read.parquet(self.path("shutin_days")).drop("month_start").withColumn(
+            "_wb", well_bucket("well_name", self.buckets)
+        ).join(F.broadcast(buckets_df), "_wb", "left_semi").withColumn("is_shutin", F.lit(True))
+        events = gold.downtime_events(shut).withColumn("_wb", well_bucket("well_name", self.buckets))
+        write_partitions(events, self.path("downtime_events"), ["_wb"])
+
+        # 4. ranking over the per-well totals (one row per well)
+        ranking = gold.value_ranking(self.spark.read.parquet(self.path("well_month_value")))
         write_replace(ranking, self.path("value_ranking"))
 
         # 5. decomposition for the touched years
