@@ -108,3 +108,19 @@ def test_measures(spark):
     dv = measures.deferred_volume(f).first()
     assert dv.shutin_days == 4 and abs(dv.deferred_oil_sm3_est - 40.0) < 1e-9
     assert measures.choke_performance(f).first().days == 12
+
+
+def test_ranking_many_nulls_and_one_hot_value(spark):
+    # a third of the rows share one value and another third are NULL: both tie runs straddle partitions
+    vals = [("w%03d" % i, None if i % 3 == 0 else (7.0 if i % 3 == 1 else float(i))) for i in range(150)]
+    df = spark.createDataFrame(vals, "well_name string, v double")
+    got = global_rank_running(df, "v", ["well_name"], partitions=9)
+    w = Window.orderBy(F.col("v").desc_nulls_last(), "well_name")
+    ref = df.select(
+        "well_name",
+        F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())).alias("rank"),
+        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("running_sum"),
+        F.sum("v").over(Window.partitionBy()).alias("grand_total"),
+    )
+    key = lambda r: (r.rank, r.running_sum, r.grand_total)
+    assert {r.well_name: key(r) for r in got.collect()} == {r.well_name: key(r) for r in ref.collect()}
