@@ -7,7 +7,7 @@ the full silver table and overwrites just those partitions:
 
 | gold table         | refresh key          | why                                       |
 | ------------------ | -------------------- | ----------------------------------------- |
-| price_filled       | whole (one row/date) | a new date can change the fill of others   |
+| price_filled       | batch id (versions)  | a new date can change the fill of others   |
 | fact               | month                | row-wise over silver                       |
 | decline, water cut | month                | grouped by month                           |
 | well-month value   | month                | per-well totals without re-reading the fact |
@@ -65,6 +65,10 @@ class GoldRefresh:
     def silver(self) -> DataFrame:
         return self.spark.read.parquet(self.silver_path)
 
+    def last_committed_batch(self) -> int | None:
+        log = read_if_exists(self.spark, self.path("refresh_log"))
+        return None if log is None else log.agg(F.max("batch_id")).first()[0]
+
     def run(self) -> StreamingQuery:
         """Process every silver file not seen yet, then stop (availableNow)."""
         schema = self.silver().schema
@@ -89,7 +93,14 @@ class GoldRefresh:
             spine, self.price, date="cal_date", value="brent_usd_bbl", series_date="price_date",
             out="brent_usd_bbl_filled",
         )
-        old = read_if_exists(self.spark, self.path("price_filled"))
+        # The filled price is versioned by batch id and the refresh log is
+        # written last: a replayed batch diffs against the version of the last
+        # *committed* batch, never against its own half-written output.
+        committed = self.last_committed_batch()
+        old = None
+        if committed is not None:
+            old = self.spark.read.parquet(self.path("price_filled")).where(F.col("batch_id") == committed)
+            old = old.drop("batch_id")
         touched_dates = batch.select(F.col("prod_date").alias("cal_date"))
         if old is not None:
             changed = price_filled.alias("n").join(old.alias("o"), "cal_date", "full_outer").where(
@@ -98,12 +109,15 @@ class GoldRefresh:
             touched_dates = touched_dates.unionByName(changed.select("cal_date"))
         # The touched months are few (bounded by the calendar span of the
         # data, one value per month); as a literal list they prune the
-        # month-partitioned scans. Collected before price_filled is replaced.
+        # month-partitioned scans.
         months = [r.m for r in touched_dates.select(month_start("cal_date").alias("m")).distinct().collect()]
         if not months:
             return
-        write_replace(price_filled, self.path("price_filled"))
-        price_filled = self.spark.read.parquet(self.path("price_filled"))
+        write_partitions(price_filled.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                         self.path("price_filled"), ["batch_id"])
+        price_filled = (
+            self.spark.read.parquet(self.path("price_filled")).where(F.col("batch_id") == batch_id).drop("batch_id")
+        )
         years = sorted({m.year for m in months})
         # wells whose per-well products change: those in the batch and those
         # with rows in a month whose prices moved

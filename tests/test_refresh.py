@@ -81,3 +81,50 @@ def test_replayed_batch_is_idempotent(spark, tmpdir_path):
     r.apply_batch(batch, 7)
     assert {n: rows(g(n)) for n in first} == first
     assert g("refresh_log").where("batch_id = 7").count() == 1
+
+
+def test_batch_failing_midway_then_replayed(spark, tmpdir_path, monkeypatch):
+    """The first attempt of batch 2 dies after writing the fact; the restarted
+    stream replays the batch and the gold tables still equal a full recompute."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    import boreflow.streaming.refresh as refresh_mod
+
+    daily = standin.well_day(spark, SF_SMALL).drop("well_id")
+    price, fx = standin.price(spark, SF_SMALL), standin.fx(spark, SF_SMALL)
+    in_held = F.trunc("prod_date", "month") == F.lit("1995-06-01").cast("date")
+    b1 = daily.where((F.col("prod_date") < "1997-01-01") & ~in_held)
+    b2 = daily.where((F.col("prod_date") >= "1997-01-01") | in_held)
+    silver_path = os.path.join(tmpdir_path, "silver")
+    gold_root = os.path.join(tmpdir_path, "gold")
+    ckpt = os.path.join(tmpdir_path, "ckpt")
+    land_silver(b1, silver_path)
+    r = GoldRefresh(spark, silver_path, gold_root, ckpt, price, fx)
+    r.run()
+
+    land_silver(b2, silver_path)
+    real = refresh_mod.write_partitions
+    state = {"failed": False}
+
+    def flaky(df, path, parts):
+        real(df, path, parts)
+        if path.endswith("/fact") and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(refresh_mod, "write_partitions", flaky)
+    with pytest.raises((StreamingQueryException, RuntimeError)):
+        r.run()
+    assert state["failed"]
+    r.run()                                    # restart: the batch is replayed
+
+    silver_all = spark.read.parquet(silver_path).drop("month_start")
+    fact = _full(spark, silver_all, price, fx)
+    g = lambda n: spark.read.parquet(os.path.join(gold_root, n))
+    cols = ["month_start", "well_name", "monthly_oil_vol", "shutin_days_in_month"]
+    assert rows(g("decline_trend"), *cols) == rows(gold.decline_trend(fact), *cols)
+    cols = ["well_name", "value_rank", "cumulative_revenue_usd"]
+    assert rows(g("value_ranking"), *cols) == rows(gold.value_ranking(fact), *cols)
+    fcols = ["prod_date", "well_name", "est_revenue_usd"]
+    assert rows(g("fact"), *fcols) == rows(fact, *fcols)
