@@ -686,3 +686,16 @@ def q_null_profile_monthly(p: Pipeline) -> DataFrame:
 def q_negatives_monthly(p: Pipeline) -> DataFrame:
     """DQ-5: negative values in the monthly source, one pass."""
     return present(quality.negatives(p.bronze_monthly, MONTHLY_NEG_COLS))
+
+
+@register(
+    "dq_duplicates_monthly",
+    oracle(
+        """SELECT wellbore_name, month, year, COUNT(*) AS n FROM bronze_monthly
+           GROUP BY wellbore_name, month, year HAVING COUNT(*) > 1""",
+        [("wellbore_name", "keep"), ("month", "keep"), ("year", "keep"), ("n", "int")],
+    ),
+)
+def q_duplicates_monthly(p: Pipeline) -> DataFrame:
+    """DQ-2: (well, month, year) keys of the monthly source loaded more than once."""
+    return present(quality.duplicate_keys(p.bronze_monthly, ["wellbore_name", "month", "year"]))
