@@ -53,12 +53,16 @@ def row_filter(df: DataFrame, role: str, policy: Policy = DEFAULT_POLICY, entity
 
 def row_filter_table(df: DataFrame, role: str, policy_table: DataFrame, entity: str = "well_name") -> DataFrame:
     """GOV-1 with the policy as data: ``policy_table(role, entity)`` where
-    entity ``'*'`` grants every row. The role's policy rows are a small,
-    hand-maintained list, so they are broadcast into a semi join."""
+    entity ``'*'`` grants every row.
+
+    Planned as ``EXISTS(wildcard) OR entity IN (role's entities)``: a scalar
+    subquery and an existence (semi) join on the entity, so no nested-loop
+    join, and a policy row listed twice never duplicates data rows. The
+    role's policy rows are a small, hand-maintained list (broadcast).
+    """
     mine = policy_table.where(F.col("role") == F.lit(role)).select(F.col("entity").alias("_allowed"))
-    return df.join(
-        F.broadcast(mine), (F.col("_allowed") == F.lit("*")) | (F.col("_allowed") == F.col(entity)), "left_semi"
-    )
+    wildcard = mine.where(F.col("_allowed") == F.lit("*")).exists()
+    return df.where(wildcard | F.col(entity).isin(F.broadcast(mine)))
 
 
 def mask_columns(df: DataFrame, role: str, policy: Policy = DEFAULT_POLICY, columns: Iterable[str] | None = None) -> DataFrame:

@@ -26,7 +26,8 @@ def test_roles(spark):
 
 def test_policy_table_and_compare(spark):
     df = _df(spark)
-    pol = spark.createDataFrame([("ENGINEER", "*"), ("VIEWER", "W-5")], "role string, entity string")
+    pol = spark.createDataFrame([("ENGINEER", "*"), ("ENGINEER", "W-5"), ("VIEWER", "W-5"), ("VIEWER", "W-5")],
+                                "role string, entity string")
     assert G.row_filter_table(df, "ENGINEER", pol).count() == 3
     assert [r.well_name for r in G.row_filter_table(df, "VIEWER", pol).collect()] == ["W-5"]
     assert G.row_filter_table(df, "NOBODY", pol).count() == 0
