@@ -15,10 +15,22 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "boreflow") -> SparkSession:
-    """A local session configured the way tests and the bench expect."""
+def local_session(
+    cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "boreflow", partition_bytes: str | None = None
+) -> SparkSession:
+    """A local session configured the way tests and the bench expect.
+
+    ``partition_bytes`` sets the AQE advisory partition size and the file
+    split size together; size it to the data (e.g. ``"8m"`` for a few
+    hundred MB on 8 cores, ``"256m"`` at terabytes).
+    """
+    builder = SparkSession.builder
+    if partition_bytes:
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", partition_bytes).config(
+            "spark.sql.files.maxPartitionBytes", partition_bytes
+        )
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
