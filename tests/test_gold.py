@@ -124,3 +124,21 @@ def test_ranking_many_nulls_and_one_hot_value(spark):
     )
     key = lambda r: (r.rank, r.running_sum, r.grand_total)
     assert {r.well_name: key(r) for r in got.collect()} == {r.well_name: key(r) for r in ref.collect()}
+
+
+def test_quartiles_sketch_against_exact(spark):
+    """dq_quartiles has no oracle SQL (approximate): brute-force check on a fixture."""
+    import numpy as np
+
+    from boreflow.operators.quality import column_quartiles
+
+    rnd = random.Random(5)
+    xs = [rnd.gauss(100, 30) for _ in range(5000)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    r = column_quartiles(df, ["x"], accuracy=10000).first()
+    srt = np.sort(np.array(xs))
+    n = len(srt)
+    for q, got in ((0.25, r.p25), (0.5, r.p50), (0.75, r.p75)):
+        # the sketch returns a value whose rank is within n / accuracy of q * n
+        rank = np.searchsorted(srt, got, side="right")
+        assert abs(rank - q * n) <= n / 10000 + 1
