@@ -14,3 +14,28 @@ ordering helpers checkpoint once, see ``operators.ordering``).
 """
 
 __version__ = "0.1.0"
+
+from .operators.dims import calendar, dim_latest, dim_scd1, dim_scd2  # noqa: E402
+from .operators.fact import build_fact  # noqa: E402
+from .operators.gold import (  # noqa: E402
+    decline_trend,
+    decomposition_check,
+    downtime_events,
+    reconcile_detail,
+    reconcile_summary,
+    revenue_decomposition,
+    value_ranking,
+    water_cut_trend,
+)
+from .operators.governance import Policy, governed  # noqa: E402
+from .operators.silver import clean_daily, clean_monthly, fx_series, price_series  # noqa: E402
+from .operators.timeseries import fill_series, islands  # noqa: E402
+from .plans.medallion import run_pipeline  # noqa: E402
+from .streaming.refresh import GoldRefresh  # noqa: E402
+
+__all__ = [
+    "GoldRefresh", "Policy", "build_fact", "calendar", "clean_daily", "clean_monthly", "decline_trend",
+    "decomposition_check", "dim_latest", "dim_scd1", "dim_scd2", "downtime_events", "fill_series", "fx_series",
+    "governed", "islands", "price_series", "reconcile_detail", "reconcile_summary", "revenue_decomposition",
+    "run_pipeline", "value_ranking", "water_cut_trend",
+]
