@@ -245,29 +245,35 @@ def series_checks(
     once, rows with an unexpected unit, and calendar days (weekdays only by
     default) between the first and last date with no row.
     """
-    d = F.col(date).cast("date")
-    per_date = series.groupBy(d.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    # One pass over the series: every count is taken per date, and the
+    # checks below read only that table (one row per date).
+    unit_bad = F.count_if(F.col(units) != F.lit(expected_unit)) if units and expected_unit else F.lit(0)
+    per_date = series.groupBy(F.col(date).cast("date").alias("_d")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col(value_text).isNull()).alias("_null"),
+        F.count_if(failed_cast(value_text, "double")).alias("_bad"),
+        unit_bad.alias("_unit"),
+    )
+    base = per_date.agg(
+        F.sum("_n").alias("rows"),
+        F.sum("_null").alias("null_values"),
+        F.sum("_bad").alias("non_numeric_values"),
+        F.sum("_unit").alias("unexpected_units"),
+        F.count_if(F.col("_n") > 1).alias("duplicate_dates"),
+    )
     bounds = per_date.agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
     cal = bounds.select(F.explode(F.sequence("_lo", "_hi")).alias("_d"))
     if weekdays_only:
         cal = cal.where(F.weekday("_d") < 5)
-
-    unit_bad = F.count_if(F.col(units) != F.lit(expected_unit)) if units and expected_unit else F.lit(0)
-    base = series.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(value_text).isNull()).alias("null_values"),
-        F.count_if(failed_cast(value_text, "double")).alias("non_numeric_values"),
-        unit_bad.alias("unexpected_units"),
-    )
-    dup = per_date.agg(F.count_if(F.col("_n") > 1).alias("duplicate_dates"))
-    missing = cal.join(per_date, "_d", "left_anti").agg(F.count(F.lit(1)).alias("missing_dates"))
+    missing = cal.join(per_date.select("_d"), "_d", "left_anti").agg(F.count(F.lit(1)).alias("missing_dates"))
 
     def long(df: DataFrame) -> DataFrame:
         return df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("check_name"), F.col(c).cast("bigint").alias("n")) for c in df.columns
+            F.struct(F.lit(c).alias("check_name"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("n"))
+            for c in df.columns
         ])).alias("_p")).select("_p.*")
 
-    return long(base).unionByName(long(dup)).unionByName(long(missing))
+    return long(base).unionByName(long(missing))
 
 
 def water_cut_range(fact: DataFrame) -> DataFrame:
