@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import BBL_PER_SM3, PRODUCER
 from .ordering import global_row_number
-from .segmented import segmented_scan, with_chunk
+from .segmented import CHUNK, with_chunk
 
 
 def _latest(c: str, date: str) -> F.Column:
@@ -71,16 +71,7 @@ def dim_scd2(
     The surrogate key follows (entity, version, type, attributes) and is
     numbered without a single-task window (``global_row_number``).
     """
-    # LAG and the running SUM run per (entity, month) with carries from the
-    # previous months (``segmented_scan``), not in one window per entity.
-    base = with_chunk(daily.select(entity, tracked, *carried, date), date)
-    order = [F.col(date), F.col(tracked)]
-    with_prev = segmented_scan(base, [entity], order, lag=(tracked, "_prev"))
-    prev = F.col("_prev")
-    flagged = with_prev.withColumn(
-        "_new", F.when((F.col(tracked) != prev) | prev.isNull(), F.lit(1)).otherwise(F.lit(0))
-    ).drop("_prev")
-    versioned = segmented_scan(flagged, [entity], order, running_sum=("_new", "_version"), running_sum_range_by=date)
+    versioned = _versions(daily.select(entity, tracked, *carried, date), entity, tracked, date)
     grouped = versioned.groupBy(entity, tracked, *carried, "_version").agg(
         F.min(date).alias("effective_start_date"), F.max(date).alias("effective_end_date")
     )
@@ -100,6 +91,57 @@ def dim_scd2(
     )
 
 
+def _versions(df: DataFrame, entity: str, tracked: str, date: str) -> DataFrame:
+    """Adds ``_version`` = running count of version starts per entity.
+
+    A row starts a version when its type differs from the previous row's or
+    the previous type is NULL (S-3); the count uses the default RANGE frame
+    over the date, as ``SUM(...) OVER (PARTITION BY entity ORDER BY date)``.
+
+    One pass, chunked by month (no window spans an entity): rows 2…n of a
+    month only need the month's own previous row, so their flags and running
+    count are local. Row 1 needs the last type of the entity's previous
+    month; that, and the number of starts per month, come from one summary
+    row per (entity, month) read off the month's last row.
+    """
+    x = with_chunk(df, date)
+    part = [entity, CHUNK]
+    w = Window.partitionBy(*part).orderBy(F.col(date), F.col(tracked))
+    w_range = Window.partitionBy(*part).orderBy(date)
+    prev = F.lag(tracked).over(w)
+    x = (
+        x.withColumn("_lrn", F.row_number().over(w))
+        .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
+        .withColumn("_first_t", F.first(tracked).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn(
+            "_new", F.when(F.col("_lrn") == 1, F.lit(0))
+            .when((F.col(tracked) != prev) | prev.isNull(), F.lit(1)).otherwise(F.lit(0))
+        )
+        .withColumn("_lsum", F.sum("_new").over(w_range))
+    )
+    summary = x.where(F.col("_is_last")).select(
+        *part, F.col("_first_t"), F.col(tracked).alias("_last_t"), F.col("_lsum").alias("_starts_after_first")
+    )
+    sw = Window.partitionBy(entity).orderBy(CHUNK)
+    prev_last = F.lag("_last_t").over(sw)
+    summary = summary.withColumn(
+        "_first_new", F.when((F.col("_first_t") != prev_last) | prev_last.isNull(), F.lit(1)).otherwise(F.lit(0))
+    )
+    carry = summary.select(
+        *part,
+        "_first_new",
+        F.coalesce(
+            F.sum(F.col("_first_new") + F.col("_starts_after_first")).over(sw.rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        ).alias("_before"),
+    )
+    return (
+        x.join(carry, part)
+        .withColumn("_version", (F.col("_before") + F.col("_first_new") + F.col("_lsum")).cast("bigint"))
+        .drop(CHUNK, "_lrn", "_is_last", "_first_t", "_new", "_lsum", "_first_new", "_before")
+    )
+
+
 def calendar(daily: DataFrame, date: str = "prod_date") -> DataFrame:
     """DIM-6: every day from the first to the last date, with year, month,
     quarter and month start. One aggregate for the bounds, then ``sequence``

@@ -47,3 +47,23 @@ def test_segmented_range_running_sum(spark):
                          running_sum_range_by="d")
     ref = df.select("id", F.sum("one").over(Window.partitionBy("k").orderBy("d")).alias("cs"))
     assert {r.id: r.cs for r in got.collect()} == {r.id: r.cs for r in ref.collect()}
+
+
+def test_scd2_versions_match_plain_window(spark):
+    from boreflow.operators.dims import _versions
+
+    rnd = random.Random(9)
+    rows = []
+    for i in range(900):
+        k = rnd.choice(["a", "b", "hot", "hot"])
+        d = dt.date(2019, 1, 1) + dt.timedelta(days=rnd.randint(0, 400))
+        t = rnd.choice(["OP", "OP", "WI", None])
+        rows.append((i, k, d, t))
+    df = spark.createDataFrame(rows, "id long, k string, d date, t string")
+    got = {r.id: r._version for r in _versions(df, "k", "t", "d").collect()}
+    w = Window.partitionBy("k").orderBy(F.col("d"), F.col("t"))
+    prev = F.lag("t").over(w)
+    ref = df.withColumn("new", F.when((F.col("t") != prev) | prev.isNull(), 1).otherwise(0)).withColumn(
+        "v", F.sum("new").over(Window.partitionBy("k").orderBy("d"))
+    )
+    assert got == {r.id: r.v for r in ref.collect()}
