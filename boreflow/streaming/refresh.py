@@ -15,6 +15,8 @@ the full silver table and overwrites just those partitions:
 | downtime events    | well bucket          | islands never cross wells, but span months  |
 | value ranking      | whole                | global order over the per-well totals       |
 | decomposition      | year                 | the baseline is the year's first month     |
+| well-month attrs   | month                | feeds dim_well, dim_well_scd1, dim_date     |
+| dim_well(_scd1), dim_date | whole (small)  | one row per well / per day (D-5)            |
 | refresh log        | batch id             | one row per micro-batch                    |
 
 Overwriting whole partitions is idempotent, so a micro-batch that runs twice
@@ -37,7 +39,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.cleaning import month_start
 from ..operators import fact as fact_ops
-from ..operators import gold, timeseries
+from ..operators import dims, gold, timeseries
 from ..sources.sinks import read_if_exists, write_partitions, write_replace
 
 WELL_BUCKETS = 64
@@ -163,14 +165,43 @@ class GoldRefresh:
         ranking = gold.value_ranking(self.spark.read.parquet(self.path("well_month_value")))
         write_replace(ranking, self.path("value_ranking"))
 
-        # 5. decomposition for the touched years
+        # 5. dimensions (D-5: kept current with the fact). A per-(well, month)
+        # summary of the touched months feeds the well dimensions and the
+        # calendar bounds, so silver is never scanned whole for them.
+        attrs = ("well_type", "field_name", "facility_name")
+        write_partitions(
+            touched.groupBy("month_start", "well_name").agg(
+                F.min("prod_date").alias("first_date"),
+                F.max("prod_date").alias("last_date"),
+                *[F.max_by(F.col(a), F.when(F.col("prod_date").isNotNull(), F.struct("prod_date", a))).alias(a)
+                  for a in attrs],
+            ),
+            self.path("well_month_attrs"), ["month_start"],
+        )
+        wm = self.spark.read.parquet(self.path("well_month_attrs"))
+        latest = F.when(F.col("last_date").isNotNull(), F.col("last_date"))
+        dim = wm.groupBy("well_name").agg(
+            *[F.max_by(F.col(a), F.struct(latest, F.col(a))).alias(a) for a in attrs],
+            F.min("first_date").alias("first_producing_date"),
+            F.max("last_date").alias("last_producing_date"),
+        )
+        write_replace(dim.drop("well_type"), self.path("dim_well"))
+        write_replace(dim.select("well_name", *attrs, "first_producing_date", "last_producing_date"),
+                      self.path("dim_well_scd1"))
+        bounds = wm.agg(F.min("first_date").alias("_lo"), F.max("last_date").alias("_hi"))
+        write_replace(
+            dims.calendar(bounds.select(F.explode(F.array("_lo", "_hi")).alias("prod_date"))),
+            self.path("dim_date"),
+        )
+
+        # 6. decomposition for the touched years
         year_months = (
             self.spark.read.parquet(self.path("fact")).where(F.year("month_start").isin(years)).drop("month_start")
         )
         decomp = gold.revenue_decomposition(year_months)
         write_partitions(decomp, self.path("revenue_decomposition"), ["report_year"])
 
-        # 6. refresh log, keyed on the batch id
+        # 7. refresh log, keyed on the batch id
         log = batch.agg(F.count(F.lit(1)).alias("rows_in")).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"),
             "rows_in",

@@ -63,6 +63,13 @@ def test_two_batches_refresh(spark, tmpdir_path):
     cols = ["month_start", "report_year", "benchmark_revenue_usd", "revenue_change_usd", "total_oil_vol_bbl"]
     assert rows(g("revenue_decomposition"), *cols) == rows(gold.revenue_decomposition(fact), *cols)
     assert g("fact").count() == fact.count()
+    from boreflow.operators import dims
+
+    cols = ["well_name", "field_name", "facility_name", "first_producing_date", "last_producing_date"]
+    assert rows(g("dim_well"), *cols) == rows(dims.dim_latest(silver_all), *cols)
+    cols = ["well_name", "well_type", "last_producing_date"]
+    assert rows(g("dim_well_scd1"), *cols) == rows(dims.dim_scd1(silver_all), *cols)
+    assert rows(g("dim_date")) == rows(dims.calendar(silver_all))
 
 
 def test_replayed_batch_is_idempotent(spark, tmpdir_path):
