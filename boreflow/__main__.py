@@ -24,8 +24,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--fx", required=True, help="FX JSON payload file(s) or folder")
     ap.add_argument("--out", required=True, help="output root (bronze/, silver/, gold/, quality/)")
     ap.add_argument("--repair-names", action="store_true", help="repair mis-decoded UTF-8 in names")
+    ap.add_argument("--ui", action="store_true", help="start the Spark web UI (off by default)")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("boreflow").getOrCreate()
+    spark = (
+        SparkSession.builder.appName("boreflow").config("spark.ui.enabled", "true" if a.ui else "false").getOrCreate()
+    )
     ensure_checkpoint_dir(spark)
     for name, path in run_pipeline(
         spark, daily_csv=a.daily, monthly_csv=a.monthly, price_json=a.price, fx_json=a.fx, out=a.out,
