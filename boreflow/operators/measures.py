@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import safe_ratio
+from ..functions.cleaning import month_start, safe_ratio
 from ..functions.constants import WHAT_IF_PRICES
 from .segmented import CHUNK, segmented_scan, with_chunk
 
@@ -63,10 +63,11 @@ def _corr(a: str, b: str) -> F.Column:
     return safe_ratio(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
 
-def choke_performance(fact: DataFrame, entity: str = "well_name") -> DataFrame:
-    """BI-4: per entity mean choke, mean oil rate, mean wellhead pressure
-    (bubble size) and the choke-oil correlation over producing days."""
-    return fact.groupBy(entity).agg(
+def choke_performance(fact: DataFrame, entity: str = "well_name", by_month: bool = False) -> DataFrame:
+    """BI-4: per entity (or entity and month) mean choke, mean oil rate, mean
+    wellhead pressure (bubble size) and the choke-oil correlation."""
+    keys = [entity, month_start("prod_date").alias("month_start")] if by_month else [entity]
+    return fact.groupBy(*keys).agg(
         _mean("avg_choke_size").alias("avg_choke"),
         _mean("oil_vol_sm3").alias("avg_oil_sm3"),
         _mean("avg_whp").alias("avg_whp"),
