@@ -7,7 +7,7 @@ the full silver table and overwrites just those partitions:
 
 | gold table         | refresh key          | why                                       |
 | ------------------ | -------------------- | ----------------------------------------- |
-| price_filled       | batch id (versions)  | a new date can change the fill of others   |
+| spine, price_filled | batch id (versions) | a new date can change the fill of others   |
 | fact               | month                | row-wise over silver                       |
 | decline, water cut | month                | grouped by month                           |
 | well-month value   | month                | per-well totals without re-reading the fact |
@@ -87,18 +87,27 @@ class GoldRefresh:
     # -- one micro-batch -------------------------------------------------------
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         silver = self.silver()
-        # 1. filled price over the whole spine (one row per date). New spine
-        # dates can change the filled price of *later* dates (forward fill),
-        # so months whose filled price changed are touched as well.
-        spine = silver.select(F.col("prod_date").alias("cal_date"))
+        # The date spine and the filled price are versioned by batch id and the
+        # refresh log is written last: a replayed batch builds on, and diffs
+        # against, the version of the last *committed* batch, never its own
+        # half-written output.
+        committed = self.last_committed_batch()
+        # 1. date spine = committed spine + this batch's dates (one row per
+        # day; silver is never scanned whole for it)
+        batch_dates = batch.select(F.col("prod_date").alias("cal_date"))
+        if committed is not None:
+            old_spine = self.spark.read.parquet(self.path("spine")).where(F.col("batch_id") == committed)
+            batch_dates = batch_dates.unionByName(old_spine.select("cal_date"))
+        write_partitions(batch_dates.distinct().withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                         self.path("spine"), ["batch_id"])
+        spine = self.spark.read.parquet(self.path("spine")).where(F.col("batch_id") == batch_id).drop("batch_id")
+        # 2. filled price over the spine. New spine dates can change the
+        # filled price of *later* dates (forward fill), so months whose filled
+        # price changed are touched as well.
         price_filled = timeseries.fill_series(
             spine, self.price, date="cal_date", value="brent_usd_bbl", series_date="price_date",
             out="brent_usd_bbl_filled",
         )
-        # The filled price is versioned by batch id and the refresh log is
-        # written last: a replayed batch diffs against the version of the last
-        # *committed* batch, never against its own half-written output.
-        committed = self.last_committed_batch()
         old = None
         if committed is not None:
             old = self.spark.read.parquet(self.path("price_filled")).where(F.col("batch_id") == committed)
@@ -128,7 +137,7 @@ class GoldRefresh:
         ).distinct()
         buckets_df = wells.select(well_bucket("well_name", self.buckets).alias("_wb")).distinct()
 
-        # 2. fact, decline, water cut for the touched months
+        # 3. fact, decline, water cut for the touched months
         touched = silver.where(F.col("month_start").isin(months))
         fact = fact_ops.build_fact(touched, price_filled, self.fx).withColumn(
             "month_start", month_start("prod_date")
@@ -154,18 +163,18 @@ class GoldRefresh:
             self.path("shutin_days"), ["month_start"],
         )
 
-        # 3. downtime events for the touched well buckets (islands span months)
+        # 4. downtime events for the touched well buckets (islands span months)
         shut = self.spark.read.parquet(self.path("shutin_days")).drop("month_start").withColumn(
             "_wb", well_bucket("well_name", self.buckets)
         ).join(F.broadcast(buckets_df), "_wb", "left_semi").withColumn("is_shutin", F.lit(True))
         events = gold.downtime_events(shut).withColumn("_wb", well_bucket("well_name", self.buckets))
         write_partitions(events, self.path("downtime_events"), ["_wb"])
 
-        # 4. ranking over the per-well totals (one row per well)
+        # 5. ranking over the per-well totals (one row per well)
         ranking = gold.value_ranking(self.spark.read.parquet(self.path("well_month_value")))
         write_replace(ranking, self.path("value_ranking"))
 
-        # 5. dimensions (D-5: kept current with the fact). A per-(well, month)
+        # 6. dimensions (D-5: kept current with the fact). A per-(well, month)
         # summary of the touched months feeds the well dimensions and the
         # calendar bounds, so silver is never scanned whole for them.
         attrs = ("well_type", "field_name", "facility_name")
@@ -194,14 +203,14 @@ class GoldRefresh:
             self.path("dim_date"),
         )
 
-        # 6. decomposition for the touched years
+        # 7. decomposition for the touched years
         year_months = (
             self.spark.read.parquet(self.path("fact")).where(F.year("month_start").isin(years)).drop("month_start")
         )
         decomp = gold.revenue_decomposition(year_months)
         write_partitions(decomp, self.path("revenue_decomposition"), ["report_year"])
 
-        # 7. refresh log, keyed on the batch id
+        # 8. refresh log, keyed on the batch id
         log = batch.agg(F.count(F.lit(1)).alias("rows_in")).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"),
             "rows_in",
