@@ -211,11 +211,13 @@ class GoldRefresh:
         write_partitions(decomp, self.path("revenue_decomposition"), ["report_year"])
 
         # 8. refresh log, keyed on the batch id
+        rows_out = fact_m.agg(F.count(F.lit(1))).scalar()  # fact rows of the touched months
         log = batch.agg(F.count(F.lit(1)).alias("rows_in")).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"),
             "rows_in",
             F.lit(len(months)).alias("months_touched"),
             F.lit(len(years)).alias("years_touched"),
+            rows_out.alias("fact_rows_out"),
             F.current_timestamp().alias("refreshed_at"),
         )
         write_partitions(log, self.path("refresh_log"), ["batch_id"])

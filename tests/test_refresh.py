@@ -46,6 +46,7 @@ def test_two_batches_refresh(spark, tmpdir_path):
     r.run()                                  # no new file: nothing happens
     log = refresh_history(spark, gold_root)
     assert log.count() == 2
+    assert log.agg(F.min("fact_rows_out")).first()[0] > 0
 
     silver_all = spark.read.parquet(silver_path).drop("month_start")
     fact = _full(spark, silver_all, price, fx)
