@@ -65,8 +65,9 @@ def run_pipeline(
     fx_raw = put("bronze/fx_raw", files.read_json_payloads(spark, fx_json))
 
     # quality on bronze (one pass per check)
-    put("quality/load_audit", files.load_audit(daily_rows, daily_rejects).unionByName(
+    audit = put("quality/load_audit", files.load_audit(daily_rows, daily_rejects).unionByName(
         files.load_audit(monthly_rows, monthly_rejects)))
+    put("quality/load_history", files.load_history(audit))
     put("quality/daily_rejects", daily_rejects)
     put("quality/null_profile", quality.null_profile(daily_rows, silver.RAW_DAILY))
     put("quality/duplicates", quality.duplicate_keys(

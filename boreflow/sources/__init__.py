@@ -2,6 +2,7 @@ from .files import (
     infer_schema_diff,
     land_bronze,
     load_audit,
+    load_history,
     load_untyped_csv,
     read_json_payloads,
     read_untyped_csv,
@@ -18,6 +19,7 @@ __all__ = [
     "load_untyped_csv",
     "split_rejects",
     "load_audit",
+    "load_history",
     "merge_pages",
     "payload_shape",
     "read_json_payloads",

@@ -132,3 +132,10 @@ def load_audit(rows: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
         F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
         F.coalesce("rows_rejected", F.lit(0)).alias("rows_rejected"),
     )
+
+
+def load_history(audit: DataFrame, n: int = 5) -> DataFrame:
+    """SRC-4: the ``n`` most recently modified source files of a load audit
+    (a top-n report: the limit is the feature; planned as a per-partition
+    top-n and a final merge)."""
+    return audit.orderBy(F.col("last_modified").desc_nulls_last(), F.col("file_path")).limit(n)
