@@ -64,3 +64,13 @@ def test_scd2_versions_cover_every_row_once(spark):
     assert covered.count() == daily.count()                      # every row in exactly one version
     assert v.where("is_current").count() == 2
     assert v.count() == 5 + 5
+
+
+def test_injector_day_breaks_a_downtime_run(spark):
+    recs = [("a", D(2020, 1, 1), "OP", "0", "0"), ("a", D(2020, 1, 2), "OP", "0", "0"),
+            ("a", D(2020, 1, 3), "WI", "0", "0"), ("a", D(2020, 1, 4), "OP", "0", "0")]
+    daily = _daily(spark, recs).withColumn("is_shutin", F.col("well_type") == "OP")
+    price = spark.createDataFrame([(D(2020, 1, d), 50.0) for d in range(1, 5)], "cal_date date, brent_usd_bbl_filled double")
+    fx = spark.createDataFrame([(D(2020, 1, 1), 1.0)], "rate_date date, nok_per_usd double")
+    ev = gold.downtime_events(build_fact(daily, price, fx))
+    assert sorted((r.event_start.day, r.duration_days) for r in ev.collect()) == [(1, 2), (4, 1)]   # S-9
