@@ -49,3 +49,23 @@ def test_mojibake_repair_guarded(spark):
 def test_failed_cast(spark):
     df = spark.createDataFrame([("1.5",), ("",), (None,), ("x1",)], "x string")
     assert [r.f for r in df.select(C.failed_cast("x", "decimal(18,4)").alias("f")).collect()] == [False, False, False, True]
+
+
+def test_tolerant_date_round_trip_property(spark):
+    """Any date written in either accepted layout parses back to itself
+    (two-digit years within the 1970-2069 window)."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    collected = []
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.dates(min_value=dt.date(1970, 1, 1), max_value=dt.date(2069, 12, 31)))
+    def gen(d):
+        collected.append(d)
+
+    gen()
+    rows = [(d, d.isoformat(), d.strftime("%d-%m-%y")) for d in collected]
+    df = spark.createDataFrame(rows, "d date, iso string, dmy string")
+    out = df.select("d", C.tolerant_date("iso").alias("a"), C.tolerant_date("dmy").alias("b")).collect()
+    assert all(r.a == r.d and r.b == r.d for r in out)
