@@ -349,13 +349,15 @@ def _merged(p: Pipeline, fields=EVENT_FIELDS):
 @register(
     "dq_series",
     oracle(
-        """WITH e AS (SELECT CAST(ts AS DATE) AS d, value FROM events),
+        """WITH e AS (SELECT CAST(ts AS DATE) AS d, CAST(value AS VARCHAR) AS value, '$/BBL' AS units FROM events),
            pd AS (SELECT d, COUNT(*) AS n FROM e GROUP BY d),
            cal AS (SELECT CAST(unnest(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY)) AS DATE) AS d FROM pd)
            SELECT 'rows' AS check_name, COUNT(*) AS n FROM e
-           UNION ALL SELECT 'null_values', COUNT_IF(value IS NULL) FROM e
-           UNION ALL SELECT 'non_numeric_values', 0
-           UNION ALL SELECT 'unexpected_units', 0
+           UNION ALL SELECT 'null_values', COUNT(CASE WHEN value IS NULL THEN 1 END) FROM e
+           UNION ALL SELECT 'non_numeric_values',
+                  COUNT(CASE WHEN value IS NOT NULL AND value != '' AND TRY_CAST(value AS DOUBLE) IS NULL THEN 1 END)
+                  FROM e
+           UNION ALL SELECT 'unexpected_units', COUNT(CASE WHEN units != '$/BBL' THEN 1 END) FROM e
            UNION ALL SELECT 'duplicate_dates', COUNT_IF(n > 1) FROM pd
            UNION ALL SELECT 'missing_dates', COUNT(*) FROM cal
              WHERE isodow(d) < 6 AND d NOT IN (SELECT d FROM pd)""",
