@@ -403,12 +403,14 @@ def q_flatten_nested(p: Pipeline) -> DataFrame:
 @register(
     "merge_pages",
     oracle(
-        """SELECT COUNT(*) AS reported_total,
-                  COUNT(*) + COUNT_IF(event_id % 5000 = 0 AND event_id > 0) AS records_received,
+        """WITH r AS (SELECT DISTINCT event_id, ts, value, event_type FROM events)
+           SELECT (SELECT COUNT(*) FROM events) AS reported_total,
+                  (SELECT COUNT(*) + COUNT_IF(event_id % 5000 = 0 AND event_id > 0) FROM events) AS records_received,
                   COUNT(*) AS records_distinct,
-                  COUNT_IF(event_id % 5000 = 0 AND event_id > 0) AS duplicates,
-                  0 AS conflicting_keys, 0 AS missing
-           FROM events""",
+                  (SELECT COUNT(*) + COUNT_IF(event_id % 5000 = 0 AND event_id > 0) FROM events) - COUNT(*) AS duplicates,
+                  COUNT(*) - COUNT(DISTINCT event_id) AS conflicting_keys,
+                  (SELECT COUNT(*) FROM events) - COUNT(DISTINCT event_id) AS missing
+           FROM r""",
         [("reported_total", "int"), ("records_received", "int"), ("records_distinct", "int"),
          ("duplicates", "int"), ("conflicting_keys", "int"), ("missing", "int")],
     ),
@@ -522,10 +524,15 @@ def q_gov_mask(p: Pipeline) -> DataFrame:
 @register(
     "gov_compare",
     oracle(
-        f"""SELECT 'ENGINEER' AS role, COUNT(DISTINCT well_name) AS wells_visible, COUNT(*) AS rows_visible,
-                   COUNT(avg_whp) AS avg_whp_visible FROM fact
-            UNION ALL SELECT '{VIEWER_ROLE}', COUNT(DISTINCT well_name), COUNT(*), 0 FROM fact WHERE well_name IN ({_IN})
-            UNION ALL SELECT 'UNKNOWN', 0, 0, 0""",
+        f"""WITH roles AS (SELECT * FROM (VALUES ('ENGINEER'), ('{VIEWER_ROLE}'), ('UNKNOWN')) t(role)),
+                 full_access AS (SELECT * FROM (VALUES {", ".join(f"('{r}')" for r in FULL_ACCESS_ROLES)}) t(role))
+            SELECT r.role,
+                   COUNT(DISTINCT f.well_name) AS wells_visible, COUNT(f.well_name) AS rows_visible,
+                   COUNT(CASE WHEN r.role IN (SELECT role FROM full_access) THEN f.avg_whp END) AS avg_whp_visible
+            FROM roles r LEFT JOIN fact f
+              ON r.role IN (SELECT role FROM full_access)
+                 OR (r.role = '{VIEWER_ROLE}' AND f.well_name IN ({_IN}))
+            GROUP BY r.role""",
         [("role", "keep"), ("wells_visible", "int"), ("rows_visible", "int"), ("avg_whp_visible", "int")],
     ),
 )
