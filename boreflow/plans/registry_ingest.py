@@ -708,3 +708,21 @@ def q_negatives_monthly(p: Pipeline) -> DataFrame:
 def q_duplicates_monthly(p: Pipeline) -> DataFrame:
     """DQ-2: (well, month, year) keys of the monthly source loaded more than once."""
     return present(quality.duplicate_keys(p.bronze_monthly, ["wellbore_name", "month", "year"]))
+
+
+@register(
+    "payload_types",
+    oracle(
+        """SELECT 'object' AS top_level_type, COUNT(*) AS payloads FROM (
+             SELECT DISTINCT CAST(floor(event_id / 5000) AS BIGINT) AS page FROM events
+             UNION SELECT CAST(floor(event_id / 5000) AS BIGINT) - 1 FROM events
+                   WHERE event_id % 5000 = 0 AND event_id > 0) p
+           UNION ALL
+           SELECT 'array', COUNT(DISTINCT date_trunc('month', rate_date)) FROM fx""",
+        [("top_level_type", "keep"), ("payloads", "int")],
+    ),
+)
+def q_payload_types(p: Pipeline) -> DataFrame:
+    """SRC-7: payloads per top-level JSON type (object pages, array documents)."""
+    shapes = payloads.payload_shape(p.event_pages.select("raw").unionByName(p.fx_payloads.select("raw")))
+    return present(shapes.groupBy("top_level_type").agg(F.sum("payloads").alias("payloads")))
