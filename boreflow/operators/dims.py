@@ -75,14 +75,22 @@ def dim_scd2(
     grouped = versioned.groupBy(entity, tracked, *carried, "_version").agg(
         F.min(date).alias("effective_start_date"), F.max(date).alias("effective_end_date")
     )
-    # Latest version per entity: an aggregate instead of a second window.
-    latest = grouped.groupBy(entity).agg(
-        F.max(F.struct("_version", tracked, *carried)).alias("_cur")
+    # Current row per entity without a window: the highest version number is
+    # an integer hash aggregate; only the rows carrying it (usually one, more
+    # when an attribute changed inside that version, S-4) go into the pick of
+    # one row, so the text comparison runs on about one row per entity.
+    top = grouped.groupBy(entity).agg(F.max("_version").alias("_version"))
+    candidates = grouped.join(top, [entity, "_version"], "left_semi")
+    pick = candidates.groupBy(entity).agg(F.max(F.struct(tracked, *carried)).alias("_cur"))
+    cur = (
+        grouped.join(top.withColumnRenamed("_version", "_top"), entity)
+        .join(pick, entity)
+        .withColumn(
+            "is_current",
+            (F.col("_version") == F.col("_top")) & F.struct(tracked, *carried).eqNullSafe(F.col("_cur")),
+        )
+        .drop("_top", "_cur")
     )
-    cur = grouped.join(latest, entity).withColumn(
-        "is_current",
-        F.struct("_version", tracked, *carried).eqNullSafe(F.col("_cur")),
-    ).drop("_cur")
     order = [F.col(entity).asc_nulls_last(), F.col("_version"), F.col(tracked).asc_nulls_last(),
              *[F.col(c).asc_nulls_last() for c in carried]]
     keyed = global_row_number(cur, order, out="well_surrogate_key", partitions=partitions)
