@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,15 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+    (On a cluster the package is installed or passed with ``--py-files``.)"""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, root]))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the folder all executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
@@ -29,6 +40,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

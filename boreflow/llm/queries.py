@@ -6,12 +6,14 @@ is tested against a brute-force version in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, pii, sharding, warc
+from . import exact_dedup, line_dedup, near_dedup, packing, pii, sharding, warc
 
 QUERIES = {
+    "op2_near_dedup": (near_dedup.query, None),
     "op3_exact_dedup": (exact_dedup.query, exact_dedup.SQL),
     "op4_sharding": (sharding.query, None),
     "op5_pii": (pii.query, None),
     "op6_line_dedup": (line_dedup.query, line_dedup.SQL),
+    "op7_packing": (packing.query, None),
     "op10_warc": (warc.query, None),
 }
