@@ -6,7 +6,7 @@ is tested against a brute-force version in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, near_dedup, packing, pii, sharding, warc
+from . import exact_dedup, line_dedup, mixing, near_dedup, neighbours, packing, pii, sharding, warc
 
 QUERIES = {
     "op2_near_dedup": (near_dedup.query, None),
@@ -15,5 +15,7 @@ QUERIES = {
     "op5_pii": (pii.query, None),
     "op6_line_dedup": (line_dedup.query, line_dedup.SQL),
     "op7_packing": (packing.query, None),
+    "op8_mixing": (mixing.query, None),
+    "op9_neighbours": (neighbours.query, None),
     "op10_warc": (warc.query, None),
 }
