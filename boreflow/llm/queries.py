@@ -6,9 +6,10 @@ is tested against a brute-force version in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, mixing, near_dedup, neighbours, packing, pii, sharding, warc
+from . import exact_dedup, line_dedup, mixing, near_dedup, neighbours, packing, pii, sharding, toxicity, warc
 
 QUERIES = {
+    "op1_toxicity": (toxicity.query, None),
     "op2_near_dedup": (near_dedup.query, None),
     "op3_exact_dedup": (exact_dedup.query, exact_dedup.SQL),
     "op4_sharding": (sharding.query, None),
