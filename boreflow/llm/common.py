@@ -44,6 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """Whole rows in one column ``row``, so that no name in them can clash with a helper column."""
+    return docs.select(F.struct("*").alias("row"))
+
+
 def bucket_count(rows: int, least: int = 64) -> int:
     """A power of two near the square root of the row count: both the rows of
     one bucket and the table of bucket totals then grow with the root only."""

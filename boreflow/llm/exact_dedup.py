@@ -26,7 +26,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, shared_path, store, table
+from .common import SPACE, shared_path, store, table, wrapped
 
 
 def text_digest(text: Column) -> Column:
@@ -102,9 +102,9 @@ def exact_groups(docs: DataFrame, index_path: str | None = None, batches: int =
 def drop_copies(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that stay, all their columns; of repeated rows one."""
     kept = exact_groups(docs, **how).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    tagged = docs.withColumn("_own_digest", text_digest(F.col("text")))
-    found = tagged.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_digest") == F.col("_digest")), "left_semi")
-    return found.dropDuplicates(["_own_digest"]).drop("_own_digest")
+    tagged = wrapped(docs).withColumn("_own", text_digest(F.col("row.text")))
+    found = tagged.join(kept, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
+    return found.dropDuplicates(["_own"]).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

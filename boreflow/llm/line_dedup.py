@@ -26,11 +26,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import store, table
+from .common import store, table, wrapped
 
 WINDOW = 3
 
 
+def document_key(doc_id="doc_id", text="text"):
+    doc_id, text = F.col(doc_id), F.col(text)
+    return F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), F.md5(text.cast("binary")).alias("md5"))
+
+
 def windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """(doc, line, window): one row per window; doc is (id is null, id, text digest)."""
     lines = F.transform(F.split("text", "\n"), lambda x: F.md5(x.cast("binary")))
@@ -43,10 +48,6 @@ def windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows.select("doc", F.posexplode(spans).alias("line", "window"))
 
 
-def document_key():
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.md5(F.col("text").cast("binary")).alias("md5"))
-
-
 def covered_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """(doc, covered): the line numbers, from 0, that later occurrences cover."""
     found = store(windows(docs, size), "line-windows")
@@ -65,23 +66,23 @@ def covered_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 def drop_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` with the repeated lines removed from ``text``; all columns stay,
     ``n_lines`` and ``n_removed`` are added (replaced if they exist)."""
-    covered = covered_lines(docs, size).select(F.col("doc").alias("_doc"), "covered").withColumnRenamed("covered", "_covered")
-    split = F.split("text", "\n")
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(split))
-    joined = docs.withColumn("_own", document_key()).join(
+    covered = covered_lines(docs, size).select(F.col("doc").alias("_doc"), "covered")
+    text = F.col("row.text")
+    split = F.split(text, "\n")
+    joined = wrapped(docs).withColumn("_own", document_key("row.doc_id", "row.text")).join(
         covered,
         (F.col("_own.no_id") == F.col("_doc.no_id"))
         & F.coalesce(F.col("_own.id"), F.lit(0)).eqNullSafe(F.coalesce(F.col("_doc.id"), F.lit(0)))
         & (F.col("_own.md5") == F.col("_doc.md5")),
         "left",
     )
-    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_covered", i)), "\n")
-    return (
-        joined.withColumn("n_lines", n.cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_covered"), F.lit(0)).cast("long"))
-        .withColumn("n_removed", F.greatest(F.col("n_removed"), F.lit(0).cast("long")))
-        .withColumn("text", F.when(F.col("_covered").isNull(), F.col("text")).otherwise(kept))
-        .drop("_own", "_doc", "_covered")
+    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("covered", i)), "\n")
+    cleaned = F.when(F.col("covered").isNull(), text).otherwise(kept)
+    others = [F.col("row").getField(c).alias(c) if c != "text" else cleaned.alias("text") for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return joined.select(
+        *others,
+        F.when(text.isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
+        F.when(F.col("covered").isNull(), 0).otherwise(F.size("covered")).cast("long").alias("n_removed"),
     )
 
 

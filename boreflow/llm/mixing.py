@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, bucket_count, key_bucket, shuffle_key, store, table
+from .common import WORD, bucket_count, key_bucket, shuffle_key, store, table, wrapped
 
 MAX_EPOCHS = 2.0
 STEPS = 60
@@ -94,11 +94,11 @@ def mix(
     added = ["mix_tokens", "mix_epoch", "mix_weight", "mix_position", "mix_at"]
     docs = docs.drop(*added)
     buckets = bucket_count(docs.count())
-    rows = docs.select(
-        "*",
-        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_source"),
-        shuffle_key(seed, "doc_id").alias("_key"),
-        word_count("text").alias("mix_tokens"),
+    rows = wrapped(docs).select(
+        "row",
+        F.coalesce(F.concat(F.lit("="), F.col("row.source")), F.lit("")).alias("_source"),
+        shuffle_key(seed, "row.doc_id").alias("_key"),
+        word_count("row.text").alias("mix_tokens"),
     ).withColumn("_block", key_bucket(F.col("_key"), buckets))
     blocks = store(rows.groupBy("_source", "_block").agg(F.sum("mix_tokens").alias("_tokens")), "mix-blocks")
     sizes = {r["_source"]: r["n"] for r in blocks.groupBy("_source").agg(F.sum("_tokens").alias("n")).collect()}
@@ -121,7 +121,7 @@ def mix(
     out = rows.join(read, ["_source", "_block"]).withColumn("_read", F.explode("_reads"))
     out = out.withColumn("mix_position", F.col("_read._before") + F.col("_inside")).filter(F.col("mix_position") < F.col("_target") - 1e-6)
     return out.select(
-        *docs.columns, "mix_tokens", F.col("_read.mix_epoch").alias("mix_epoch"), "mix_weight", "mix_position",
+        "row.*", "mix_tokens", F.col("_read.mix_epoch").alias("mix_epoch"), "mix_weight", "mix_position",
         (F.col("mix_position") / F.col("_target")).alias("mix_at"),
     )
 
