@@ -240,11 +240,11 @@ def votes(sample, n_terms: int) -> tuple[np.ndarray, list[str]]:
     return v, names
 
 
-def chow_liu(v: np.ndarray, q: np.ndarray) -> list[int]:
+def chow_liu(v: np.ndarray, q: np.ndarray, trust: np.ndarray) -> list[int]:
     """Parent of each voter (-1: none): the spanning tree of largest mutual
     information given the class."""
     m, info = v.shape[1], 0
-    for weight in (q, 1 - q):
+    for weight in (q * trust, (1 - q) * trust):
         total = weight.sum() + 1
         x = v.astype(float)
         both = (x * weight[:, None]).T @ x / total
@@ -263,7 +263,7 @@ def chow_liu(v: np.ndarray, q: np.ndarray) -> list[int]:
         at = max(left, key=lambda j: (best[j], -j))
         left.remove(at)
         # a chance correlation is worth less than the parameters it costs
-        parent[at] = int(link[at]) if best[at] > math.log(len(v) + 1) else -1
+        parent[at] = int(link[at]) if best[at] > math.log(trust.sum() + 1) else -1
     return parent
 
 
@@ -271,14 +271,17 @@ def label_model(v: np.ndarray, known: np.ndarray, prior: float, turns: int = 12)
     """(posterior of class 1, P(class 1 | voter fires), parents). ``known``: 0, 1 or -1."""
     cue = ~v[:, -1]
     q = np.where(known >= 0, known, np.where(cue, 0.5, prior / 2)).astype(float)
-    parent = [-1] * v.shape[1]
+    parent, told = [-1] * v.shape[1], known >= 0
+    enough = min((known == 0).sum(), (known == 1).sum()) >= 20
     for turn in range(turns):
-        if turn == 2:
-            parent = chow_liu(v, q)
+        # the first turn learns from labelled rows alone, where there are enough
+        trust = told.astype(float) if enough and turn == 0 else np.ones(len(v))
+        if turn == (0 if enough else 2):
+            parent = chow_liu(v, q, trust)
         log = np.stack([np.full(len(v), math.log(1 - prior)), np.full(len(v), math.log(prior))], axis=1)
         for j, up in enumerate(parent):
             state = v[:, up].astype(int) if up >= 0 else np.zeros(len(v), int)
-            for y, weight in enumerate((1 - q, q)):
+            for y, weight in enumerate(((1 - q) * trust, q * trust)):
                 base = (weight @ v[:, j] + 0.5) / (weight.sum() + 1)
                 for s in (0, 1):
                     here = state == s
