@@ -80,11 +80,13 @@ def repair_mojibake(c: Column | str) -> Column:
 
     Only rewrites values that contain a lead byte pair typical of the mistake
     and nothing above U+00FF (clean text such as ``Æ`` would not round-trip).
+    Text that is broken in one place and clean in another is no UTF-8 when it
+    is encoded back; it is left as it is.
     """
     col = _c(c)
     looks_broken = col.rlike("[Â-Ã][\u0080-¿]") & ~col.rlike("[^\u0000-ÿ]")
-    fixed = F.decode(F.encode(col, "ISO-8859-1"), "UTF-8")
-    return F.when(looks_broken, fixed).otherwise(col)
+    encoded = F.encode(F.when(looks_broken, col), "ISO-8859-1").cast("string")
+    return F.coalesce(F.try_validate_utf8(encoded), col)
 
 
 def failed_cast(c: Column | str, target: str) -> Column:

@@ -10,15 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import BBL_PER_SM3, PRODUCER
 from .ordering import global_row_number
 from .segmented import CHUNK, with_chunk
-
-
-def _latest(c: str, date: str) -> F.Column:
-    # Value on the entity's latest date, even when that value is NULL
-    # (MAX_BY semantics); rows without a date are ignored. Ties on the date
-    # are resolved by the value itself so the answer does not depend on row
-    # order.
-    ordering = F.when(F.col(date).isNotNull(), F.struct(F.col(date), F.col(c)))
-    return F.max_by(F.col(c), ordering).alias(c)
+from .timeseries import one_per_key
 
 
 def dim_latest(
@@ -31,10 +23,20 @@ def dim_latest(
 ) -> DataFrame:
     """DIM-1 (and DIM-2 with ``well_type`` in ``attrs``): latest attributes,
     first and last date per entity. All dates count, shut-in and injection
-    days included (S-11)."""
-    return daily.groupBy(entity).agg(
-        *[_latest(a, date) for a in attrs], F.min(date).alias(first), F.max(date).alias(last)
-    )
+    days included (S-11).
+
+    Each attribute has the value of the entity's latest date, even when that
+    is NULL (MAX_BY semantics); ties on the date go to the larger value, rows
+    without a date are ignored. The rows are reduced by a hash aggregate over
+    (entity, attributes) that keeps only dates; ``max_by`` then sees the few
+    combinations an entity has had.
+    """
+    seen = daily.groupBy(entity, *attrs).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
+
+    def latest(c: str) -> F.Column:
+        return F.max_by(F.col(c), F.when(F.col("_hi").isNotNull(), F.struct(F.col("_hi"), F.col(c)))).alias(c)
+
+    return seen.groupBy(entity).agg(*[latest(a) for a in attrs], F.min("_lo").alias(first), F.max("_hi").alias(last))
 
 
 def dim_scd1(daily: DataFrame, entity: str = "well_name", date: str = "prod_date") -> DataFrame:
@@ -51,7 +53,9 @@ def dim_multi_type(
         daily.select(entity, tracked).distinct().groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1).select(entity)
     )
-    return daily.join(multi, entity, "left_semi").select(entity, tracked, *carried).distinct()
+    # few rows are left after the distinct, and it comes first
+    kinds = daily.select(entity, tracked, *carried).distinct()
+    return kinds.join(multi, entity, "left_semi")
 
 
 def dim_scd2(
@@ -72,25 +76,17 @@ def dim_scd2(
     numbered without a single-task window (``global_row_number``).
     """
     versioned = _versions(daily.select(entity, tracked, *carried, date), entity, tracked, date)
-    grouped = versioned.groupBy(entity, tracked, *carried, "_version").agg(
+    grouped = versioned.groupBy(entity, tracked, *carried, "_version", "_top").agg(
         F.min(date).alias("effective_start_date"), F.max(date).alias("effective_end_date")
     )
-    # Current row per entity without a window: the highest version number is
-    # an integer hash aggregate; only the rows carrying it (usually one, more
-    # when an attribute changed inside that version, S-4) go into the pick of
-    # one row, so the text comparison runs on about one row per entity.
-    top = grouped.groupBy(entity).agg(F.max("_version").alias("_version"))
-    candidates = grouped.join(top, [entity, "_version"], "left_semi")
-    pick = candidates.groupBy(entity).agg(F.max(F.struct(tracked, *carried)).alias("_cur"))
-    cur = (
-        grouped.join(top.withColumnRenamed("_version", "_top"), entity)
-        .join(pick, entity)
-        .withColumn(
-            "is_current",
-            (F.col("_version") == F.col("_top")) & F.struct(tracked, *carried).eqNullSafe(F.col("_cur")),
-        )
-        .drop("_top", "_cur")
-    )
+    # The pass over the rows brings each entity's highest version along. The
+    # rows of one version differ only if an attribute changed inside it (S-4),
+    # so the window that picks the current one of them holds very few rows.
+    attributes = F.struct(tracked, *carried)
+    pick = F.max(attributes).over(Window.partitionBy(entity, "_version"))
+    cur = grouped.withColumn(
+        "is_current", (F.col("_version") == F.col("_top")) & attributes.eqNullSafe(pick)
+    ).drop("_top")
     order = [F.col(entity).asc_nulls_last(), F.col("_version"), F.col(tracked).asc_nulls_last(),
              *[F.col(c).asc_nulls_last() for c in carried]]
     keyed = global_row_number(cur, order, out="well_surrogate_key", partitions=partitions)
@@ -100,7 +96,8 @@ def dim_scd2(
 
 
 def _versions(df: DataFrame, entity: str, tracked: str, date: str) -> DataFrame:
-    """Adds ``_version`` = running count of version starts per entity.
+    """Adds ``_version`` = running count of version starts per entity, and
+    ``_top``, the entity's last version.
 
     A row starts a version when its type differs from the previous row's or
     the previous type is NULL (S-3); the count uses the default RANGE frame
@@ -113,7 +110,9 @@ def _versions(df: DataFrame, entity: str, tracked: str, date: str) -> DataFrame:
     row per (entity, month) read off the month's last row.
     """
     x = with_chunk(df, date)
-    part = [entity, CHUNK]
+    # a struct is never NULL, so entities and dates that are NULL join too
+    part = ["_part"]
+    x = x.withColumn("_part", F.struct(entity, CHUNK))
     w = Window.partitionBy(*part).orderBy(F.col(date), F.col(tracked))
     w_range = Window.partitionBy(*part).orderBy(date)
     prev = F.lag(tracked).over(w)
@@ -128,25 +127,27 @@ def _versions(df: DataFrame, entity: str, tracked: str, date: str) -> DataFrame:
         .withColumn("_lsum", F.sum("_new").over(w_range))
     )
     summary = x.where(F.col("_is_last")).select(
-        *part, F.col("_first_t"), F.col(tracked).alias("_last_t"), F.col("_lsum").alias("_starts_after_first")
+        *part, entity, CHUNK, F.col("_first_t"), F.col(tracked).alias("_last_t"), F.col("_lsum").alias("_starts_after_first")
     )
     sw = Window.partitionBy(entity).orderBy(CHUNK)
     prev_last = F.lag("_last_t").over(sw)
     summary = summary.withColumn(
         "_first_new", F.when((F.col("_first_t") != prev_last) | prev_last.isNull(), F.lit(1)).otherwise(F.lit(0))
     )
+    starts = F.col("_first_new") + F.col("_starts_after_first")
     carry = summary.select(
         *part,
         "_first_new",
+        F.sum(starts).over(Window.partitionBy(entity)).cast("bigint").alias("_top"),
         F.coalesce(
-            F.sum(F.col("_first_new") + F.col("_starts_after_first")).over(sw.rowsBetween(Window.unboundedPreceding, -1)),
+            F.sum(starts).over(sw.rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias("_before"),
     )
     return (
         x.join(carry, part)
         .withColumn("_version", (F.col("_before") + F.col("_first_new") + F.col("_lsum")).cast("bigint"))
-        .drop(CHUNK, "_lrn", "_is_last", "_first_t", "_new", "_lsum", "_first_new", "_before")
+        .drop("_part", CHUNK, "_lrn", "_is_last", "_first_t", "_new", "_lsum", "_first_new", "_before")
     )
 
 
@@ -198,6 +199,7 @@ def scd1_at_risk_total(
 def _producer_value(daily, scd1, price_filled, entity, producer, factor):
     p = daily.where(F.col("well_type") == F.lit(producer)).select(entity, "prod_date", "oil_vol_sm3")
     d = scd1.select(entity, F.col("well_type").alias("_label"))
-    b = price_filled.select(F.col("cal_date").alias("_d"), "brent_usd_bbl_filled")
+    # one row per calendar day, so its size is bounded by the calendar
+    b = one_per_key(price_filled.withColumnRenamed("cal_date", "_d"), ["_d"], "brent_usd_bbl_filled")
     j = p.join(d, entity).join(F.broadcast(b), F.col("prod_date") == F.col("_d"), "left")
     return j.withColumn("_value", F.col("oil_vol_sm3") * F.lit(factor) * F.col("brent_usd_bbl_filled"))

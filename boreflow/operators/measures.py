@@ -92,7 +92,8 @@ def deferred_volume(fact: DataFrame, entity: str = "well_name", window_days: int
     Each shut-in day is valued at the entity's mean oil over its last
     ``window_days`` producing (not shut-in) days before it; summed per entity.
 
-    No window spans a whole entity: producing days get a chunked position k
+    Sums are DECIMAL, so that the difference of two long sums is exact. No
+    window spans a whole entity: producing days get a chunked position k
     and running sum S (``segmented_scan``); the trailing mean is
     (S_k − S_{k−n}) / min(k, n), with S_{k−n} from an equi-join on
     (entity, k − n); a shut-in day takes the mean of the latest producing
@@ -100,14 +101,17 @@ def deferred_volume(fact: DataFrame, entity: str = "well_name", window_days: int
     """
     n = window_days
     base = with_chunk(
-        fact.select(entity, "prod_date", "is_shutin", F.col("oil_vol_sm3").cast("double").alias("_oil")), "prod_date"
+        fact.select(entity, "prod_date", "is_shutin", F.col("oil_vol_sm3").cast("decimal(28,9)").alias("_oil")), "prod_date"
     )
     prod = base.where(~F.col("is_shutin"))
     prod = segmented_scan(prod, [entity], [F.col("prod_date"), F.col("_oil")], row_number="_k",
                           running_sum=("_oil", "_cum"))
-    back = prod.select(entity, (F.col("_k") + n).alias("_k"), F.col("_cum").alias("_cum_back"))
-    prod = prod.join(back, [entity, "_k"], "left").withColumn(
-        "_trail", (F.col("_cum") - F.coalesce("_cum_back", F.lit(0.0))) / F.least(F.col("_k"), F.lit(n))
+    back = prod.select(F.struct(entity, (F.col("_k") + n).alias("_k")).alias("_at"), F.col("_cum").alias("_cum_back"))
+    # a struct is never NULL, so an entity that is NULL finds its own rows
+    prod = prod.withColumn("_at", F.struct(entity, "_k")).join(back, "_at", "left").withColumn(
+        "_trail",
+        (F.col("_cum") - F.coalesce("_cum_back", F.lit(0).cast("decimal(38,9)"))).cast("double")
+        / F.least(F.col("_k"), F.lit(n)),
     ).select(entity, "prod_date", "is_shutin", "_oil", CHUNK, "_trail")
     shut = base.where(F.col("is_shutin")).withColumn("_trail", F.lit(None).cast("double"))
     both = prod.unionByName(shut)

@@ -217,16 +217,21 @@ def unusual(
     entity; the previous value is a chunked ``lag`` (``segmented``).
     """
     x = fact.select(entity, "prod_date", F.col(value).cast("double").alias("_x"))
-    stats = x.groupBy(entity).agg(F.avg("_x").alias("_mu"), F.stddev_samp("_x").alias("_sd"))
+    stats = x.groupBy(F.col(entity).alias("_e")).agg(F.avg("_x").alias("_mu"), F.stddev_samp("_x").alias("_sd"))
     flagged = segmented_scan(
-        with_chunk(x.join(stats, entity), "prod_date"), [entity], [F.col("prod_date"), F.col("_x")],
-        lag=("_x", "_prev"),
+        with_chunk(x.join(stats, F.col(entity).eqNullSafe(F.col("_e"))).drop("_e"), "prod_date"), [entity],
+        [F.col("prod_date"), F.col("_x")], lag=("_x", "_prev"),
     ).drop(CHUNK)
-    zeros = islands(x.where(F.col("_x") == 0), entity=entity, date="prod_date")
+    # days, not rows: a day is in one run however many rows it has
+    zero_days = x.where((F.col("_x") == 0) & F.col("prod_date").isNotNull()).select(entity, "prod_date").distinct()
+    zeros = islands(zero_days, entity=entity, date="prod_date")
     zdays = zeros.select(
-        entity, F.explode(F.sequence("event_start", "event_end")).alias("prod_date"), "duration_days"
+        F.col(entity).alias("_e"), F.explode(F.sequence("event_start", "event_end")).alias("_d"), "duration_days"
+    )
+    # only rows without production can be in a run
+    out = flagged.join(
+        zdays, (F.col("_x") == 0) & F.col(entity).eqNullSafe(F.col("_e")) & (F.col("prod_date") == F.col("_d")), "left"
     )
-    out = flagged.join(zdays, [entity, "prod_date"], "left")
     return out.select(
         entity, "prod_date", F.col("_x").alias(value),
         F.coalesce(F.col("_x") > F.col("_mu") + F.lit(sigma) * F.col("_sd"), F.lit(False)).alias("is_high"),
@@ -242,13 +247,13 @@ def series_checks(
 ) -> DataFrame:
     """DQ-15: series checks over an untyped series (value as text), one row
     per check: rows, NULL values, non-numeric values, dates present more than
-    once, rows with an unexpected unit, and calendar days (weekdays only by
+    once, rows whose date does not parse, rows with an unexpected unit, and calendar days (weekdays only by
     default) between the first and last date with no row.
     """
     # One pass over the series: every count is taken per date, and the
     # checks below read only that table (one row per date).
     unit_bad = F.count_if(F.col(units) != F.lit(expected_unit)) if units and expected_unit else F.lit(0)
-    per_date = series.groupBy(F.col(date).cast("date").alias("_d")).agg(
+    per_date = series.groupBy(F.col(date).try_cast("date").alias("_d")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col(value_text).isNull()).alias("_null"),
         F.count_if(failed_cast(value_text, "double")).alias("_bad"),
@@ -259,7 +264,8 @@ def series_checks(
         F.sum("_null").alias("null_values"),
         F.sum("_bad").alias("non_numeric_values"),
         F.sum("_unit").alias("unexpected_units"),
-        F.count_if(F.col("_n") > 1).alias("duplicate_dates"),
+        F.count_if(F.col("_d").isNotNull() & (F.col("_n") > 1)).alias("duplicate_dates"),
+        F.sum(F.when(F.col("_d").isNull(), F.col("_n"))).alias("unparsed_dates"),
     )
     bounds = per_date.agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
     cal = bounds.select(F.explode(F.sequence("_lo", "_hi")).alias("_d"))

@@ -59,7 +59,11 @@ def segmented_scan(
     ``df`` must carry ``chunk_col``, monotone in ``order`` (e.g. the month
     of the leading date column, see ``with_chunk``).
     """
-    part = [*keys, chunk_col]
+    # One struct holds the keys and the chunk: it is never NULL, so rows whose
+    # key or date is NULL find their carry like any others, and the join
+    # below reuses the windows' partitioning.
+    part = ["_part"]
+    df = df.withColumn("_part", F.struct(*keys, chunk_col))
     w = Window.partitionBy(*part).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     x = df.withColumn("_lrn", F.row_number().over(w)).withColumn(
@@ -84,7 +88,7 @@ def segmented_scan(
         x = x.withColumn("_lknown_all", F.last(value, ignorenulls=True).over(upto))
         summary_cols.append(F.col("_lknown_all").alias("_lastk"))
 
-    summary = x.where(F.col("_is_last")).select(*part, *summary_cols)
+    summary = x.where(F.col("_is_last")).select(*part, *keys, chunk_col, *summary_cols)
     sw = Window.partitionBy(*keys).orderBy(chunk_col)
     before = sw.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
@@ -110,6 +114,6 @@ def segmented_scan(
         out = out.withColumn(lag[1], F.when(F.col("_lrn") == 1, F.col("_prev_last")).otherwise(F.col("_llag")))
     if last_known_before:
         out = out.withColumn(last_known_before[1], F.coalesce("_lknown", "_carry_known"))
-    internal = ["_lrn", "_is_last", "_off", "_lsum", "_cum_before", "_llag", "_prev_last", "_lknown", "_lknown_all",
+    internal = ["_part", "_lrn", "_is_last", "_off", "_lsum", "_cum_before", "_llag", "_prev_last", "_lknown", "_lknown_all",
                 "_carry_known"]
     return out.drop(*[c for c in internal if c in out.columns])

@@ -16,6 +16,28 @@ def _year_bucket(c: Column) -> Column:
     return F.year(c)
 
 
+def one_per_key(series: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``keys…, value`` with one row per key: rows that repeat a value collapse;
+    two different values for one key fail the job, because joining them would
+    multiply rows. ``resolve_series`` settles such conflicts beforehand."""
+    low, high = F.min(value), F.max(value)
+    fail = F.raise_error(F.concat_ws(" ", F.lit(f"conflicting values of {value} for"), *[F.col(k).cast("string") for k in keys]))
+    known = series.where(F.col(keys[-1]).isNotNull())
+    return known.groupBy(*keys).agg(F.when(low != high, fail).otherwise(high).alias(value))
+
+
+def resolve_series(series: DataFrame, date: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """``(resolved, conflicts)`` of a dated series whose pages may overlap.
+
+    A date with several different values keeps the smallest one; all values
+    of such dates, with the number of rows that carry each, are the conflicts.
+    """
+    values = series.where(F.col(date).isNotNull()).groupBy(date, value).agg(F.count(F.lit(1)).alias("rows"))
+    per_date = values.groupBy(date).agg(F.min(value).alias(value), F.count(value).alias("_values"))
+    several = per_date.where(F.col("_values") > 1).select(date)
+    return per_date.select(date, value), values.where(F.col(value).isNotNull()).join(several, date, "left_semi")
+
+
 def fill_series(
     spine: DataFrame,
     series: DataFrame,
@@ -44,7 +66,7 @@ def fill_series(
     out = out or f"{value}_filled"
     keys = list(keys)
     dates = spine.select(*keys, date).distinct()
-    s = series.select(*keys, F.col(series_date).alias(date), F.col(value).alias("_v"))
+    s = one_per_key(series.select(*keys, F.col(series_date).alias(date), F.col(value).alias("_v")), [*keys, date], "_v")
     if mode == "equi":
         rows = dates.join(s, [*keys, date], "left").withColumn("_spine", F.lit(1))
     elif mode == "asof":
