@@ -19,6 +19,8 @@ restartable and the lineage of later stages stays short.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,10 +67,15 @@ def run_pipeline(
     fx_raw = put("bronze/fx_raw", files.read_json_payloads(spark, fx_json))
 
     # quality on bronze (one pass per check)
-    audit = put("quality/load_audit", files.load_audit(daily_rows, daily_rejects).unionByName(
-        files.load_audit(monthly_rows, monthly_rejects)))
+    audits = [files.load_audit(daily_rows, daily_rejects), files.load_audit(monthly_rows, monthly_rejects)]
+    audits += [files.load_audit(r.where(F.col("raw").isNotNull()), r.where(F.col("raw").isNull())) for r in (price_raw, fx_raw)]
+    audit = put("quality/load_audit", reduce(DataFrame.unionByName, audits))
     put("quality/load_history", files.load_history(audit))
     put("quality/daily_rejects", daily_rejects)
+    put("quality/monthly_rejects", monthly_rejects)
+    # a payload that is no JSON stays as text, with its file
+    for name, raw in (("price", price_raw), ("fx", fx_raw)):
+        put(f"quality/{name}_rejects", raw.where(F.col("raw").isNull()).drop("raw"))
     put("quality/null_profile", quality.null_profile(daily_rows, silver.RAW_DAILY))
     put("quality/duplicates", quality.duplicate_keys(
         daily_rows.select(F.col("npd_well_bore_name").alias("wellbore_name"), F.col("dateprd").alias("prod_date")),
@@ -87,18 +94,25 @@ def run_pipeline(
     daily = daily.drop("month_start")
     monthly = put("silver/monthly", silver.clean_monthly(monthly_rows))
     good_price = price_raw.where(F.col("raw").isNotNull())
-    price_text = {"price_date": ("$.period", "string"), "value": ("$.value", "string"), "units": ("$.units", "string"),
+    price_fields = {"price_date": ("$.period", "string"), "value": ("$.value", "string"), "units": ("$.units", "string"),
                   "series_desc": ('$["series-description"]', "string")}
-    series_text, completeness = payloads.merge_pages(good_price, price_text, ["price_date"], PRICE_ARRAY_PATH,
+    series_text, completeness = payloads.merge_pages(good_price, price_fields, ["price_date"], PRICE_ARRAY_PATH,
                                                      PRICE_TOTAL_PATH)
     put("quality/price_completeness", completeness)
     put("quality/price_series_checks", quality.series_checks(series_text, "price_date", "value", "units", "$/BBL"))
-    price = put("silver/price", series_text.select(
+    price_text = series_text.select(
         F.col("price_date").try_cast("date").alias("price_date"),
         F.col("value").try_cast("double").alias("brent_usd_bbl"),
         "series_desc", "units",
-    ))
-    fx = put("silver/fx", silver.fx_series(fx_raw.where(F.col("raw").isNotNull())))
+    )
+    # pages and files may overlap: one value per date, all others listed
+    prices, price_conflicts = timeseries.resolve_series(price_text, "price_date", "brent_usd_bbl")
+    labels = price_text.groupBy("price_date").agg(F.min("series_desc").alias("series_desc"), F.min("units").alias("units"))
+    price = put("silver/price", prices.join(labels, "price_date"))
+    put("quality/price_conflicts", price_conflicts)
+    rates, fx_conflicts = timeseries.resolve_series(silver.fx_series(fx_raw.where(F.col("raw").isNotNull())), "rate_date", "nok_per_usd")
+    fx = put("silver/fx", rates)
+    put("quality/fx_conflicts", fx_conflicts)
 
     # gold
     spine = daily.select(F.col("prod_date").alias("cal_date"))

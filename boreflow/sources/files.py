@@ -85,7 +85,7 @@ def load_untyped_csv(
 
 
 def infer_schema_diff(
-    spark: SparkSession, paths: str | Sequence[str], declared: Sequence[str], sampling_ratio: float = 1.0
+    spark: SparkSession, paths: str | Sequence[str], declared: Sequence[str], sampling_ratio: float = 0.01
 ) -> DataFrame:
     """SRC-8: what schema inference would choose, beside the declared types
     (all STRING in bronze). Diagnostic only; bronze never uses inference."""
@@ -101,14 +101,16 @@ def read_json_payloads(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     """SRC-5: each JSON file becomes ONE row with a VARIANT column ``raw``.
 
     A top-level array stays one row (it is flattened later, FLT-J2). Files
-    that are not valid JSON keep ``raw`` NULL and their text in ``raw_text``,
-    so they can be listed as rejects. Each file is read whole by one task,
+    that are not valid JSON keep ``raw`` NULL and their text in ``raw_text``
+    (NULL for all others), so they can be listed as rejects. Each file is read whole by one task,
     so payload files are expected to be page-sized (the price API pages at
     5,000 records).
     """
     text = spark.read.text(list(paths) if not isinstance(paths, str) else paths, wholetext=True)
     return text.select(
-        F.try_parse_json("value").alias("raw"), F.col("value").alias("raw_text"), *_meta()
+        F.try_parse_json("value").alias("raw"),
+        F.when(F.try_parse_json("value").isNull(), F.col("value")).alias("raw_text"),
+        *_meta(),
     )
 
 

@@ -2,7 +2,7 @@
 
 Parquet is the table format here; no Iceberg or Delta jar ships with this
 build (SNK-3), and ``MERGE INTO`` is not available on plain Parquet, so keyed
-appends are a left-anti join against what is already stored.
+appends compare the batch with what is already stored.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
 def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """CREATE OR REPLACE TABLE … AS SELECT: overwrite the whole folder."""
-    w = df.write.mode("overwrite")
+    w = _spread(df, partition_by).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -26,7 +27,7 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> N
 
     Idempotent: running the same batch twice leaves the same files.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    _spread(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -39,16 +40,53 @@ def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | N
         return None
 
 
-def append_new(df: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> None:
+def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a partition brought together before a partitioned write, so that
+    a task does not open one file per partition it happens to hold; AQE splits
+    partitions that are large (``rebalance``)."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def append_new(
+    df: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()
+) -> DataFrame | None:
     """INSERT INTO … SELECT, but only rows whose ``key`` is not stored yet.
 
-    Re-running the same append adds nothing (unlike a plain INSERT). The
-    anti join shuffles both sides on the key; the stored side is read with
-    only the key columns.
+    Re-running the same append adds nothing (unlike a plain INSERT), NULL keys
+    included; a row repeated inside the batch is stored once. A key that is
+    stored, or repeated in the batch, with *other* values keeps the stored
+    (else the smallest) row; the restated rows are returned, to be written to
+    a conflicts table, and are never dropped silently. Only the partitions
+    that the batch touches are read of what is stored, if ``partition_by``
+    columns are among the columns of ``df``.
     """
-    existing = read_if_exists(df.sparkSession, path)
-    new = df if existing is None else df.join(existing.select(*key), list(key), "left_anti")
-    w = new.write.mode("append")
+    spark, others = df.sparkSession, [c for c in df.columns if c not in key]
+    # one row per key: the smallest, and whether the batch holds another one
+    value = F.struct(*others) if others else F.lit(0)
+    batch = df.groupBy(*key).agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
+    existing = read_if_exists(spark, path)
+    on_key = F.struct(*key)  # a struct is never NULL, so NULL keys meet
+    if existing is None:
+        known = batch.withColumn("_stored", F.lit(None).cast(batch.schema["_least"].dataType))
+    else:
+        stored = existing
+        if partition_by:
+            touched = [tuple(r) for r in df.select(*partition_by).distinct().collect()]
+            values = [[t[i] for t in touched if t[i] is not None] for i in range(len(partition_by))]
+            for c, found in zip(partition_by, values):
+                stored = stored.where(F.col(c).isin(found) | F.col(c).isNull())
+        stored = stored.select(on_key.alias("_key"), (F.struct(*others) if others else F.lit(0)).alias("_stored"))
+        known = batch.withColumn("_key", on_key).join(stored, "_key", "left").drop("_key")
+    new = known.where(F.col("_stored").isNull())
+    rows = new.select(*key, *[F.col(f"_least.{c}").alias(c) for c in others]).select(*df.columns)
+    # what is stored is settled before the write changes it
+    restated = known.select(*key, F.coalesce("_stored", "_least").alias("_kept"))
+    restated = restated.select(on_key.alias("_key"), "_kept")
+    conflicts = df.withColumn("_key", on_key).join(restated, "_key").where(value != F.col("_kept")) if others else None
+    if conflicts is not None:
+        conflicts = conflicts.drop("_key", "_kept").distinct().checkpoint()
+    w = _spread(rows, partition_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    return conflicts

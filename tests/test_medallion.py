@@ -86,7 +86,7 @@ def test_run_pipeline_end_to_end(spark, tmpdir_path):
     r = lambda name: spark.read.parquet(t[name])
 
     assert r("quality/daily_rejects").count() == 1
-    assert r("quality/load_history").count() == 2       # two CSV sources audited
+    assert r("quality/load_history").count() == 5       # two CSVs, two price pages, one FX file audited
     assert r("quality/date_rejects").count() == 1
     assert r("silver/daily").count() == 2 * DAYS
     assert r("silver/monthly").count() == 8  # 2 wells x Aug..Nov
