@@ -7,7 +7,7 @@ the full silver table and overwrites just those partitions:
 
 | gold table         | refresh key          | why                                       |
 | ------------------ | -------------------- | ----------------------------------------- |
-| spine, price_filled | batch id (versions) | a new date can change the fill of others   |
+| spine, price_filled, fx | version          | a new date can change the fill of others   |
 | fact               | month                | row-wise over silver                       |
 | decline, water cut | month                | grouped by month                           |
 | well-month value   | month                | per-well totals without re-reading the fact |
@@ -17,12 +17,18 @@ the full silver table and overwrites just those partitions:
 | decomposition      | year                 | the baseline is the year's first month     |
 | well-month attrs   | month                | feeds dim_well, dim_well_scd1, dim_date     |
 | dim_well(_scd1), dim_date | whole (small)  | one row per well / per day (D-5)            |
-| refresh log        | batch id             | one row per micro-batch                    |
+| refresh log        | version              | one row per refresh                        |
 
-Overwriting whole partitions is idempotent, so a micro-batch that runs twice
-after a failure writes the same files; the log is keyed on the batch id for
-the same reason. Late rows for old months are simply new silver rows: their
-month is touched and recomputed, so no watermark is needed.
+Overwriting whole partitions is idempotent: a micro-batch that runs twice
+after a failure writes the same files under the same version, and one that is
+in the log already is skipped. Late rows for old months are simply new silver
+rows: their month is touched and recomputed, so no watermark is needed. So is
+every month in which a filled price or an FX rate changed since the last
+refresh, with or without new rows. Partitions of touched keys that have become
+empty are removed, and versions before the last two are deleted.
+
+Tables are read with the schema they were written with, so one that has no
+rows yet (no shut-in days, injectors only) reads as empty.
 
 Silver is expected partitioned by ``month_start`` so that the touched months
 (a short list, bounded by the months present in one batch) prune the scan.
@@ -43,6 +49,10 @@ from ..operators import dims, gold, timeseries
 from ..sources.sinks import read_if_exists, write_partitions, write_replace
 
 WELL_BUCKETS = 64
+LOG_SCHEMA = (
+    "batch_id bigint, rows_in bigint, months_touched int, years_touched int, fact_rows_out bigint, "
+    "refreshed_at timestamp, version bigint"
+)
 
 
 def well_bucket(c: str = "well_name", buckets: int = WELL_BUCKETS) -> F.Column:
@@ -67,12 +77,39 @@ class GoldRefresh:
     def silver(self) -> DataFrame:
         return self.spark.read.parquet(self.silver_path)
 
-    def last_committed_batch(self) -> int | None:
-        log = read_if_exists(self.spark, self.path("refresh_log"))
-        return None if log is None else log.agg(F.max("batch_id")).first()[0]
+    def log(self) -> DataFrame:
+        found = read_if_exists(self.spark, self.path("refresh_log"), LOG_SCHEMA)
+        return found if found is not None else self.spark.createDataFrame([], LOG_SCHEMA)
+
+    def _delete(self, *names: str) -> None:
+        """Remove folders below the gold root (of any file system Spark reads)."""
+        for name in names:
+            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def _replace(self, df: DataFrame, name: str, key: str, touched: list) -> DataFrame:
+        """Overwrite the ``touched`` partitions of a table, also those that get no
+        rows; returns a reader over the whole table."""
+        write_partitions(df, self.path(name), [key])
+        table = self.spark.read.schema(df.schema).parquet(self.path(name))
+        live = {r[0] for r in df.select(key).distinct().collect()}
+        self._delete(*[f"{name}/{key}={v}" for v in touched if v not in live])
+        return table
+
+    def _versioned(self, df: DataFrame, name: str, version: int) -> DataFrame:
+        path = f"{self.path(name)}/version={version}"
+        write_replace(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _previous(self, like: DataFrame, name: str, version: int | None) -> DataFrame | None:
+        """The committed version of a table with the columns of ``like``."""
+        if version is None:
+            return None
+        return self.spark.read.schema(like.schema).parquet(f"{self.path(name)}/version={version}")
 
     def run(self) -> StreamingQuery:
-        """Process every silver file not seen yet, then stop (availableNow)."""
+        """Process every silver file not seen yet, then stop (availableNow);
+        then months whose price or FX rate changed without new rows."""
         schema = self.silver().schema
         stream = self.spark.readStream.schema(schema).parquet(self.silver_path)
         q = (
@@ -82,53 +119,57 @@ class GoldRefresh:
             .start()
         )
         q.awaitTermination()
+        if not self.log().isEmpty():
+            self.apply_batch(self.silver().limit(0), None)
         return q
 
     # -- one micro-batch -------------------------------------------------------
-    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        silver = self.silver()
-        # The date spine and the filled price are versioned by batch id and the
+    def apply_batch(self, batch: DataFrame, batch_id: int | None) -> None:
+        # The date spine, the filled price and the rates are versioned and the
         # refresh log is written last: a replayed batch builds on, and diffs
-        # against, the version of the last *committed* batch, never its own
-        # half-written output.
-        committed = self.last_committed_batch()
+        # against, the last *committed* version, never its own half-written one.
+        log = self.log()
+        committed = log.agg(F.max("version")).first()[0]
+        if batch_id is not None and not log.where(F.col("batch_id") == batch_id).isEmpty():
+            return
+        version = 0 if committed is None else committed + 1
+        silver = self.silver()
         # 1. date spine = committed spine + this batch's dates (one row per
         # day; silver is never scanned whole for it)
-        batch_dates = batch.select(F.col("prod_date").alias("cal_date"))
-        if committed is not None:
-            old_spine = self.spark.read.parquet(self.path("spine")).where(F.col("batch_id") == committed)
-            batch_dates = batch_dates.unionByName(old_spine.select("cal_date"))
-        write_partitions(batch_dates.distinct().withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                         self.path("spine"), ["batch_id"])
-        spine = self.spark.read.parquet(self.path("spine")).where(F.col("batch_id") == batch_id).drop("batch_id")
+        batch_dates = batch.select(F.col("prod_date").alias("cal_date")).where(F.col("cal_date").isNotNull())
+        old_spine = self._previous(batch_dates, "spine", committed)
+        dates = batch_dates if old_spine is None else batch_dates.unionByName(old_spine)
+        spine = self._versioned(dates.distinct(), "spine", version)
         # 2. filled price over the spine. New spine dates can change the
         # filled price of *later* dates (forward fill), so months whose filled
-        # price changed are touched as well.
-        price_filled = timeseries.fill_series(
-            spine, self.price, date="cal_date", value="brent_usd_bbl", series_date="price_date",
-            out="brent_usd_bbl_filled",
+        # price changed are touched as well; so are those whose rate changed.
+        price_filled = self._versioned(
+            timeseries.fill_series(
+                spine, self.price, date="cal_date", value="brent_usd_bbl", series_date="price_date",
+                out="brent_usd_bbl_filled",
+            ),
+            "price_filled", version,
         )
-        old = None
-        if committed is not None:
-            old = self.spark.read.parquet(self.path("price_filled")).where(F.col("batch_id") == committed)
-            old = old.drop("batch_id")
-        touched_dates = batch.select(F.col("prod_date").alias("cal_date"))
-        if old is not None:
-            changed = price_filled.alias("n").join(old.alias("o"), "cal_date", "full_outer").where(
-                ~F.col("n.brent_usd_bbl_filled").eqNullSafe(F.col("o.brent_usd_bbl_filled"))
-            )
-            touched_dates = touched_dates.unionByName(changed.select("cal_date"))
+        rates = timeseries.one_per_key(self.fx.select("rate_date", "nok_per_usd"), ["rate_date"], "nok_per_usd")
+        rates = self._versioned(rates, "fx", version)
+        touched_dates = batch_dates
+        for new, name, date, value in (
+            (price_filled, "price_filled", "cal_date", "brent_usd_bbl_filled"), (rates, "fx", "rate_date", "nok_per_usd"),
+        ):
+            old = self._previous(new, name, committed)
+            if old is not None:
+                changed = new.alias("n").join(old.alias("o"), date, "full_outer").where(
+                    ~F.col(f"n.{value}").eqNullSafe(F.col(f"o.{value}"))
+                ).select(F.col(date).alias("cal_date"))
+                # a day without production has no fact to change
+                touched_dates = touched_dates.unionByName(changed.join(spine, "cal_date", "left_semi"))
         # The touched months are few (bounded by the calendar span of the
         # data, one value per month); as a literal list they prune the
         # month-partitioned scans.
         months = [r.m for r in touched_dates.select(month_start("cal_date").alias("m")).distinct().collect()]
         if not months:
+            self._delete(*[f"{t}/version={version}" for t in ("spine", "price_filled", "fx")])
             return
-        write_partitions(price_filled.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                         self.path("price_filled"), ["batch_id"])
-        price_filled = (
-            self.spark.read.parquet(self.path("price_filled")).where(F.col("batch_id") == batch_id).drop("batch_id")
-        )
         years = sorted({m.year for m in months})
         # wells whose per-well products change: those in the batch and those
         # with rows in a month whose prices moved
@@ -136,58 +177,51 @@ class GoldRefresh:
             silver.where(F.col("month_start").isin(months)).select("well_name")
         ).distinct()
         buckets_df = wells.select(well_bucket("well_name", self.buckets).alias("_wb")).distinct()
+        touched_buckets = [r[0] for r in buckets_df.collect()]  # at most ``buckets`` numbers
 
         # 3. fact, decline, water cut for the touched months
         touched = silver.where(F.col("month_start").isin(months))
-        fact = fact_ops.build_fact(touched, price_filled, self.fx).withColumn(
+        fact = fact_ops.build_fact(touched, price_filled, rates).withColumn(
             "month_start", month_start("prod_date")
         )
-        write_partitions(fact, self.path("fact"), ["month_start"])
-        fact_m = (
-            self.spark.read.parquet(self.path("fact")).where(F.col("month_start").isin(months)).drop("month_start")
-        )
-        write_partitions(gold.decline_trend(fact_m), self.path("decline_trend"), ["month_start"])
-        write_partitions(gold.water_cut_trend(fact_m), self.path("water_cut_trend"), ["month_start"])
+        fact_all = self._replace(fact, "fact", "month_start", months)
+        fact_m = fact_all.where(F.col("month_start").isin(months)).drop("month_start")
+        self._replace(gold.decline_trend(fact_m), "decline_trend", "month_start", months)
+        self._replace(gold.water_cut_trend(fact_m), "water_cut_trend", "month_start", months)
 
         # per-(well, month) value and the shut-in days of the touched months:
         # small tables that the per-well products below read in full, so a
         # refresh never re-reads the whole fact
-        write_partitions(
-            fact_m.groupBy(month_start("prod_date").alias("month_start"), "well_name").agg(
-                F.sum("est_revenue_usd").alias("est_revenue_usd"), F.sum("est_revenue_nok").alias("est_revenue_nok")
-            ),
-            self.path("well_month_value"), ["month_start"],
-        )
-        write_partitions(
-            fact_m.where(F.col("is_shutin")).select("well_name", "prod_date", month_start("prod_date").alias("month_start")),
-            self.path("shutin_days"), ["month_start"],
+        well_month = fact_m.groupBy(month_start("prod_date").alias("month_start"), "well_name").agg(
+            F.sum("est_revenue_usd").alias("est_revenue_usd"), F.sum("est_revenue_nok").alias("est_revenue_nok")
         )
+        well_month = self._replace(well_month, "well_month_value", "month_start", months)
+        shut_days = fact_m.where(F.col("is_shutin")).select("well_name", "prod_date", month_start("prod_date").alias("month_start"))
+        shut_days = self._replace(shut_days, "shutin_days", "month_start", months)
 
         # 4. downtime events for the touched well buckets (islands span months)
-        shut = self.spark.read.parquet(self.path("shutin_days")).drop("month_start").withColumn(
-            "_wb", well_bucket("well_name", self.buckets)
-        ).join(F.broadcast(buckets_df), "_wb", "left_semi").withColumn("is_shutin", F.lit(True))
-        events = gold.downtime_events(shut).withColumn("_wb", well_bucket("well_name", self.buckets))
-        write_partitions(events, self.path("downtime_events"), ["_wb"])
+        shut = shut_days.drop("month_start").where(well_bucket("well_name", self.buckets).isin(touched_buckets))
+        events = gold.downtime_events(shut.withColumn("is_shutin", F.lit(True)))
+        events = events.withColumn("_wb", well_bucket("well_name", self.buckets))
+        self._replace(events, "downtime_events", "_wb", touched_buckets)
 
         # 5. ranking over the per-well totals (one row per well)
-        ranking = gold.value_ranking(self.spark.read.parquet(self.path("well_month_value")))
+        ranking = gold.value_ranking(well_month)
         write_replace(ranking, self.path("value_ranking"))
 
         # 6. dimensions (D-5: kept current with the fact). A per-(well, month)
         # summary of the touched months feeds the well dimensions and the
         # calendar bounds, so silver is never scanned whole for them.
         attrs = ("well_type", "field_name", "facility_name")
-        write_partitions(
+        wm = self._replace(
             touched.groupBy("month_start", "well_name").agg(
                 F.min("prod_date").alias("first_date"),
                 F.max("prod_date").alias("last_date"),
                 *[F.max_by(F.col(a), F.when(F.col("prod_date").isNotNull(), F.struct("prod_date", a))).alias(a)
                   for a in attrs],
             ),
-            self.path("well_month_attrs"), ["month_start"],
+            "well_month_attrs", "month_start", months,
         )
-        wm = self.spark.read.parquet(self.path("well_month_attrs"))
         latest = F.when(F.col("last_date").isNotNull(), F.col("last_date"))
         dim = wm.groupBy("well_name").agg(
             *[F.max_by(F.col(a), F.struct(latest, F.col(a))).alias(a) for a in attrs],
@@ -204,29 +238,29 @@ class GoldRefresh:
         )
 
         # 7. decomposition for the touched years
-        year_months = (
-            self.spark.read.parquet(self.path("fact")).where(F.year("month_start").isin(years)).drop("month_start")
-        )
-        decomp = gold.revenue_decomposition(year_months)
-        write_partitions(decomp, self.path("revenue_decomposition"), ["report_year"])
+        year_months = fact_all.where(F.year("month_start").isin(years)).drop("month_start")
+        self._replace(gold.revenue_decomposition(year_months), "revenue_decomposition", "report_year", years)
 
-        # 8. refresh log, keyed on the batch id
+        # 8. refresh log, keyed on the version; it commits the refresh
         rows_out = fact_m.agg(F.count(F.lit(1))).scalar()  # fact rows of the touched months
         log = batch.agg(F.count(F.lit(1)).alias("rows_in")).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"),
             "rows_in",
+            F.lit(version).cast("bigint").alias("version"),
             F.lit(len(months)).alias("months_touched"),
             F.lit(len(years)).alias("years_touched"),
             rows_out.alias("fact_rows_out"),
             F.current_timestamp().alias("refreshed_at"),
         )
-        write_partitions(log, self.path("refresh_log"), ["batch_id"])
+        write_partitions(log, self.path("refresh_log"), ["version"])
+        if committed is not None and committed > 0:
+            self._delete(*[f"{t}/version={committed - 1}" for t in ("spine", "price_filled", "fx")])
 
 
 def refresh_history(spark: SparkSession, gold_root: str, n: int = 10) -> DataFrame | None:
     """REF-5: the latest ``n`` refreshes (a top-n report, so the limit is the feature)."""
-    log = read_if_exists(spark, f"{gold_root.rstrip('/')}/refresh_log")
-    return None if log is None else log.orderBy(F.col("batch_id").desc()).limit(n)
+    log = read_if_exists(spark, f"{gold_root.rstrip('/')}/refresh_log", LOG_SCHEMA)
+    return None if log is None else log.orderBy(F.col("version").desc()).limit(n)
 
 
 def latest_dates(spark: SparkSession, gold_root: str) -> dict[str, _dt.date | None]:
@@ -238,14 +272,19 @@ def latest_dates(spark: SparkSession, gold_root: str) -> dict[str, _dt.date | No
     return out
 
 
-def land_silver(batch: DataFrame, silver_path: str) -> None:
+def land_silver(batch: DataFrame, silver_path: str, conflicts_path: str | None = None) -> DataFrame | None:
     """REF-6: land a cleaned batch in the month-partitioned silver folder.
 
     Dynamic partition overwrite would drop rows already stored for a month
     the batch shares, so arriving batches are appended; re-landing the same
-    batch is guarded by ``sources.sinks.append_new`` on (well, date).
+    batch is guarded by ``sources.sinks.append_new`` on (well, date). A
+    restated (well, date) keeps the stored row; the restated rows are returned
+    and, if ``conflicts_path`` is given, appended there.
     """
     from ..sources.sinks import append_new
 
-    append_new(batch.withColumn("month_start", month_start("prod_date")), silver_path,
-               ["well_name", "prod_date"], ["month_start"])
+    conflicts = append_new(batch.withColumn("month_start", month_start("prod_date")), silver_path,
+                           ["well_name", "prod_date"], ["month_start"])
+    if conflicts is not None and conflicts_path:
+        conflicts.write.mode("append").parquet(conflicts_path)
+    return conflicts

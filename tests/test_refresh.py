@@ -136,3 +136,61 @@ def test_batch_failing_midway_then_replayed(spark, tmpdir_path, monkeypatch):
     assert rows(g("value_ranking"), *cols) == rows(gold.value_ranking(fact), *cols)
     fcols = ["prod_date", "well_name", "est_revenue_usd"]
     assert rows(g("fact"), *fcols) == rows(fact, *fcols)
+
+
+def _rows(spark, data):
+    """(well, day, type, oil) rows as silver."""
+    from datetime import date
+
+    schema = ("well_name string, prod_date date, well_type string, field_name string, facility_name string, "
+              "oil_vol_sm3 decimal(18,5), gas_vol_sm3 decimal(18,5), water_vol_sm3 decimal(18,5), "
+              "avg_choke_size decimal(18,5), dp_choke_size decimal(18,5), avg_whp decimal(18,5), is_shutin boolean")
+    from decimal import Decimal as D
+    out = [(w, date.fromisoformat(d), t, "f", "p", D(o), D(0), D(1), D(1), D(1), D(1), t == "OP" and o == 0)
+           for w, d, t, o in data]
+    return spark.createDataFrame(out, schema)
+
+
+def _series(spark, price, fx):
+    from datetime import date
+
+    to = lambda rows: [(date.fromisoformat(d), float(v)) for d, v in rows]
+    return (spark.createDataFrame(to(price), "price_date date, brent_usd_bbl double"),
+            spark.createDataFrame(to(fx), "rate_date date, nok_per_usd double"))
+
+
+def test_first_batches_without_shutins_or_producers(spark, tmpdir_path):
+    price, fx = _series(spark, [("2020-01-01", 50)], [("2020-01-01", 9), ("2020-02-01", 9)])
+    for name, data in (("noshut", [("A", "2020-01-01", "OP", 5), ("B", "2020-01-02", "OP", 6)]),
+                       ("injectors", [("A", "2020-01-01", "WI", 0)])):
+        silver_path, root = os.path.join(tmpdir_path, name, "s"), os.path.join(tmpdir_path, name, "g")
+        land_silver(_rows(spark, data), silver_path)
+        r = GoldRefresh(spark, silver_path, root, os.path.join(tmpdir_path, name, "c"), price, fx)
+        r.run()
+        land_silver(_rows(spark, [("A", "2020-02-01", "OP", 0), (None, "2020-02-02", "OP", 0)]), silver_path)
+        r.run()
+        events = spark.read.parquet(os.path.join(root, "downtime_events"))
+        assert {e.well_name for e in events.collect()} == {"A", None}
+        assert spark.read.parquet(os.path.join(root, "fact")).count() == (4 if name == "noshut" else 2)
+        assert refresh_history(spark, root).count() == 2
+
+
+def test_late_rate_and_restated_row(spark, tmpdir_path):
+    price, fx = _series(spark, [("2020-01-01", 50)], [])
+    silver_path, root, bad = (os.path.join(tmpdir_path, x) for x in ("s", "g", "bad"))
+    first = _rows(spark, [("A", "2020-01-01", "OP", 5), ("A", "2020-02-01", "OP", 7)])
+    assert land_silver(first, silver_path, bad) is None or spark.read.parquet(bad).isEmpty()
+    r = GoldRefresh(spark, silver_path, root, os.path.join(tmpdir_path, "c"), price, fx)
+    r.run()
+    fact = lambda: {f.prod_date.isoformat(): f.est_revenue_nok for f in spark.read.parquet(os.path.join(root, "fact")).collect()}
+    assert fact() == {"2020-01-01": None, "2020-02-01": None}
+    r.fx = _series(spark, [], [("2020-01-01", 9)])[1]  # the rate arrives late, no new silver
+    r.run()
+    assert fact()["2020-01-01"] is not None and fact()["2020-02-01"] is None
+    assert refresh_history(spark, root).first().months_touched == 1
+    r.run()
+    assert refresh_history(spark, root).count() == 2
+    restated = _rows(spark, [("A", "2020-01-01", "OP", 99), ("A", "2020-01-01", "OP", 99), ("A", "2020-02-01", "OP", 7)])
+    conflicts = land_silver(restated, silver_path, bad)
+    assert [c.oil_vol_sm3 for c in conflicts.collect()] == [99] and spark.read.parquet(bad).count() == 1
+    assert sorted(int(x.oil_vol_sm3) for x in spark.read.parquet(silver_path).collect()) == [5, 7]
