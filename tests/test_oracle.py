@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from boreflow.plans.registry import QUERIES as REGISTERED
 from boreflow.plans.standin import TABLES
 from tests.conftest import SF_SMALL, nsort
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# the training-data queries have tests of their own in tests/llm
+QUERIES = {k: v for k, v in entry.queries().items() if k in REGISTERED}
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k in REGISTERED}
 
 
 def canon(v):

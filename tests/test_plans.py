@@ -8,7 +8,8 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from boreflow.plans import registry_ingest  # noqa: F401  (registers its queries)
+from boreflow.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 SORT_AGG_OK = {
@@ -17,9 +18,9 @@ SORT_AGG_OK = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name][0](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     if name not in SORT_AGG_OK:
