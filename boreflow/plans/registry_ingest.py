@@ -12,7 +12,7 @@ from ..operators.silver import DAILY_COLUMNS, DAILY_DATE, MONTHLY_COLUMNS, RAW_D
 from ..sources import files, payloads
 from .pipeline import Pipeline
 from .present import present
-from .registry import DECOMP_SQL, DECOMP_KINDS, FACT_DIGITS, FACT_KINDS, MONEY2, PRICE4, oracle, register
+from .registry import DECOMP_SQL, DECOMP_KINDS, FACT_DIGITS, FACT_KINDS, MONEY2, PRICE4, oracle, register, runs_sql
 from .standin import table
 
 # ---------------------------------------------------------------------------
@@ -40,9 +40,9 @@ def _sql_typed(raw: str, kind: str) -> str:
 
 _TYPED = ",\n".join(f"{_sql_typed(r, k)} AS {c}" for r, c, k in DAILY_COLUMNS)
 SILVER_DAILY_SQL = f"""
-  SELECT *, CASE WHEN well_type = 'OP' AND COALESCE(on_stream_hrs, 0) = 0 AND COALESCE(oil_vol_sm3, 0) = 0
-                      AND COALESCE(gas_vol_sm3, 0) = 0 AND COALESCE(water_vol_sm3, 0) = 0
-                 THEN TRUE ELSE FALSE END AS is_shutin
+  SELECT *, well_type IS NOT DISTINCT FROM 'OP'
+            AND list_sum(list_transform([CAST(on_stream_hrs AS DOUBLE), oil_vol_sm3, gas_vol_sm3, water_vol_sm3, 0],
+                                        lambda x: abs(x))) = 0 AS is_shutin
   FROM (SELECT {SQL_DATE} AS prod_date, {_TYPED} FROM bronze_daily) t
   WHERE prod_date IS NOT NULL"""
 SILVER_KINDS = [("prod_date", "keep")] + [
@@ -202,9 +202,8 @@ def q_date_formats(p: Pipeline) -> DataFrame:
     return present(quality.date_formats(p.bronze_daily, "dateprd"))
 
 
-GAPS_BASE = """SELECT p.prod_date FROM well_day p
-               LEFT JOIN price b ON p.prod_date = b.price_date
-               WHERE b.brent_usd_bbl IS NULL AND p.well_type = 'OP'"""
+GAPS_BASE = """SELECT prod_date FROM well_day WHERE well_type = 'OP'
+               AND prod_date NOT IN (SELECT price_date FROM price WHERE brent_usd_bbl IS NOT NULL)"""
 
 
 @register(
@@ -309,19 +308,16 @@ def q_orphans(p: Pipeline) -> DataFrame:
     oracle(
         """WITH x AS (SELECT well_name, prod_date, CAST(oil_vol_sm3 AS DOUBLE) AS x FROM fact),
            s AS (SELECT well_name, AVG(x) AS mu, STDDEV_SAMP(x) AS sd FROM x GROUP BY well_name),
-           z AS (SELECT well_name, MIN(prod_date) AS zs, MAX(prod_date) AS ze,
-                        datediff('day', MIN(prod_date), MAX(prod_date)) + 1 AS d
-                 FROM (SELECT well_name, prod_date, (prod_date - DATE '1970-01-01')
-                              - ROW_NUMBER() OVER (PARTITION BY well_name ORDER BY prod_date) AS g
-                       FROM x WHERE x = 0) i GROUP BY well_name, g),
-           zd AS (SELECT well_name, CAST(unnest(generate_series(zs, ze, INTERVAL 1 DAY)) AS DATE) AS prod_date, d FROM z)
+           zd AS (SELECT well_name, CAST(unnest(generate_series(event_start, event_end, INTERVAL 1 DAY)) AS DATE) AS prod_date,
+                         duration_days AS d FROM ({runs}) z)
            SELECT x.well_name, x.prod_date, x.x AS oil_vol_sm3,
                   COALESCE(x.x > s.mu + 3.0 * s.sd, FALSE) AS is_high,
                   COALESCE(ABS(x.x - LAG(x.x) OVER (PARTITION BY x.well_name ORDER BY x.prod_date)) > 3.0 * s.sd, FALSE)
                     AS is_jump,
                   COALESCE(zd.d, 0) AS zero_run_days, COALESCE(zd.d, 0) >= 7 AS is_long_zero_run
-           FROM x JOIN s ON x.well_name = s.well_name
-           LEFT JOIN zd ON x.well_name = zd.well_name AND x.prod_date = zd.prod_date""",
+           FROM x JOIN s ON x.well_name IS NOT DISTINCT FROM s.well_name
+           LEFT JOIN zd ON x.well_name IS NOT DISTINCT FROM zd.well_name AND x.prod_date = zd.prod_date""".replace(
+            "{runs}", runs_sql("SELECT well_name, prod_date FROM fact WHERE oil_vol_sm3 = 0")),
         [("well_name", "keep"), ("prod_date", "keep"), ("oil_vol_sm3", "dbl"), ("is_high", "keep"),
          ("is_jump", "keep"), ("zero_run_days", "int"), ("is_long_zero_run", "keep")],
     ),
@@ -349,8 +345,10 @@ def _merged(p: Pipeline, fields=EVENT_FIELDS):
 @register(
     "dq_series",
     oracle(
-        """WITH e AS (SELECT CAST(ts AS DATE) AS d, CAST(value AS VARCHAR) AS value, '$/BBL' AS units FROM events),
-           pd AS (SELECT d, COUNT(*) AS n FROM e GROUP BY d),
+        """WITH e AS (SELECT CASE WHEN event_id % 101 <> 7 THEN CAST(ts AS DATE) END AS d,
+                             CASE event_id % 97 WHEN 1 THEN 'bad' WHEN 2 THEN NULL ELSE CAST(value AS VARCHAR) END AS value,
+                             CASE WHEN event_id % 89 = 3 THEN 'EUR/t' ELSE '$/BBL' END AS units FROM events),
+           pd AS (SELECT d, COUNT(*) AS n FROM e WHERE d IS NOT NULL GROUP BY d),
            cal AS (SELECT CAST(unnest(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY)) AS DATE) AS d FROM pd)
            SELECT 'rows' AS check_name, COUNT(*) AS n FROM e
            UNION ALL SELECT 'null_values', COUNT(CASE WHEN value IS NULL THEN 1 END) FROM e
@@ -359,6 +357,7 @@ def _merged(p: Pipeline, fields=EVENT_FIELDS):
                   FROM e
            UNION ALL SELECT 'unexpected_units', COUNT(CASE WHEN units != '$/BBL' THEN 1 END) FROM e
            UNION ALL SELECT 'duplicate_dates', COUNT_IF(n > 1) FROM pd
+           UNION ALL SELECT 'unparsed_dates', COUNT_IF(d IS NULL) FROM e
            UNION ALL SELECT 'missing_dates', COUNT(*) FROM cal
              WHERE isodow(d) < 6 AND d NOT IN (SELECT d FROM pd)""",
         [("check_name", "keep"), ("n", "int")],
@@ -367,6 +366,12 @@ def _merged(p: Pipeline, fields=EVENT_FIELDS):
 def q_series(p: Pipeline) -> DataFrame:
     """DQ-15: checks on the merged paged series (text values)."""
     series, _ = _merged(p, EVENT_TEXT_FIELDS)
+    # damage of every kind that the checks look for
+    series = series.withColumns({
+        "period": F.when(F.col("id") % 101 == 7, F.lit("no date")).otherwise(F.col("period")),
+        "value": F.when(F.col("id") % 97 == 1, F.lit("bad")).when(F.col("id") % 97 == 2, F.lit(None)).otherwise(F.col("value")),
+        "units": F.when(F.col("id") % 89 == 3, F.lit("EUR/t")).otherwise(F.col("units")),
+    })
     return present(quality.series_checks(series, "period", "value", "units", "$/BBL"))
 
 
@@ -668,10 +673,9 @@ _NOT_UNITS = "wellbore_name != '' AND npd_code != ''"
 @register(
     "dq_null_profile_monthly",
     oracle(
-        "UNPIVOT (SELECT COUNT(*) AS total_rows, "
-        + ", ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in MONTHLY_PROFILE_COLS)
-        + f" FROM bronze_monthly WHERE {_NOT_UNITS}) ON " + ", ".join(MONTHLY_PROFILE_COLS)
-        + " INTO NAME column_name VALUE null_count",
+        f"""SELECT column_name, COUNT(*) AS total_rows, COUNT_IF(cell IS NULL) AS null_count
+            FROM (SELECT * FROM bronze_monthly WHERE {_NOT_UNITS}) rows
+            UNPIVOT INCLUDE NULLS (cell FOR column_name IN ({", ".join(MONTHLY_PROFILE_COLS)})) GROUP BY column_name""",
         [("column_name", "keep"), ("total_rows", "int"), ("null_count", "int")],
     ),
 )
@@ -700,8 +704,9 @@ def q_negatives_monthly(p: Pipeline) -> DataFrame:
 @register(
     "dq_duplicates_monthly",
     oracle(
-        """SELECT wellbore_name, month, year, COUNT(*) AS n FROM bronze_monthly
-           GROUP BY wellbore_name, month, year HAVING COUNT(*) > 1""",
+        """SELECT DISTINCT wellbore_name, month, year, n FROM (
+             SELECT *, COUNT(*) OVER (PARTITION BY year, month, wellbore_name) AS n FROM bronze_monthly) counted
+           WHERE n <> 1""",
         [("wellbore_name", "keep"), ("month", "keep"), ("year", "keep"), ("n", "int")],
     ),
 )
