@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import failed_cast
@@ -41,11 +43,11 @@ def key_mismatch(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_name: str = "left", right_name: str = "right"
 ) -> DataFrame:
     """DQ-3 / SE-1: keys in one source and not the other, both ways, tagged
-    with the side that has them (``MINUS`` = left-anti + distinct)."""
-    lk, rk = left.select(*keys).distinct(), right.select(*keys).distinct()
-    only_l = lk.join(rk, list(keys), "left_anti").withColumn("only_in", F.lit(left_name))
-    only_r = rk.join(lk, list(keys), "left_anti").withColumn("only_in", F.lit(right_name))
-    return only_l.unionByName(only_r)
+    with the side that has them. As in ``MINUS``, NULL keys equal each other:
+    both sides are counted per key in one hash aggregate."""
+    sides = left.select(*keys, F.lit(1).alias("_side")).unionByName(right.select(*keys, F.lit(2).alias("_side")))
+    seen = sides.groupBy(*keys).agg(F.min("_side").alias("_lo"), F.max("_side").alias("_hi")).where("_lo = _hi")
+    return seen.select(*keys, F.when(F.col("_lo") == 1, left_name).otherwise(right_name).alias("only_in"))
 
 
 def uncastable(df: DataFrame, columns: Sequence[str], target: str = "decimal(18,5)") -> DataFrame:
@@ -104,6 +106,7 @@ def _missing_price_rows(
     p = daily.where(F.col("well_type") == F.lit(producer)).select(date)
     known = price if value is None else price.where(F.col(value).isNotNull())
     known = known.select(F.col(price_date).alias(date)).distinct()
+    # distinct days: bounded by the calendar
     return p.join(F.broadcast(known), date, "left_anti")
 
 
@@ -129,14 +132,11 @@ def weekday_gaps(
     return m.select(date, F.dayname(date).alias("day_of_week")).where(~F.col("day_of_week").isin(list(weekend)))
 
 
-def load_counts(bronze: DataFrame, date_col: str = "dateprd", formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """DQ-9: bronze rows against what silver keeps and rejects, one pass."""
-    parsed = F.coalesce(*[F.try_to_date(F.trim(F.col(date_col)), f) for f in formats])
-    return bronze.agg(
-        F.count(F.lit(1)).alias("bronze_rows"),
-        F.count(parsed).alias("silver_rows"),
-        F.count_if(parsed.isNull()).cast("bigint").alias("rejected_rows"),
-    )
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """DQ-9: rows of each stored table (bronze, silver, rejects, …), so that a
+    load that lost rows between two of them shows."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def dim_uniqueness(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -168,20 +168,50 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])).alias("_p")).select("_p.*")
 
 
-def column_quartiles(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """DQ-11 (quartiles): approximate 25/50/75 % per column.
+def column_quartiles(df: DataFrame, columns: Sequence[str], points: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """DQ-11 (quartiles): exact 25/50/75 % per column (the smallest value that
+    at least that part of the known values does not exceed).
 
-    ``percentile_approx`` keeps a bounded sketch per partition, so it scales;
-    an exact percentile would gather every value of a column in one task.
+    Rows are reduced to counts per (column, value) by a hash aggregate. Those
+    are cut into ranges of the value at approximate quantiles (a sketch of
+    bounded size); running totals go over the ranges, then inside each, so no
+    task holds all values of a column.
     """
-    wide = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(c) for c in columns
+    cells = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns
+    ])).alias("_p")).select("_p.*").where(F.col("v").isNotNull())
+    counts = cells.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    cuts = [i / 64 for i in range(1, 64)]
+    bounds = cells.groupBy("column_name").agg(F.percentile_approx("v", cuts, 1000).alias("cuts"), F.count(F.lit(1)).alias("total"))
+    # one row per column of the table
+    ranged = counts.join(F.broadcast(bounds), "column_name").withColumn("r", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts")
+    per_range = ranged.groupBy("column_name", "r").agg(F.sum("n").alias("in_range"))
+    over = Window.partitionBy("column_name").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_range.select("column_name", "r", F.coalesce(F.sum("in_range").over(over), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("column_name", "r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = ranged.withColumn("upto", F.sum("n").over(inside)).join(before, ["column_name", "r"])
+    upto = upto.withColumn("upto", F.col("upto") + F.col("before"))
+    return upto.groupBy("column_name").agg(*[
+        F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * p), F.col("v"))).alias(f"p{int(p * 100)}") for p in points
     ])
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c)[0].alias("p25"), F.col(c)[1].alias("p50"),
-                 F.col(c)[2].alias("p75"))
-        for c in columns
-    ])).alias("_p")).select("_p.*")
+
+
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """DQ-11 (shape): type, rows, NULLs and distinct values of each column.
+
+    Cells are counted per (column, value) with map-side combine, so distinct
+    counts need no per-column shuffle of all rows."""
+    columns = list(columns or df.columns)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("type"), F.col(c).cast("string").alias("v")) for c in columns
+    ]))
+    values = df.select(cells.alias("_p")).groupBy("_p.column_name", "_p.type", "_p.v").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("column_name", "type").agg(
+        F.sum("n").alias("total_rows"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("v").alias("distinct_values"),
+    )
 
 
 def orphans(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
@@ -294,6 +324,6 @@ def water_cut_range(fact: DataFrame) -> DataFrame:
 
 __all__ = [
     "category_counts", "column_quartiles", "column_stats", "date_formats", "dim_uniqueness", "duplicate_keys",
-    "key_mismatch", "load_counts", "negatives", "null_profile", "orphans", "price_gaps",
-    "series_checks", "uncastable", "unusual", "water_cut_range", "weekday_gaps",
+    "column_profile", "key_mismatch", "negatives", "null_profile", "orphans", "price_gaps",
+    "series_checks", "table_counts", "uncastable", "unusual", "water_cut_range", "weekday_gaps",
 ]

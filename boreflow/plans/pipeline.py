@@ -129,7 +129,8 @@ class Pipeline:
 
     @cached_property
     def silver_daily(self) -> tuple[DataFrame, DataFrame]:
-        return silver.clean_daily(self.bronze_daily)
+        rows, rejects = silver.clean_daily(self.bronze_daily)
+        return self._stored("silver_daily", lambda: rows), self._stored("silver_rejects", lambda: rejects)
 
     @cached_property
     def silver_monthly(self) -> DataFrame:

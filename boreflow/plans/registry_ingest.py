@@ -130,7 +130,7 @@ def q_key_mismatch(p: Pipeline) -> DataFrame:
     return present(quality.key_mismatch(d, m, ["well_name", "year", "month"], "daily", "monthly"))
 
 
-CAST_COLS = ["on_stream_hrs", "avg_choke_size_p", "avg_whp_p", "bore_oil_vol", "bore_gas_vol", "bore_wat_vol"]
+CAST_COLS = ["on_stream_hrs", "avg_choke_size_p", "avg_whp_p", "bore_oil_vol", "bore_gas_vol", "bore_wat_vol", "bore_wi_vol"]
 
 
 def _bad(c: str) -> str:
@@ -234,14 +234,19 @@ def q_weekday_gaps(p: Pipeline) -> DataFrame:
 @register(
     "dq_counts",
     oracle(
-        f"SELECT COUNT(*) AS bronze_rows, COUNT({SQL_DATE}) AS silver_rows, COUNT_IF({SQL_DATE} IS NULL) AS rejected_rows "
-        "FROM bronze_daily",
-        [("bronze_rows", "int"), ("silver_rows", "int"), ("rejected_rows", "int")],
+        f"""SELECT 'bronze' AS table_name, COUNT(*) AS rows FROM bronze_daily
+            UNION ALL SELECT 'silver', COUNT({SQL_DATE}) FROM bronze_daily
+            UNION ALL SELECT 'rejects', COUNT(*) - COUNT({SQL_DATE}) FROM bronze_daily
+            UNION ALL SELECT 'payload_records', COUNT(*) FROM events""",
+        [("table_name", "keep"), ("rows", "int")],
     ),
 )
 def q_counts(p: Pipeline) -> DataFrame:
-    """DQ-9: bronze rows against silver rows and rejects."""
-    return present(quality.load_counts(p.bronze_daily))
+    """DQ-9: rows of the stored bronze, silver and reject tables, and of the
+    records flattened from the stored payloads."""
+    rows, rejects = p.silver_daily
+    series, _ = _merged(p)
+    return present(quality.table_counts({"bronze": p.bronze_daily, "silver": rows, "rejects": rejects, "payload_records": series}))
 
 
 @register(
@@ -280,17 +285,85 @@ def q_stats(p: Pipeline) -> DataFrame:
     return present(quality.column_stats(p.fact, STAT_COLS))
 
 
-@register("dq_quartiles", None)
+@register(
+    "dq_quartiles",
+    oracle(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, quantile_disc(CAST({c} AS DOUBLE), 0.25) AS p25, "
+            f"quantile_disc(CAST({c} AS DOUBLE), 0.5) AS p50, quantile_disc(CAST({c} AS DOUBLE), 0.75) AS p75 FROM fact"
+            for c in STAT_COLS
+        ),
+        [("column_name", "keep"), ("p25", "dbl"), ("p50", "dbl"), ("p75", "dbl")],
+    ),
+)
 def q_quartiles(p: Pipeline) -> DataFrame:
-    """DQ-11: approximate quartiles (percentile sketch; no exact oracle)."""
+    """DQ-11: exact quartiles of the fact's measures."""
     return present(quality.column_quartiles(p.fact, STAT_COLS))
 
 
+def _profile_sql(name: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, 'string' AS type, COUNT(*) AS total_rows, COUNT(*) - COUNT({c}) AS null_count, "
+        f"COUNT(DISTINCT {c}) AS distinct_values FROM {name}" for c in columns
+    )
+
+
+PROFILE_KINDS = [("column_name", "keep"), ("type", "keep"), ("total_rows", "int"), ("null_count", "int"), ("distinct_values", "int")]
+MONTHLY_RAW = [r for r, _, _ in MONTHLY_COLUMNS]
+
+
+@register("dq_profile_daily", oracle(_profile_sql("bronze_daily", RAW_DAILY), PROFILE_KINDS))
+def q_profile_daily(p: Pipeline) -> DataFrame:
+    """DQ-11: type, rows, NULLs and distinct values per bronze column."""
+    return present(quality.column_profile(p.bronze_daily, RAW_DAILY))
+
+
+@register("dq_profile_monthly", oracle(_profile_sql("bronze_monthly", MONTHLY_RAW), PROFILE_KINDS))
+def q_profile_monthly(p: Pipeline) -> DataFrame:
+    """DQ-11 on the monthly source."""
+    return present(quality.column_profile(p.bronze_monthly, MONTHLY_RAW))
+
+
+@register(
+    "dq_name_mismatch",
+    oracle(
+        """SELECT COALESCE(d.n, m.n) AS well_name, CASE WHEN d.n IS NULL THEN 'monthly' ELSE 'daily' END AS only_in
+           FROM (SELECT DISTINCT npd_well_bore_name AS n FROM bronze_daily WHERE npd_well_bore_name IS NOT NULL) d
+           FULL JOIN (SELECT DISTINCT wellbore_name AS n FROM bronze_monthly WHERE wellbore_name IS NOT NULL) m ON d.n = m.n
+           WHERE d.n IS NULL OR m.n IS NULL""",
+        [("well_name", "keep"), ("only_in", "keep")],
+    ),
+)
+def q_name_mismatch(p: Pipeline) -> DataFrame:
+    """DQ-3: raw well names that only one bronze source has (spelling drift)."""
+    d = p.bronze_daily.select(F.col("npd_well_bore_name").alias("well_name"))
+    m = p.bronze_monthly.select(F.col("wellbore_name").alias("well_name"))
+    return present(quality.key_mismatch(d, m, ["well_name"], "daily", "monthly"))
+
+
+MONTHLY_CAST_COLS = ["on_stream_hrs", "oil_sm3", "gas_sm3", "water_sm3", "gi_sm3", "wi_sm3"]
+
+
+@register(
+    "dq_uncastable_monthly",
+    oracle(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, COUNT(CASE WHEN {_bad(c)} THEN 1 END) AS uncastable_count, "
+            f"MIN(CASE WHEN {_bad(c)} THEN {c} END) AS sample_value FROM bronze_monthly" for c in MONTHLY_CAST_COLS
+        ),
+        [("column_name", "keep"), ("uncastable_count", "int"), ("sample_value", "keep")],
+    ),
+)
+def q_uncastable_monthly(p: Pipeline) -> DataFrame:
+    """DQ-4 on the monthly source: every numeric column (the units row shows)."""
+    return present(quality.uncastable(p.bronze_monthly, MONTHLY_CAST_COLS))
+
+
 @register(
     "dq_orphans",
     oracle(
         """SELECT 'dim_well' AS dimension, COUNT(*) AS orphan_rows FROM fact f
-             WHERE f.well_name NOT IN (SELECT DISTINCT well_name FROM well_day)
+             WHERE NOT EXISTS (SELECT 1 FROM well_day w WHERE w.well_name = f.well_name)
            UNION ALL
            SELECT 'dim_date', COUNT(*) FROM fact f WHERE f.prod_date NOT IN
              (SELECT CAST(unnest(generate_series(MIN(prod_date), MAX(prod_date), INTERVAL 1 DAY)) AS DATE) FROM well_day)""",
@@ -298,7 +371,7 @@ def q_quartiles(p: Pipeline) -> DataFrame:
     ),
 )
 def q_orphans(p: Pipeline) -> DataFrame:
-    """DQ-13: fact rows with no dimension row."""
+    """DQ-13: fact rows with no dimension row (a NULL well has none)."""
     return present(quality.orphans(p.fact, {"dim_well": (p.dim_entity, "well_name", "well_name"),
                                             "dim_date": (p.dim_date, "prod_date", "calendar_date")}))
 
@@ -426,7 +499,17 @@ def q_merge_pages(p: Pipeline) -> DataFrame:
     return present(comp)
 
 
-@register("payload_shape", None)
+@register(
+    "payload_shape",
+    oracle(
+        """SELECT 'object' AS top_level_type, 'response' AS fields, COUNT(*) AS payloads FROM (
+             SELECT event_id // 5000 AS page FROM events
+             UNION SELECT event_id // 5000 - 1 FROM events WHERE event_id % 5000 = 0 AND event_id > 0) p
+           UNION ALL
+           SELECT 'array', '', COUNT(DISTINCT strftime(rate_date, '%Y-%m')) FROM fx""",
+        [("top_level_type", "keep"), ("fields", "keep"), ("payloads", "int")],
+    ),
+)
 def q_payload_shape(p: Pipeline) -> DataFrame:
     """SRC-7: payload shapes (object pages and array documents)."""
     return present(payloads.payload_shape(p.event_pages.select("raw").unionByName(p.fx_payloads.select("raw"))))
@@ -532,7 +615,7 @@ def q_gov_mask(p: Pipeline) -> DataFrame:
         f"""WITH roles AS (SELECT * FROM (VALUES ('ENGINEER'), ('{VIEWER_ROLE}'), ('UNKNOWN')) t(role)),
                  full_access AS (SELECT * FROM (VALUES {", ".join(f"('{r}')" for r in FULL_ACCESS_ROLES)}) t(role))
             SELECT r.role,
-                   COUNT(DISTINCT f.well_name) AS wells_visible, COUNT(f.well_name) AS rows_visible,
+                   COUNT(DISTINCT f.well_name) AS wells_visible, COUNT(f.prod_date) AS rows_visible,
                    COUNT(CASE WHEN r.role IN (SELECT role FROM full_access) THEN f.avg_whp END) AS avg_whp_visible
             FROM roles r LEFT JOIN fact f
               ON r.role IN (SELECT role FROM full_access)
@@ -566,18 +649,14 @@ STANDIN_SPLIT_DATE = "1998-01-01"  # splits the stand-in years roughly in half
 )
 def q_batches(p: Pipeline) -> DataFrame:
     """FIL-2 / DQ-9: the two load batches of silver, split at a date."""
-    from ..operators.silver import clean_daily
-
-    parts = []
-    for batch in ("first", "second"):
-        clean, _ = clean_daily(p.bronze_daily, split_date=STANDIN_SPLIT_DATE, batch=batch)
-        parts.append(clean.agg(
-            F.count(F.lit(1)).alias("silver_rows"),
-            F.count_if("is_shutin").alias("shutin_days"),
-            F.min("prod_date").alias("first_date"),
-            F.max("prod_date").alias("last_date"),
-        ).select(F.lit(batch).alias("batch"), "*"))
-    return present(parts[0].unionByName(parts[1]))
+    rows, _ = p.silver_daily
+    first = F.col("prod_date") < F.lit(STANDIN_SPLIT_DATE).cast("date")
+    return present(rows.groupBy(F.when(first, "first").otherwise("second").alias("batch")).agg(
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_if("is_shutin").alias("shutin_days"),
+        F.min("prod_date").alias("first_date"),
+        F.max("prod_date").alias("last_date"),
+    ))
 
 
 @register(

@@ -13,7 +13,7 @@ Money and volume columns are DECIMAL so that sums are exact in both engines.
 | well_day          | lineitem by (l_suppkey, ship day); names via supplier    |
 | price             | orders on weekdays: lowest order total of the day        |
 | fx                | orders: highest order total of the day / 100000          |
-| monthly_reported  | lineitem lines 1-6 by supplier, year, month              |
+| monthly_reported  | lineitem by supplier, year, month; line 7 counts half    |
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ TABLES = (
 ).split()
 
 
+UNNAMED_WELL = 7
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -48,7 +51,8 @@ def well_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
         .select(
             F.col("s_suppkey").alias("well_id"),
-            F.col("s_name").alias("well_name"),
+            # one well without a name: results must keep its rows
+            F.when(F.col("s_suppkey") != UNNAMED_WELL, F.col("s_name")).alias("well_name"),
             F.col("n_name").alias("facility_name"),
             F.col("r_name").alias("field_name"),
         )
@@ -116,12 +120,14 @@ def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_reported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A deliberately incomplete second source: lines 1-6 only, per month."""
+    """A second source that differs: line 7 counts half, every tenth well is
+    spelled in capitals."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_returnflag", "l_quantity", "l_linenumber"
     )
+    quantity = F.col("l_quantity") * F.when(F.col("l_linenumber") == 7, F.lit(0.5)).otherwise(F.lit(1.0))
     m = (
-        li.where(F.col("l_linenumber") < 7)
+        li.withColumn("l_quantity", quantity)
         .groupBy(
             F.col("l_suppkey").alias("well_id"),
             F.year("l_shipdate").alias("prod_year"),
@@ -129,15 +135,16 @@ def monthly_reported(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(_flag_volume("N").alias("oil_sm3"), _flag_volume("R").alias("gas_sm3"))
     )
+    name = F.when(F.col("well_id") % 10 == 4, F.upper("well_name")).otherwise(F.col("well_name"))
     return m.join(well_names(spark, sf_dir), "well_id").select(
-        "well_name", "prod_year", "prod_month", "oil_sm3", "gas_sm3"
+        name.alias("well_name"), "prod_year", "prod_month", "oil_sm3", "gas_sm3"
     )
 
 
 # The same stand-ins as DuckDB SQL (CTE bodies), for oracle_sql().
 STANDIN_SQL = {
     "names": """
-        SELECT s.s_suppkey AS well_id, s.s_name AS well_name,
+        SELECT s.s_suppkey AS well_id, CASE WHEN s.s_suppkey <> 7 THEN s.s_name END AS well_name,
                n.n_name AS facility_name, r.r_name AS field_name
         FROM supplier s
         JOIN nation n ON s.s_nationkey = n.n_nationkey
@@ -170,13 +177,14 @@ STANDIN_SQL = {
         FROM orders
         GROUP BY CAST(o_orderdate AS DATE)""",
     "monthly_reported": """
-        SELECT nm.well_name, m.prod_year, m.prod_month, m.oil_sm3, m.gas_sm3
+        SELECT CASE WHEN m.well_id % 10 = 4 THEN upper(nm.well_name) ELSE nm.well_name END AS well_name,
+               m.prod_year, m.prod_month, m.oil_sm3, m.gas_sm3
         FROM (
           SELECT l_suppkey AS well_id, CAST(year(l_shipdate) AS INTEGER) AS prod_year,
                  CAST(month(l_shipdate) AS INTEGER) AS prod_month,
-                 CAST(SUM(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS DECIMAL(18,5)) AS oil_sm3,
-                 CAST(SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS DECIMAL(18,5)) AS gas_sm3
-          FROM lineitem WHERE l_linenumber < 7
+                 CAST(SUM(CASE WHEN l_returnflag = 'N' THEN q ELSE 0 END) AS DECIMAL(18,5)) AS oil_sm3,
+                 CAST(SUM(CASE WHEN l_returnflag = 'R' THEN q ELSE 0 END) AS DECIMAL(18,5)) AS gas_sm3
+          FROM (SELECT *, l_quantity * CASE WHEN l_linenumber = 7 THEN 0.5 ELSE 1.0 END AS q FROM lineitem) halved
           GROUP BY 1, 2, 3
         ) m JOIN names nm ON m.well_id = nm.well_id""",
     # TS-1 by two as-of joins: the last known price on or before the day, else
@@ -245,9 +253,9 @@ def bronze_daily(spark: SparkSession, sf_dir: str, daily: DataFrame | None = Non
         F.concat(F.lit("NO "), _s("well_id")).alias("well_bore_code"),
         _s("well_id").alias("npd_well_bore_code"),
         F.col("well_name").alias("npd_well_bore_name"),
-        F.upper(F.substring("field_name", 1, 3)).alias("npd_field_code"),
+        F.upper("field_name").alias("npd_field_code"),
         F.col("field_name").alias("npd_field_name"),
-        F.upper(F.substring("facility_name", 1, 3)).alias("npd_facility_code"),
+        F.upper("facility_name").alias("npd_facility_code"),
         F.col("facility_name").alias("npd_facility_name"),
         when_k({11: F.lit("NaN")}, F.when(F.col("is_shutin"), F.lit("0")).otherwise(F.lit("24"))).alias("on_stream_hrs"),
         F.when(third, F.lit(None).cast("string")).otherwise(_s("avg_whp")).alias("avg_downhole_pressure"),
@@ -263,7 +271,7 @@ def bronze_daily(spark: SparkSession, sf_dir: str, daily: DataFrame | None = Non
                 6: F.concat(F.lit("-"), _s("oil_vol_sm3"))}, _s("oil_vol_sm3")).alias("bore_oil_vol"),
         when_k({7: F.lit("n/a")}, _s("gas_vol_sm3")).alias("bore_gas_vol"),
         when_k({8: F.lit("")}, _s("water_vol_sm3")).alias("bore_wat_vol"),
-        F.when(F.col("well_type") == "WI", _s("gas_vol_sm3")).alias("bore_wi_vol"),
+        when_k({13: F.lit("x1")}, F.when(F.col("well_type") == "WI", _s("gas_vol_sm3"))).alias("bore_wi_vol"),
         F.when(F.col("well_type") == "WI", F.lit("injection")).otherwise(F.lit("production")).alias("flow_kind"),
         when_k({9: F.concat(F.lit(" "), F.col("well_type"))}, F.col("well_type")).alias("well_type"),
         F.col("_k"),
@@ -275,16 +283,21 @@ def bronze_daily(spark: SparkSession, sf_dir: str, daily: DataFrame | None = Non
 
 
 def bronze_monthly(spark: SparkSession, sf_dir: str, monthly: DataFrame | None = None) -> DataFrame:
-    """Raw monthly production (10 text columns) with its units row."""
+    """Raw monthly production (10 text columns) with its units row, negative
+    and unreadable volumes in some months and rows loaded twice in others."""
     m = monthly if monthly is not None else monthly_reported(spark, sf_dir)
-    rows = m.select(
+    n = F.col("prod_year") * 12 + F.col("prod_month")
+    oil = F.when(n % 17 == 3, F.concat(F.lit("-"), _s("oil_sm3"))).otherwise(_s("oil_sm3"))
+    gas = F.when(n % 29 == 7, F.lit("bad")).otherwise(_s("gas_sm3"))
+    copies = F.when(n % 23 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = m.select("*", F.explode(copies).alias("_copy")).select(
         F.col("well_name").alias("wellbore_name"),
-        F.upper(F.substring("well_name", 1, 3)).alias("npd_code"),
+        F.upper("well_name").alias("npd_code"),
         _s("prod_year").alias("year"),
         _s("prod_month").alias("month"),
         F.lit(None).cast("string").alias("on_stream_hrs"),
-        _s("oil_sm3").alias("oil_sm3"),
-        _s("gas_sm3").alias("gas_sm3"),
+        oil.alias("oil_sm3"),
+        gas.alias("gas_sm3"),
         F.lit(None).cast("string").alias("water_sm3"),
         F.lit(None).cast("string").alias("gi_sm3"),
         F.lit(None).cast("string").alias("wi_sm3"),
@@ -339,9 +352,9 @@ _BRONZE_DAILY_SQL = """
       'NO ' || CAST(well_id AS VARCHAR) AS well_bore_code,
       CAST(well_id AS VARCHAR) AS npd_well_bore_code,
       well_name AS npd_well_bore_name,
-      upper(substring(field_name, 1, 3)) AS npd_field_code,
+      upper(field_name) AS npd_field_code,
       field_name AS npd_field_name,
-      upper(substring(facility_name, 1, 3)) AS npd_facility_code,
+      upper(facility_name) AS npd_facility_code,
       facility_name AS npd_facility_name,
       CASE WHEN k = 11 THEN 'NaN' WHEN is_shutin THEN '0' ELSE '24' END AS on_stream_hrs,
       CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(avg_whp AS VARCHAR) END AS avg_downhole_pressure,
@@ -358,7 +371,7 @@ _BRONZE_DAILY_SQL = """
              WHEN 6 THEN '-' || CAST(oil_vol_sm3 AS VARCHAR) ELSE CAST(oil_vol_sm3 AS VARCHAR) END AS bore_oil_vol,
       CASE WHEN k = 7 THEN 'n/a' ELSE CAST(gas_vol_sm3 AS VARCHAR) END AS bore_gas_vol,
       CASE WHEN k = 8 THEN '' ELSE CAST(water_vol_sm3 AS VARCHAR) END AS bore_wat_vol,
-      CASE WHEN well_type = 'WI' THEN CAST(gas_vol_sm3 AS VARCHAR) END AS bore_wi_vol,
+      CASE WHEN k = 13 THEN 'x1' WHEN well_type = 'WI' THEN CAST(gas_vol_sm3 AS VARCHAR) END AS bore_wi_vol,
       CASE WHEN well_type = 'WI' THEN 'injection' ELSE 'production' END AS flow_kind,
       CASE WHEN k = 9 THEN ' ' || well_type ELSE well_type END AS well_type,
       k
@@ -379,11 +392,13 @@ def _bronze_daily_sql() -> str:
 
 STANDIN_SQL["bronze_daily"] = _bronze_daily_sql()
 STANDIN_SQL["bronze_monthly"] = """
-        SELECT well_name AS wellbore_name, upper(substring(well_name, 1, 3)) AS npd_code,
+        SELECT well_name AS wellbore_name, upper(well_name) AS npd_code,
                CAST(prod_year AS VARCHAR) AS year, CAST(prod_month AS VARCHAR) AS month,
-               CAST(NULL AS VARCHAR) AS on_stream_hrs, CAST(oil_sm3 AS VARCHAR) AS oil_sm3,
-               CAST(gas_sm3 AS VARCHAR) AS gas_sm3, CAST(NULL AS VARCHAR) AS water_sm3,
-               CAST(NULL AS VARCHAR) AS gi_sm3, CAST(NULL AS VARCHAR) AS wi_sm3
-        FROM monthly_reported
+               CAST(NULL AS VARCHAR) AS on_stream_hrs,
+               CASE WHEN (prod_year * 12 + prod_month) % 17 = 3 THEN '-' || CAST(oil_sm3 AS VARCHAR)
+                    ELSE CAST(oil_sm3 AS VARCHAR) END AS oil_sm3,
+               CASE WHEN (prod_year * 12 + prod_month) % 29 = 7 THEN 'bad' ELSE CAST(gas_sm3 AS VARCHAR) END AS gas_sm3,
+               CAST(NULL AS VARCHAR) AS water_sm3, CAST(NULL AS VARCHAR) AS gi_sm3, CAST(NULL AS VARCHAR) AS wi_sm3
+        FROM monthly_reported, range(CASE WHEN (prod_year * 12 + prod_month) % 23 = 5 THEN 2 ELSE 1 END) copies
         UNION ALL SELECT NULL, '', '', '', 'hrs', 'Sm3', 'Sm3', 'Sm3', 'Sm3', 'Sm3'"""
 STANDIN_ORDER = STANDIN_ORDER + ("bronze_daily", "bronze_monthly")
