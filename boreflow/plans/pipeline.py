@@ -19,6 +19,7 @@ from functools import cached_property
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,18 @@ class Pipeline:
             _STORED[key] = path
             return self.spark.read.parquet(path)
 
+    def folder(self, name: str, write: Callable[[str], None]) -> str:
+        """A folder that ``write`` fills once per application and data folder."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"files/{name}")
+        with _LOCK:
+            path = _STORED.get(key)
+            if path is None:
+                root = ensure_checkpoint_dir(self.spark).rstrip("/")
+                path = f"{root}/files-{uuid.uuid4().hex[:12]}/{name}"
+                write(path)
+                _STORED[key] = path
+            return path
+
     # --- silver stand-ins ---------------------------------------------------
     @cached_property
     def well_day(self) -> DataFrame:

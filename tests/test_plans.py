@@ -8,7 +8,7 @@
 
 import pytest
 
-from boreflow.plans import registry_ingest  # noqa: F401  (registers its queries)
+from boreflow.plans import registry_files, registry_ingest  # noqa: F401  (register their queries)
 from boreflow.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
