@@ -359,15 +359,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page's record as read back from the archives; a revisit's size and
     digest are those of the response that it refers to."""
     found = store(archive_pages(table(spark, sf_dir, "pages"), with_payload=False).drop("payload"), "warc-records")
-    of = found.filter(F.col("record_type") == "response").groupBy("record_id").agg(
-        F.max("page_id").alias("_page"), F.max("payload_bytes").alias("_bytes"), F.max("payload_digest").alias("_digest")
-    ).withColumnRenamed("record_id", "_record")
-    joined = found.join(of, F.col("refers_to_id") == F.col("_record"), "left")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     revisit = F.col("record_type") == "revisit"
-    return joined.select(
-        "page_id",
-        F.when(revisit, F.col("_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(revisit, F.col("_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        F.col("_page").alias("refers_to"),
-    )
+    kept = found.filter(~revisit).select("record_id", *columns)
+    # stored, so that both sides of the join are plain shuffles and a response that
+    # very many pages revisit can be split at run time
+    of = store(kept.dropDuplicates(["record_id"]).select(F.col("record_id").alias("_of"), F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest")), "warc-responses")
+    again = found.filter(revisit).join(of, F.col("refers_to_id") == F.col("_of"))
+    again = again.select("page_id", F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest"), "record_type", F.col("_page").alias("refers_to"))
+    return kept.select(*columns, F.lit(None).cast("long").alias("refers_to")).union(again)
