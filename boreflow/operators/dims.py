@@ -28,13 +28,14 @@ def dim_latest(
     Each attribute has the value of the entity's latest date, even when that
     is NULL (MAX_BY semantics); ties on the date go to the larger value, rows
     without a date are ignored. The rows are reduced by a hash aggregate over
-    (entity, attributes) that keeps only dates; ``max_by`` then sees the few
-    combinations an entity has had.
+    (entity, attributes) that keeps only dates; the latest is then picked from
+    the few combinations an entity has had.
     """
     seen = daily.groupBy(entity, *attrs).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
 
     def latest(c: str) -> F.Column:
-        return F.max_by(F.col(c), F.when(F.col("_hi").isNotNull(), F.struct(F.col("_hi"), F.col(c)))).alias(c)
+        dated = F.when(F.col("_hi").isNotNull(), F.struct(F.col("_hi"), F.col(c).alias("_v")))
+        return F.array_max(F.collect_list(dated))["_v"].alias(c)
 
     return seen.groupBy(entity).agg(*[latest(a) for a in attrs], F.min("_lo").alias(first), F.max("_hi").alias(last))
 

@@ -186,8 +186,8 @@ def chain_fact(p: Pipeline) -> DataFrame:
 
 def _chain(body: str) -> str:
     """``body`` over the fact that the cleaned bronze rows give."""
-    fact = standin.STANDIN_SQL["fact"].replace("well_day", "cleaned")
-    return f"WITH cleaned AS (SELECT DISTINCT * FROM ({SILVER_DAILY_SQL}) s), fact AS ({fact}) {body}"
+    filled, fact = (standin.STANDIN_SQL[name].replace("well_day", "cleaned") for name in ("price_filled", "fact"))
+    return f"WITH cleaned AS (SELECT DISTINCT * FROM ({SILVER_DAILY_SQL}) s), price_filled AS ({filled}), fact AS ({fact}) {body}"
 
 
 @register("chain_fact", oracle(_chain("SELECT * FROM fact"), FACT_KINDS, FACT_DIGITS))

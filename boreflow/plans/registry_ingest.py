@@ -512,7 +512,8 @@ def q_merge_pages(p: Pipeline) -> DataFrame:
 )
 def q_payload_shape(p: Pipeline) -> DataFrame:
     """SRC-7: payload shapes (object pages and array documents)."""
-    return present(payloads.payload_shape(p.event_pages.select("raw").unionByName(p.fx_payloads.select("raw"))))
+    shapes = payloads.payload_shape(p.event_pages.select("raw").unionByName(p.fx_payloads.select("raw")))
+    return present(shapes.groupBy("top_level_type", "fields").agg(F.sum("payloads").alias("payloads")))
 
 
 @register(

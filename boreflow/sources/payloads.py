@@ -77,11 +77,12 @@ def merge_pages(
 
 
 def payload_shape(payloads: DataFrame, raw: str = "raw") -> DataFrame:
-    """SRC-7: how many payloads have each top-level shape: the JSON type and,
-    for objects, the sorted names of the top-level fields."""
+    """SRC-7: how many payloads have each shape: the JSON type, for objects the
+    sorted names of the top-level fields, and the schema with all types."""
     text = F.to_json(raw)
     fields = F.array_join(F.array_sort(F.json_object_keys(text)), ",")
-    kind = F.lower(F.regexp_extract(F.schema_of_variant(F.col(raw)), r"^([A-Za-z]+)", 1))
-    return payloads.groupBy(kind.alias("top_level_type"), F.coalesce(fields, F.lit("")).alias("fields")).agg(
-        F.count(F.lit(1)).alias("payloads")
-    )
+    schema = F.schema_of_variant(F.col(raw))
+    kind = F.lower(F.regexp_extract(schema, r"^([A-Za-z]+)", 1))
+    return payloads.groupBy(
+        kind.alias("top_level_type"), F.coalesce(fields, F.lit("")).alias("fields"), schema.alias("schema")
+    ).agg(F.count(F.lit(1)).alias("payloads"))

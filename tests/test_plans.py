@@ -1,8 +1,7 @@
 """Plan-level scale properties of every registered query (regression guard).
 
 * no nested-loop or cartesian join;
-* sort-based aggregates only where accepted on purpose: text ``max_by`` per
-  entity (DIM-1/2 and what builds on the SCD1 label), the baseline month on
+* sort-based aggregates only where accepted on purpose: the baseline month on
   the monthly table (decomposition), and a global text ``min`` (no keys).
 """
 
@@ -13,8 +12,7 @@ from boreflow.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 SORT_AGG_OK = {
-    "dim_entity", "dim_scd1", "scd1_at_risk_by_entity", "scd1_at_risk_total",
-    "revenue_decomposition", "decomposition_check", "gov_mask", "dq_uncastable",
+    "revenue_decomposition", "decomposition_check", "gov_mask", "dq_uncastable", "dq_uncastable_monthly",
 }
 
 

@@ -1,6 +1,8 @@
 """SURVEY §7.6 semantics pinned down on small inputs."""
 
 import datetime as dt
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -31,11 +33,12 @@ def test_fx_not_filled_and_water_cut_nulls(spark):
     assert f[1].est_revenue_nok is not None and f[3].nok_per_usd is None and f[3].est_revenue_nok is None  # S-2
 
 
-def test_duplicate_price_date_multiplies_rows_and_is_flagged(spark):
+def test_duplicate_price_date_is_refused_and_flagged(spark):
     daily = _daily(spark, [("a", D(2020, 1, 1), "OP", "10", "0")])
     price = spark.createDataFrame([(D(2020, 1, 1), 50.0), (D(2020, 1, 1), 51.0)], "cal_date date, brent_usd_bbl_filled double")
     fx = spark.createDataFrame([(D(2020, 1, 1), 10.0)], "rate_date date, nok_per_usd double")
-    assert build_fact(daily, price, fx).count() == 2                                      # S-12
+    with pytest.raises(Exception, match="conflicting values"):                             # S-12: would multiply rows
+        build_fact(daily, price, fx).collect()
     assert quality.duplicate_keys(price, ["cal_date"]).count() == 1                        # the gate that catches it
 
 

@@ -116,7 +116,7 @@ def test_price_pages_merge_and_checks(spark, tmpdir_path):
             c.missing) == (5, 5, 4, 1, 0, 1)
     checks = {r.check_name: r.n for r in quality.series_checks(series, "period", "value", "units", "$/BBL").collect()}
     assert checks == {"rows": 4, "null_values": 1, "non_numeric_values": 1, "unexpected_units": 1,
-                      "duplicate_dates": 0, "missing_dates": 1}  # 09-06 is a Thursday
+                      "duplicate_dates": 0, "unparsed_dates": 0, "missing_dates": 1}  # 09-06 is a Thursday
     shapes = payloads.payload_shape(good).collect()
     # both pages are objects, but "total" is text in one and a number in the other: two schemas
     assert {r.top_level_type for r in shapes} == {"object"} and sum(r.payloads for r in shapes) == 2
