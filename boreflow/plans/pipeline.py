@@ -29,24 +29,34 @@ from ..operators import dims, fact, gold, silver, timeseries
 from ..session import ensure_checkpoint_dir
 from . import standin
 
-# (application id, sf_dir, table) -> stored path
+# (application id, inputs, table) -> stored path
 _STORED: dict[tuple[str, str, str], str] = {}
-# (application id, sf_dir) -> pipeline (its DataFrames are immutable plans)
+# (application id, inputs) -> pipeline (its DataFrames are immutable plans)
 _PIPELINES: dict[tuple[str, str], "Pipeline"] = {}
 _LOCK = threading.RLock()
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """The data folder with the names, sizes and times of its tables: stored
+    layers are used again only while these stay the same."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/*.parquet")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.globStatus(folder) or []]
+    return f"{sf_dir}|{hashlib.sha1(repr(sorted(found)).encode()).hexdigest()[:12]}"
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, store_silver: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.inputs = fingerprint(spark, sf_dir)
         self.store_silver = store_silver
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
         """The application's pipeline over ``sf_dir``; its layer plans are
         built once and shared by every query (plans, not cached data)."""
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, fingerprint(spark, sf_dir))
         with _LOCK:
             p = _PIPELINES.get(key)
             if p is None or p.spark is not spark:
@@ -56,7 +66,7 @@ class Pipeline:
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.store_silver:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.inputs, name)
         with _LOCK:
             path = _STORED.get(key)
             if path is not None:
@@ -65,7 +75,7 @@ class Pipeline:
                 except AnalysisException:  # the folder was cleaned: write it again
                     _STORED.pop(key, None)
             root = ensure_checkpoint_dir(self.spark).rstrip("/")
-            tag = hashlib.sha1(f"{key[0]}|{self.sf_dir}".encode()).hexdigest()[:12]
+            tag = hashlib.sha1(f"{key[0]}|{self.inputs}".encode()).hexdigest()[:12]
             path = f"{root}/silver-{tag}/{name}"
             build().write.mode("overwrite").parquet(path)
             _STORED[key] = path
@@ -73,7 +83,7 @@ class Pipeline:
 
     def folder(self, name: str, write: Callable[[str], None]) -> str:
         """A folder that ``write`` fills once per application and data folder."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"files/{name}")
+        key = (self.spark.sparkContext.applicationId, self.inputs, f"files/{name}")
         with _LOCK:
             path = _STORED.get(key)
             if path is None:

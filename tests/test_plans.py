@@ -23,3 +23,26 @@ def test_plan_shape(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     if name not in SORT_AGG_OK:
         assert "SortAggregate" not in plan, f"{name} plans a sort-based aggregate"
+
+
+def test_plans_behind_the_stored_layers(spark):
+    """The plans from the raw tables on, without any stored layer in between."""
+    from boreflow.operators import measures, quality
+    from boreflow.plans.pipeline import Pipeline
+
+    p = Pipeline(spark, SF_SMALL, store_silver=False)
+    # as measured; broadcasts of date series come on top
+    shuffles = {"fact": 11, "downtime": 7, "unusual": 25, "deferred": 35, "scd1": 6, "decomposition": 26}
+    frames = {
+        "fact": p.fact, "downtime": p.downtime, "unusual": quality.unusual(p.well_day),
+        "deferred": measures.deferred_volume(p.well_day), "scd1": p.scd1, "decomposition": p.decomposition,
+    }
+    seen = {}
+    for name, df in frames.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+        hashed = plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+        seen[name] = hashed
+        # a window never gathers an entity whole: it is cut by month
+        assert "Exchange SinglePartition" not in plan or name in ("fact", "downtime", "decomposition"), name
+    assert {n: x for n, x in seen.items() if x > shuffles[n]} == {}
