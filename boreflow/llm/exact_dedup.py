@@ -57,19 +57,21 @@ class DigestIndex:
         """Append the digests of ``batch`` (doc_id, digest) that the index lacks."""
         new = batch.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
         fresh = new.hint("merge").join(self.read().select("digest"), "digest", "left_anti")
-        fresh.repartition(self.buckets, "digest").write.insertInto(self.name)
+        # by the bucket's number, as the writer computes it: one file per bucket and batch
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        fresh.repartition(bucket).write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
     def resolve(self, members: DataFrame) -> DataFrame:
         """doc_id, digest, keep_id, group_size, kept for (doc_id, digest) rows.
 
-        The index is read as plain files here, so that both sides of the join
-        are shuffled and the run-time planner can split the digest of a large
-        group of copies.
+        The groups are stored before they are joined to the documents, so that
+        both sides of that join are plain shuffles and the run-time planner can
+        split the digest of a large group of copies.
         """
         sizes = members.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
         groups = self.read().hint("merge").join(sizes, "digest")
-        groups = groups.select(F.col("digest").alias("_digest"), "keep_id", "group_size")
+        groups = store(groups.select(F.col("digest").alias("_digest"), "keep_id", "group_size"), "digest-groups")
         joined = members.join(groups, F.col("digest") == F.col("_digest"), "left")
         return joined.select(
             "doc_id", "digest", "keep_id", "group_size",
