@@ -17,9 +17,18 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
-    (On a cluster the package is installed or passed with ``--py-files``.)"""
+#: Bytes of text that a Python worker gets at once; a batch exists four times (JVM,
+#: Arrow, Python strings, results), so this is what bounds a worker's memory.
+BATCH_BYTES = 16 << 20
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session, and let Python workers import this
+    package from where the driver has it (on a cluster the package is installed
+    or passed with ``--py-files``)."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(setting, "67108864b").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(setting, f"{BATCH_BYTES}b")
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
@@ -34,13 +43,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage is cut and a lost executor re-reads files instead of recomputing."""
+    prepare_workers(df.sparkSession)
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    workers_import(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
