@@ -61,10 +61,13 @@ def append_new(
     columns are among the columns of ``df``.
     """
     spark, others = df.sparkSession, [c for c in df.columns if c not in key]
+    existing = read_if_exists(spark, path)
+    if existing is not None:
+        # all files of a table have the types it was made with
+        df = df.select(*[F.col(c).cast(existing.schema[c].dataType).alias(c) if c in existing.columns else c for c in df.columns])
     # one row per key: the smallest, and whether the batch holds another one
     value = F.struct(*others) if others else F.lit(0)
     batch = df.groupBy(*key).agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
-    existing = read_if_exists(spark, path)
     on_key = F.struct(*key)  # a struct is never NULL, so NULL keys meet
     if existing is None:
         known = batch.withColumn("_stored", F.lit(None).cast(batch.schema["_least"].dataType))
