@@ -43,6 +43,14 @@ URL_TAIL = re.compile(r"[^\s\"'<>\\^`{|}]+")
 CUES = ["password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "access_key"]
 CUE_VALUE = re.compile(r"[ \t]*[=:][ \t]*[\"']?([A-Za-z0-9_./+~-]{6,})")
 IBAN_VALUE = re.compile(r"[ \t:#]*([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
+#: Length of an account number by the country code it begins with.
+_BY_LENGTH = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LENGTHS = {code: n for n, codes in _BY_LENGTH.items() for code in codes.split()}
 
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,value:string>>"
 
@@ -135,12 +143,21 @@ def url_at(text: str, colon: int, floor: int) -> tuple[int, int] | None:
 
 
 def iban_at(text: str, after: int) -> tuple[int, int] | None:
+    """The text may go on in capitals or digits: the number is as long as its country
+    says, for other codes the longest whose check digits hold."""
     value = IBAN_VALUE.match(text, after)
     if not value:
         return None
-    plain = value.group(1).replace(" ", "")
-    number = "".join(str(int(c, 36)) for c in plain[4:] + plain[:4])
-    return value.span(1) if int(number) % 97 == 1 else None
+    start = value.start(1)
+    places = [i for i in range(start, value.end(1)) if text[i] != " "]
+    plain = "".join(text[i] for i in places)
+    fixed = IBAN_LENGTHS.get(plain[:2])
+    for n in [fixed] if fixed else range(len(plain), 14, -1):
+        if n <= len(plain):
+            number = "".join(str(int(c, 36)) for c in plain[4:n] + plain[:4])
+            if int(number) % 97 == 1:
+                return start, places[n - 1] + 1
+    return None
 
 
 def spans(text: str | None, anchors) -> list[tuple[str, int, int]]:

@@ -65,6 +65,24 @@ def test_added_kinds():
     assert pii.redact_text(None, ANCHORS) is None
 
 
+@pytest.mark.parametrize(
+    "number", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+)
+@pytest.mark.parametrize("after", ["", ".", " Please pay", " BIC COBADEFFXXX", " 12 EUR", " 2024", " A", "\nX", " I AM HERE AND THERE"])
+def test_iban_ends_where_its_country_says(number, after):
+    text = f"IBAN {number}{after}"
+    assert [(k, text[s:e]) for k, s, e in pii.spans(text, ANCHORS) if k == "iban"] == [("iban", number)]
+    assert pii.redact_text(text, ANCHORS) == f"IBAN [iban]{after}"
+
+
+def test_iban_of_an_unlisted_country():
+    body = "1234567890123456"
+    number = f"ZZ{98 - int(body + '353500') % 97:02}{body}"
+    for after in ("", " Pay"):
+        assert [text[s:e] for text in (f"IBAN {number}{after}",) for k, s, e in pii.spans(text, ANCHORS) if k == "iban"] == [number]
+    assert not [k for k, *_ in pii.spans("IBAN DE88 3704 0044 0532 0130 00 Please", ANCHORS) if k == "iban"]
+
+
 @pytest.mark.parametrize("source", ["fixture", "documents"])
 def test_pii_query_columns(spark, source, monkeypatch):
     docs = fixture(spark) if source == "fixture" else table(spark, SF, "documents")
