@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import key_bucket, shuffle_key, store, table
-from .near_dedup import Shingler
+from .near_dedup import near_groups
 
 LABELLED, UNLABELLED, TERMS = 16_000, 16_000, 200
 THRESHOLD = 0.3
@@ -126,33 +126,21 @@ def _by_hash(df: DataFrame, bound: int, seed: int) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """(text, toxic) of the labelled sample, equal and nearly equal texts once:
-    copies of one toxic text would make every word in it look like a cue."""
+    """(text, toxic) of the labelled sample, of equal and nearly equal texts one per
+    label: copies of one toxic text would make every word in it look like a cue."""
     known = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")).filter("toxic = _most")
     known = _by_hash(known.select(F.col("doc_id"), "toxic"), bound, 7).withColumnRenamed("doc_id", "_id")
     # the sample's size is bounded, so its ids and labels are
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
     rows = rows.select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
-    marked = rows.mapInArrow(_mark, "text string, toxic int, m0 long, m1 long, m2 long")
-    for mark in ("m0", "m1", "m2"):
-        marked = marked.dropDuplicates([mark])
-    return marked.select("text", "toxic")
-
-
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Three minimum hashes of a text's shingles: near copies share most of them."""
-    shingle, factors = Shingler(), np.array([[1], [0x9E3779B97F4A7C15], [0xD1B54A32D192ED03]], np.uint64)
-    for batch in batches:
-        marks = np.zeros((batch.num_rows, 3), np.uint64)
-        for i, text in enumerate(batch.column(0)):
-            s = shingle(text.as_py())
-            if len(s):
-                marks[i] = (s[None, :] * factors).min(axis=1)
-        marks = marks.view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1).cast(pa.int32()), *(pa.array(marks[:, i]) for i in range(3))], ["text", "toxic", "m0", "m1", "m2"]
-        )
+    rows = store(rows.select(F.sha2("text", 256).alias("doc_id"), "text", "toxic"), "sample")
+    # texts that share a passage stay; of near copies one of each label stays, the one of the least digest
+    texts = store(rows.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    groups = near_groups(texts).select(F.col("doc_id").alias("_id"), "component_id")
+    sides = rows.select("doc_id", "toxic").distinct().join(groups, F.col("doc_id") == F.col("_id"))
+    first = sides.groupBy("component_id", F.col("toxic").cast("int").alias("toxic")).agg(F.min("doc_id").alias("_id")).select("_id", "toxic")
+    return texts.join(first, F.col("doc_id") == F.col("_id")).select("text", "toxic")
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -142,6 +142,25 @@ def test_held_out_labels_and_other_columns_are_not_used(spark):
     assert a == b
 
 
+def test_training_rows_that_share_a_footer_stay(spark):
+    """Half of every text is a common footer; near copies go, one of each label stays, whatever the order."""
+    footer = " ".join(f"licence{i}" for i in range(60))
+    ids = [i for i in range(1, 400) if not is_held_out(i)]
+    own = {i: " ".join(f"own{i}x{j}" for j in range(60)) for i in ids}
+    toxic = {i: int(n % 3 == 0) for n, i in enumerate(ids)}
+    copies = ids[:40]
+    for i in copies:
+        own[i] = own[ids[0]] + f" edit{i}"
+    rows = [(i, f"{own[i]} {footer}") for i in ids]
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    got = []
+    for some in (rows, rows[::-1]):
+        docs = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+        got.append(sorted((r.text, r.toxic) for r in toxicity.training_rows(docs, labels, 16_000).collect()))
+    want = Counter(toxic[i] for i in ids[40:]) + Counter({0: 1, 1: 1})
+    assert Counter(t for _, t in got[0]) == want and got[0] == got[1]
+
+
 def test_toxicity_edges(spark):
     docs = fixture(spark)
     labels = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (7, None), (9, 7)], "doc_id long, toxic int")
