@@ -90,6 +90,19 @@ def test_copies_linked_only_through_their_source(spark):
     assert got == near_groups(rows)
 
 
+def test_linked_pairs_in_a_template_crowd_are_found(spark):
+    """Members 0.68 alike by their template, linked in pairs at 0.754 only."""
+    template = [f"form{i}" for i in range(166)]
+    rows = []
+    for k in range(0, 600, 2):
+        for side, places in enumerate([(2, 14, 26), (8, 20, 35)]):
+            own = [f"edit{k}_{side}_{i}" if i in places else f"own{k}_{i}" for i in range(38)]
+            rows.append((k + side, " ".join(template + own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs).collect())
+    assert got == Counter((i, 200, i - i % 2) for i in range(600))
+
+
 def test_drop_near_copies(spark):
     docs = fixture(spark)
     out = near_dedup.drop_near_copies(docs)
