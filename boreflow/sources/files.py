@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,8 +136,11 @@ def load_audit(rows: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
     )
 
 
-def load_history(audit: DataFrame, n: int = 5) -> DataFrame:
+def load_history(audit: DataFrame, n: int = 5, since: Column | None = None) -> DataFrame:
     """SRC-4: the ``n`` most recently modified source files of a load audit
     (a top-n report: the limit is the feature; planned as a per-partition
-    top-n and a final merge)."""
+    top-n and a final merge), with ``since`` (a timestamp, such as
+    ``current_timestamp() - interval 1 hour``) of those modified from then on."""
+    if since is not None:
+        audit = audit.filter(F.col("last_modified") >= since)
     return audit.orderBy(F.col("last_modified").desc_nulls_last(), F.col("file_path")).limit(n)

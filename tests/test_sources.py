@@ -75,6 +75,14 @@ def test_csv_rejects_and_cleaning(spark, tmpdir_path):
     assert diff.where("column_name = 'bore_gas_vol'").count() == 1
 
 
+def test_load_history_since(spark):
+    audit = spark.sql("SELECT concat('f', id) file_path, if(id = 9, NULL, timestamp'2024-01-01 12:00:00' - make_interval(0, 0, 0, 0, 0, 20 * id)) last_modified FROM range(10)")
+    since = F.expr("timestamp'2024-01-01 12:00:00' - interval 1 hour")
+    assert [r.file_path for r in files.load_history(audit, since=since).collect()] == ["f0", "f1", "f2", "f3"]
+    assert [r.file_path for r in files.load_history(audit, 2, since).collect()] == ["f0", "f1"]
+    assert files.load_history(audit).count() == 5
+
+
 def test_monthly_units_row(spark, tmpdir_path):
     cols = silver.RAW_MONTHLY
     text = "\n".join([",".join(cols), ",,,,hrs,Sm3,Sm3,Sm3,Sm3,Sm3", "W1,1,2008,1,700,100.5,1000,5,,",
