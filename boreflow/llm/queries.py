@@ -6,7 +6,7 @@ is tested against a brute-force version in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import best_fit, exact_dedup, line_dedup, mixing, near_dedup, neighbours, packing, periodic, pii, sharding, toxicity, warc
+from . import best_fit, exact_dedup, line_dedup, mixing, near_dedup, neighbours, packing, periodic, pii, sharding, spelling, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
@@ -19,6 +19,7 @@ QUERIES = {
     "op8_mixing": (mixing.query, None),
     "op9_neighbours": (neighbours.query, None),
     "op10_warc": (warc.query, None),
+    "op11_spelling_variants": (spelling.query, None),
     "op12_periodic_runs": (periodic.query, None),
     "op13_best_fit": (best_fit.query, None),
 }
