@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import month_start, pct_variance, safe_ratio
 from ..functions.constants import BBL_PER_SM3, RECONCILE_THRESHOLD_PCT
+from .mergeable import merge_sums, total
 from .ordering import global_rank_running
 from .timeseries import islands
 
@@ -72,7 +73,12 @@ def revenue_decomposition(fact: DataFrame, factor: Decimal = BBL_PER_SM3) -> Dat
     The baseline per year comes from a ``min_by`` aggregate (no window), and
     is joined back on the year; both sides hold one row per month.
     """
-    m = monthly_value(fact, factor).withColumn("report_year", F.year("month_start").cast("bigint"))
+    return decompose(monthly_value(fact, factor))
+
+
+def decompose(monthly: DataFrame) -> DataFrame:
+    """GLD-5 from the monthly values (``monthly_value`` or sums kept by month)."""
+    m = monthly.withColumn("report_year", F.year("month_start").cast("bigint"))
     first = F.min_by(
         F.struct("total_oil_vol_bbl", "avg_brent_price_usd", "avg_brent_price_nok",
                  "benchmark_revenue_usd", "benchmark_revenue_nok"),
@@ -148,6 +154,40 @@ def value_ranking(fact: DataFrame, entity: str = "well_name", partitions: int |
     )
 
 
+# --- the same products from signed sums kept by (month, entity) ---------------------------
+
+
+def decline_from_sums(sums: DataFrame, entity: str = "well_name") -> DataFrame:
+    """GLD-2 from ``mergeable.signed_sums``."""
+    return sums.select(
+        "month_start", entity, total("oil").alias("monthly_oil_vol"), total("gas").alias("monthly_gas_vol"),
+        total("water").alias("monthly_water_vol"), F.col("n_flag").cast("bigint").alias("shutin_days_in_month"),
+    )
+
+
+def water_cut_from_sums(sums: DataFrame, entity: str = "well_name") -> DataFrame:
+    """GLD-3 from ``mergeable.signed_sums``."""
+    return sums.select("month_start", entity, safe_ratio(total("water"), total("oil") + total("water")).alias("monthly_water_cut"))
+
+
+def decomposition_from_sums(sums: DataFrame, factor: Decimal = BBL_PER_SM3) -> DataFrame:
+    """GLD-5 from ``mergeable.signed_sums``: the entities' sums are added up by month first."""
+    m = merge_sums(sums, ["month_start"])
+    return decompose(m.select(
+        "month_start",
+        (total("oil") * F.lit(factor)).alias("total_oil_vol_bbl"),
+        safe_ratio(total("oil_price"), total("oil")).alias("avg_brent_price_usd"),
+        safe_ratio(total("oil_price_fx"), total("oil")).alias("avg_brent_price_nok"),
+        total("usd").alias("benchmark_revenue_usd"),
+        total("nok").alias("benchmark_revenue_nok"),
+    ))
+
+
+def ranking_from_sums(sums: DataFrame, entity: str = "well_name", partitions: int | None = None) -> DataFrame:
+    """GLD-7 from ``mergeable.signed_sums``."""
+    return value_ranking(sums.select(entity, total("usd").alias("est_revenue_usd"), total("nok").alias("est_revenue_nok")), entity, partitions)
+
+
 def reconcile_detail(
     daily: DataFrame,
     reported: DataFrame,

@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 from .sinks import _spread
 
 ADDED, REWRITTEN = "added", "rewritten"
+#: As the base of a new version: a table without rows.
+EMPTY = -1
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _OWN = ("origin", "batch")
 
@@ -125,7 +127,7 @@ class SnapshotTable:
     def _base(self, version: int | None) -> tuple[int, dict | None]:
         latest = self.latest()
         base = latest if version is None else version
-        return (0 if latest is None else latest + 1), None if base is None else self.manifest(base)
+        return (0 if latest is None else latest + 1), None if base in (None, EMPTY) else self.manifest(base)
 
     def replace(self, df: DataFrame) -> int:
         """CREATE OR REPLACE … AS SELECT: the new version holds ``df`` only."""
@@ -144,8 +146,8 @@ class SnapshotTable:
         """The ``touched`` partitions (tuples of values; None for NULL) hold ``df`` and
         nothing else; all others stay as in version ``base`` (default: the latest).
 
-        With a fixed ``base`` a writer that failed midway can be run again: it
-        starts from the same rows.
+        With a fixed ``base`` (or ``EMPTY``) a job that failed after this commit can be
+        run again: it starts from the same rows.
         """
         version, found = self._base(base)
         gone = {tuple(None if v is None else str(v) for v in t) for t in touched}
