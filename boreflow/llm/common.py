@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,10 +24,29 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 16 << 20
 
 
+#: Folders stored inside ``temporary``, innermost last.
+_TEMPORARY: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is deleted at the end, but for ``keep=True``. Results
+    that are read later must have been stored with it."""
+    _TEMPORARY.append([])
+    try:
+        yield
+    finally:
+        for path in _TEMPORARY.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def prepare_workers(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session, and let Python workers import this
-    package from where the driver has it (on a cluster the package is installed
-    or passed with ``--py-files``)."""
+    """Bound the Arrow batches of this session, let Spark delete the shuffle files of a
+    finished query (results are stored, so nobody reads them again), and let Python
+    workers import this package from where the driver has it (on a cluster the
+    package is installed or passed with ``--py-files``)."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(setting, "67108864b").rstrip("b")) > BATCH_BYTES:
         spark.conf.set(setting, f"{BATCH_BYTES}b")
@@ -40,11 +61,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage is cut and a lost executor re-reads files instead of recomputing."""
     prepare_workers(df.sparkSession)
     path = shared_path(df.sparkSession, name)
+    if _TEMPORARY and not keep:
+        _TEMPORARY[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

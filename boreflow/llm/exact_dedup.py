@@ -102,10 +102,17 @@ def exact_groups(docs: DataFrame, index_path: str | None = None, batches: int =
 
 
 def drop_copies(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns; of repeated rows one."""
-    kept = exact_groups(docs, **how).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    """The rows of ``docs`` that stay, all their columns; of repeated rows one.
+
+    Whole rows are shuffled once, to the ids that stay; a second time only if some
+    id has a text twice, to keep one of its rows.
+    """
+    kept = exact_groups(docs, **how).filter("kept")
+    kept = store(kept.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("_n")), "kept")
     tagged = wrapped(docs).withColumn("_own", text_digest(F.col("row.text")))
     found = tagged.join(kept, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
+    if kept.filter("_n > 1").isEmpty():
+        return found.select("row.*")
     return found.dropDuplicates(["_own"]).select("row.*")
 
 
