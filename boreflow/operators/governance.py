@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import FULL_ACCESS_ROLES, MASKED_COLUMNS, VIEWER_ROLE, VIEWER_WELLS
@@ -57,12 +57,12 @@ def row_filter_table(df: DataFrame, role: str, policy_table: DataFrame, entity:
 
     Planned as ``EXISTS(wildcard) OR entity IN (role's entities)``: a scalar
     subquery and an existence (semi) join on the entity, so no nested-loop
-    join, and a policy row listed twice never duplicates data rows. The
-    role's policy rows are a small, hand-maintained list (broadcast).
+    join, and a policy row listed twice never duplicates data rows. How the
+    policy is joined is left to the planner, which knows its size.
     """
     mine = policy_table.where(F.col("role") == F.lit(role)).select(F.col("entity").alias("_allowed"))
     wildcard = mine.where(F.col("_allowed") == F.lit("*")).exists()
-    return df.where(wildcard | F.col(entity).isin(F.broadcast(mine)))
+    return df.where(wildcard | F.col(entity).isin(mine))
 
 
 def mask_columns(df: DataFrame, role: str, policy: Policy = DEFAULT_POLICY, columns: Iterable[str] | None = None) -> DataFrame:
@@ -110,3 +110,46 @@ def compare_roles(
         ))
     wide = per_entity.agg(F.array(*summaries).alias("_s"))
     return wide.select(F.inline("_s"))
+
+
+# --- one query text, answered by role ---------------------------------------------------
+
+ROLE_VARIABLE = "gov_role"
+
+
+def use_role(spark: SparkSession, role: str) -> None:
+    """CURRENT_ROLE: the role of the statements that follow in this session. A
+    DataFrame keeps the role that was set when it was made."""
+    spark.sql(f"SET VARIABLE {ROLE_VARIABLE} = :role", {"role": role})
+
+
+def governed_view(
+    spark: SparkSession, name: str, df: DataFrame, policy_table: DataFrame, masked: Iterable[str] = (), entity: str = "well_name"
+) -> None:
+    """GOV-1…3: a view ``name`` over ``df`` whose rows and columns depend on the session
+    variable ``gov_role``, so that one SQL text has an answer for each role.
+
+    ``policy_table(role, entity)`` is data: entity ``'*'`` grants every row and shows the
+    ``masked`` columns, which are typed NULLs for all others; a role without policy
+    rows sees nothing. What a role may see comes from the SQL table function
+    ``<name>_grants()``. Planned as an uncorrelated EXISTS and a semi join on the entity.
+    Like the other functions here this is a data transform, not a security boundary:
+    the rows lie open in the view ``<name>_rows``.
+    """
+    df.createOrReplaceTempView(f"{name}_rows")
+    policy_table.select("role", "entity").createOrReplaceTempView(f"{name}_policy")
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ROLE_VARIABLE} STRING DEFAULT ''")
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}_grants(r STRING) RETURNS TABLE (granted STRING) "
+        f"RETURN SELECT entity FROM {name}_policy WHERE role = r"
+    )
+    everything = f"EXISTS (SELECT 1 FROM {name}_grants({ROLE_VARIABLE}) WHERE granted = '*')"
+    hidden = set(masked)
+    columns = [
+        f"CASE WHEN {everything} THEN `{f.name}` ELSE CAST(NULL AS {f.dataType.simpleString()}) END AS `{f.name}`" if f.name in hidden else f"`{f.name}`"
+        for f in df.schema
+    ]
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {', '.join(columns)} FROM {name}_rows "
+        f"WHERE {everything} OR `{entity}` IN (SELECT granted FROM {name}_grants({ROLE_VARIABLE}))"
+    )

@@ -1,4 +1,5 @@
 from boreflow.operators import governance as G
+from tests.conftest import rows
 
 
 def _df(spark):
@@ -34,3 +35,21 @@ def test_policy_table_and_compare(spark):
     cmp = {r.role: (r.wells_visible, r.rows_visible, r.avg_whp_visible)
            for r in G.compare_roles(df, ["ENGINEER", "VIEWER"], POLICY).collect()}
     assert cmp == {"ENGINEER": (3, 3, 3), "VIEWER": (2, 2, 0)}
+
+
+def test_one_text_under_several_roles(spark):
+    rows_ = [("a", 1.0, 5), ("b", 2.0, 6), (None, 3.0, 7)]
+    df = spark.createDataFrame(rows_, "well_name string, avg_whp double, n int")
+    policy = spark.createDataFrame([("all", "*"), ("all", "a"), ("some", "a"), ("some", "a"), ("some", "zz")], "role string, entity string")
+    G.governed_view(spark, "governed_test", df, policy, ["avg_whp"])
+    text, made = "SELECT well_name, avg_whp, n FROM governed_test", {}
+    for role in ("all", "some", "none", "it's"):
+        G.use_role(spark, role)
+        made[role] = spark.sql(text)
+    # a frame keeps the role it was made under
+    assert rows(made["all"]) == rows(df) and rows(made["some"]) == [("a", None, 5)]
+    assert rows(made["none"]) == [] and rows(made["it's"]) == []
+    assert made["some"].schema["avg_whp"].dataType.simpleString() == "double"
+    G.use_role(spark, "some")
+    plan = spark.sql(text)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
