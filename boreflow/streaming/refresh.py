@@ -15,8 +15,7 @@ the full silver table and overwrites just those partitions:
 | downtime events    | month; spanning ones | inner runs by month; those over a border merged from the summaries |
 | value ranking      | whole                | global order over the per-well totals       |
 | decomposition      | year                 | from the sums; the baseline is the year's first month |
-| well-month attrs   | month                | feeds dim_well, dim_well_scd1, dim_date     |
-| well-month versions | month               | feeds dim_well_scd2                        |
+| well-month versions | month               | feeds all dimensions                       |
 | dim_well(_scd1), dim_date | whole (small)  | one row per well / per day (D-5)            |
 | dim_well_scd2      | version, touched wells | split, joined and renumbered; keys stay     |
 | refresh log        | version              | one row per refresh                        |
@@ -54,13 +53,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.cleaning import month_start
 from ..operators import fact as fact_ops
-from ..operators import dims, gold, mergeable, timeseries
+from ..operators import dims, fingerprint, gold, mergeable, timeseries
 from ..sources.sinks import read_if_exists, write_partitions, write_replace
 from ..sources.snapshots import EMPTY, SnapshotTable
 
 LOG_SCHEMA = (
     "batch_id bigint, rows_in bigint, months_touched int, years_touched int, fact_rows_out bigint, "
-    "refreshed_at timestamp, silver_version bigint, sums_version bigint, series_version bigint, keys_issued bigint, "
+    "refreshed_at timestamp, silver_version bigint, sums_version bigint, series_version bigint, series_check string, keys_issued bigint, "
     "version bigint"
 )
 KEY = ["well_name", "prod_date"]
@@ -159,10 +158,19 @@ class GoldRefresh:
             .start()
         )
         q.awaitTermination()
-        if not self.log().isEmpty():
+        last = self._last()
+        if last is not None and (self._series_check() != last.series_check or self._silver_version() != last.silver_version):
             self.apply_batch(self.silver().limit(0), None)
         return q
 
+    def _series_check(self) -> str:
+        """Checksum of the prices and rates: whether they have changed since a refresh."""
+        found = []
+        for series in (self.price, self.fx):
+            row = fingerprint.fingerprints(series.withColumn("_all", F.lit(0)), ["_all"], ["_all"], 1).select(*fingerprint.CHECKS).first()
+            found.append("-" if row is None else ":".join(map(str, row)))
+        return " ".join(found)
+
     # -- one micro-batch -------------------------------------------------------
     def apply_batch(self, batch: DataFrame, batch_id: int | None) -> None:
         # The date spine, the filled price and the rates are versioned and the
@@ -225,7 +233,7 @@ class GoldRefresh:
             [(m,) for m in months], EMPTY if last is None else last.sums_version,
         )
         rows_in = batch.agg(F.count(F.lit(1)).alias("rows_in"))
-        self._derive(fact, touched, months, rows_in, batch_id, last, version, silver_version, sums_version, version)
+        self._derive(fact, touched, months, rows_in, batch_id, last, version, silver_version, sums_version, version, self._series_check())
         if series is not None:  # the committed series stay for a replay, those before them go
             older = log.where(F.col("series_version") < series).agg(F.max("series_version")).first()[0]
             if older is not None:
@@ -279,10 +287,10 @@ class GoldRefresh:
         )
         touched = self.silver(until).where(F.col("month_start").isin(months))
         rows_in = changes.where("_sign > 0").agg(F.count(F.lit(1)).alias("rows_in"))
-        self._derive(fact, touched, months, rows_in, None, last, last.version + 1, until, sums_version, last.series_version)
+        self._derive(fact, touched, months, rows_in, None, last, last.version + 1, until, sums_version, last.series_version, last.series_check)
 
     # -- what follows from the fact, its sums and silver ------------------------------
-    def _derive(self, fact, touched, months, rows_in, batch_id, last, version, silver_version, sums_version, series_version) -> None:
+    def _derive(self, fact, touched, months, rows_in, batch_id, last, version, silver_version, sums_version, series_version, series_check) -> None:
         years = sorted({m.year for m in months})
         in_months = F.col("month_start").isin(months)
         fact_m = fact.where(in_months)
@@ -305,25 +313,21 @@ class GoldRefresh:
         # 5. ranking over the per-well totals (one row per well)
         write_replace(gold.ranking_from_sums(sums), self.path("value_ranking"))
 
-        # 6. dimensions (D-5: kept current with the fact). A per-(well, month)
-        # summary of the touched months feeds the well dimensions and the
-        # calendar bounds, so silver is never scanned whole for them.
+        # 6. dimensions (D-5: kept current with the fact). The version summaries of the
+        # touched months feed the type-2 and the other dimensions and the calendar
+        # bounds, so silver is never scanned whole for them.
+        summary = self._replace(mergeable.month_versions(touched), "well_month_versions", "month_start", months)
         attrs = ("well_type", "field_name", "facility_name")
-        wm = self._replace(
-            touched.groupBy("month_start", "well_name").agg(
-                F.min("prod_date").alias("first_date"),
-                F.max("prod_date").alias("last_date"),
-                *[F.max_by(F.col(a), F.when(F.col("prod_date").isNotNull(), F.struct("prod_date", a))).alias(a)
-                  for a in attrs],
-            ),
-            "well_month_attrs", "month_start", months,
+        wm = summary.select(
+            "well_name", F.array_max(F.transform("parts", lambda x: F.struct(x["hi"], x["a"])))["a"].alias("_a"),
+            F.array_min(F.transform("parts", lambda x: x["lo"])).alias("first_date"),
+            F.array_max(F.transform("parts", lambda x: x["hi"])).alias("last_date"),
         )
-        latest = F.when(F.col("last_date").isNotNull(), F.col("last_date"))
         dim = wm.groupBy("well_name").agg(
-            *[F.max_by(F.col(a), F.struct(latest, F.col(a))).alias(a) for a in attrs],
+            F.max_by("_a", "last_date").alias("_a"),
             F.min("first_date").alias("first_producing_date"),
             F.max("last_date").alias("last_producing_date"),
-        )
+        ).select("well_name", F.col("_a.type").alias("well_type"), "_a.field_name", "_a.facility_name", "first_producing_date", "last_producing_date")
         write_replace(dim.drop("well_type"), self.path("dim_well"))
         write_replace(dim.select("well_name", *attrs, "first_producing_date", "last_producing_date"),
                       self.path("dim_well_scd1"))
@@ -332,7 +336,7 @@ class GoldRefresh:
             dims.calendar(bounds.select(F.explode(F.array("_lo", "_hi")).alias("prod_date"))),
             self.path("dim_date"),
         )
-        issued = self._refresh_scd2(touched, months, last, version)
+        issued = self._refresh_scd2(summary, touched, last, version)
 
         # 7. decomposition for the touched years
         year_sums = sums.where(F.year("month_start").isin(years))
@@ -351,6 +355,7 @@ class GoldRefresh:
             F.lit(silver_version).cast("bigint").alias("silver_version"),
             F.lit(sums_version).cast("bigint").alias("sums_version"),
             F.lit(series_version).cast("bigint").alias("series_version"),
+            F.lit(series_check).alias("series_check"),
             F.lit(issued).cast("bigint").alias("keys_issued"),
         )
         write_partitions(row, self.path("refresh_log"), ["version"])
@@ -358,12 +363,11 @@ class GoldRefresh:
             self._delete(f"dim_well_scd2/version={last.version - 1}")
             self.sums().expire(2)
 
-    def _refresh_scd2(self, touched: DataFrame, months: list, last, version: int) -> int:
+    def _refresh_scd2(self, summary: DataFrame, touched: DataFrame, last, version: int) -> int:
         """DIM-3: versions of the touched wells from their month summaries; all other
         rows are copied. Returns the highest surrogate key given so far."""
         well = F.struct("well_name")  # never NULL, so rows without a name meet
         wells = touched.select(well.alias("_well")).distinct()
-        summary = self._replace(mergeable.month_versions(touched), "well_month_versions", "month_start", months)
         new = mergeable.merge_versions(summary.withColumn("_well", well).join(wells, "_well", "left_semi").drop("_well"))
         if last is None:
             dim = mergeable.keep_keys(new, None, 0)
