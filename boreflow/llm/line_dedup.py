@@ -58,7 +58,8 @@ def covered_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         .select(F.col("window").alias("_window"), "first")
     )
     later = found.join(again, F.col("window") == F.col("_window")).filter(F.struct("doc", "line") != F.col("first"))
-    return later.groupBy("doc").agg(
+    # copies without an id are one document here: its lines count once
+    return later.select("doc", "line").distinct().groupBy("doc").agg(
         F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("line"), F.col("line") + (size - 1))))).alias("covered")
     )
 

@@ -231,6 +231,9 @@ def resolve_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, html, sha1, revisit, refers_to: which page keeps a payload."""
     rows = pages.select("page_id", "url", "html", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha1"))
     first = rows.groupBy("sha1").agg(F.max("page_id").alias("_keeper")).withColumnRenamed("sha1", "_sha1")
+    # stored, so that both sides of the join are plain shuffles and a payload that
+    # very many pages share can be split at run time
+    first = store(first, "warc-keepers")
     joined = rows.join(first, F.col("sha1") == F.col("_sha1"))
     revisit = ~F.col("page_id").eqNullSafe(F.col("_keeper"))
     return joined.select(
