@@ -182,3 +182,17 @@ def test_empty_tables(spark):
     assert line_dedup.drop_lines(none).count() == 0
     assert spark.createDataFrame([(1, edited(1))], "doc_id long, text string").transform(near_dedup.drop_near_copies).count() == 1
     assert SCHEMA
+
+
+def test_near_copies_without_ids_and_with_shared_ids(spark):
+    """One row of a component stays, also if no row of it has an id or an id has two texts."""
+    far = " ".join(f"other{i}" for i in range(100))
+    rows = [(None, edited(1)), (None, edited(2)), (None, far), (7, "a text of its own that nothing else here is like"), (7, edited(40) + " x"), (3, far)]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, own string").repartition(3)
+    out = near_dedup.drop_near_copies(docs)
+    assert out.columns == ["doc_id", "text", "own"]
+    got = {(r.doc_id, r.text) for r in out.collect()}
+    # the edited texts are one component: its only row with an id stays; of the far ones the row with an id
+    assert got == {rows[3], rows[4], rows[5]}
+    alone = spark.createDataFrame([(None, edited(1)), (None, edited(2))], "doc_id long, text string")
+    assert alone.transform(near_dedup.drop_near_copies).count() == 1
