@@ -30,8 +30,9 @@ _TEMPORARY: list[list[str]] = []
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """What is stored inside is deleted at the end, but for ``keep=True``. Results
-    that are read later must have been stored with it."""
+    """What is stored inside is deleted at the end; with ``keep=True``, at the end of
+    the block around this one, if there is one. Results that are read after the
+    block must have been stored with it."""
     _TEMPORARY.append([])
     try:
         yield
@@ -66,8 +67,9 @@ def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     lineage is cut and a lost executor re-reads files instead of recomputing."""
     prepare_workers(df.sparkSession)
     path = shared_path(df.sparkSession, name)
-    if _TEMPORARY and not keep:
-        _TEMPORARY[-1].append(path)
+    within = _TEMPORARY[: -1 if keep else None]
+    if within:
+        within[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

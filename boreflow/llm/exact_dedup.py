@@ -26,7 +26,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, shared_path, store, table, wrapped
+from .common import SPACE, shared_path, store, table, temporary, wrapped
 
 
 def text_digest(text: Column) -> Column:
@@ -107,8 +107,10 @@ def drop_copies(docs: DataFrame, **how) -> DataFrame:
     Whole rows are shuffled once, to the ids that stay; a second time only if some
     id has a text twice, to keep one of its rows.
     """
-    kept = exact_groups(docs, **how).filter("kept")
-    kept = store(kept.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("_n")), "kept")
+    with temporary(docs.sparkSession):
+        kept = exact_groups(docs, **how).filter("kept")
+        kept = kept.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("_n"))
+        kept = store(kept, "kept", keep=True)
     tagged = wrapped(docs).withColumn("_own", text_digest(F.col("row.text")))
     found = tagged.join(kept, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
     if kept.filter("_n > 1").isEmpty():

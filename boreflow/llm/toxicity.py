@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import key_bucket, shuffle_key, store, table
+from .common import key_bucket, shuffle_key, store, table, temporary
 from .near_dedup import near_groups
 
 LABELLED, UNLABELLED, TERMS = 16_000, 16_000, 200
@@ -300,10 +300,11 @@ def train(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, turns: int = 20) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED, most_terms: int = TERMS) -> Model:
-    training = store(training_rows(docs, labels, labelled), "training")
-    terms = mine(training, most_terms)
-    other = _by_hash(docs.select("doc_id", "text"), unlabelled, 13).select("text", F.lit(None).cast("int").alias("toxic"))
-    sample = read_sample(training.select("text", "toxic"), terms) + read_sample(other, terms)
+    with temporary(docs.sparkSession):  # all that is read later is on the driver
+        training = store(training_rows(docs, labels, labelled), "training")
+        terms = mine(training, most_terms)
+        other = _by_hash(docs.select("doc_id", "text"), unlabelled, 13).select("text", F.lit(None).cast("int").alias("toxic"))
+        sample = read_sample(training.select("text", "toxic"), terms) + read_sample(other, terms)
     n_dense = len(Reader.DENSE)
     if not sample:
         return Model(terms, np.zeros(len(terms) + n_dense), math.log(PRIOR / (1 - PRIOR)))

@@ -18,9 +18,10 @@ def test_temporary_results_are_deleted(spark):
         with common.temporary(spark):
             nested = folders(spark, common.store(spark.range(4), "nested"))
             kept = common.store(spark.range(5), "kept", keep=True)
-        assert not os.path.exists(nested) and os.path.exists(inner)
-    assert not os.path.exists(inner)
-    assert kept.count() == 5 and outer.count() == 3
+        assert not os.path.exists(nested) and os.path.exists(inner) and kept.count() == 5
+        result = common.store(spark.range(6), "result", keep=True)
+    assert not os.path.exists(inner) and not os.path.exists(folders(spark, kept))
+    assert result.count() == 6 and outer.count() == 3
 
 
 def test_temporary_results_are_deleted_after_an_error(spark):
