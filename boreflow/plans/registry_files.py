@@ -161,9 +161,9 @@ def q_append(p: Pipeline) -> DataFrame:
     day3 = F.dayofmonth("prod_date") == 3
 
     def write(path: str) -> None:
-        append_new(rows.where(F.dayofmonth("prod_date") <= 20), f"{path}/rows", ["well_name", "prod_date"], ["month_start"])
+        append_new(rows.where(F.dayofmonth("prod_date") <= 20), f"{path}/rows", ["well_name", "prod_date"], ["month_start"], follows=True)
         again = rows.withColumn("oil_vol_sm3", F.when(day3, F.col("oil_vol_sm3") + 1).otherwise(F.col("oil_vol_sm3")))
-        found = append_new(again, f"{path}/rows", ["well_name", "prod_date"], ["month_start"])
+        found = append_new(again, f"{path}/rows", ["well_name", "prod_date"], ["month_start"], follows=True)
         found.write.parquet(f"{path}/conflicts")
 
     path = p.folder("append", write)
