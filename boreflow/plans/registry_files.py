@@ -32,13 +32,19 @@ def _damaged(c: str) -> str:
     return f"{c} = 'not a date'"
 
 
+FILE_LINES = 500_000
+
+
 def csv_files(p: Pipeline) -> str:
-    """The bronze rows as CSV lines; rows without a readable date are cut short."""
+    """The bronze rows as CSV lines; rows without a readable date are cut short. The
+    files are compressed, and cut so that each is read by one task."""
 
     def write(path: str) -> None:
         line = F.to_csv(F.struct(*RAW_DAILY), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
         cut = F.concat_ws(",", "dateprd", F.coalesce("npd_well_bore_name", F.lit("")))
-        p.bronze_daily.select(F.when(F.expr(_damaged("dateprd")), cut).otherwise(line).alias("value")).write.text(path)
+        bronze = standin.bronze_daily(p.spark, p.sf_dir, p.well_day)
+        lines = bronze.select(F.when(F.expr(_damaged("dateprd")), cut).otherwise(line).alias("value"))
+        lines.write.option("compression", "snappy").option("maxRecordsPerFile", FILE_LINES).text(path)
 
     return p.folder("csv_daily", write)
 
