@@ -165,11 +165,12 @@ def q_table_changes(p: Pipeline) -> DataFrame:
 
 # --- loads with a ledger: SRC-1, SRC-4 -----------------------------------------------------
 
+PART_ROWS = 500_000
 LOAD_COLUMNS = ["prod_date", "well_name", "oil_vol_sm3"]
 
 
 def loads(p: Pipeline) -> str:
-    """Daily rows as one CSV file per year, every eleventh day cut short. The first load
+    """Daily rows as CSV files by year (parts of about ``PART_ROWS``), every eleventh day cut short. The first load
     finds the years to 1997; before the second the others arrive and 1996 is
     written anew with its shut-in days only; a third load finds nothing."""
 
@@ -178,8 +179,15 @@ def loads(p: Pipeline) -> str:
         line = F.to_csv(F.struct(F.col("prod_date").cast("string").alias("prod_date"), "well_name", F.col("oil_vol_sm3").cast("string").alias("oil_vol_sm3")))
         text = F.when(F.dayofmonth("prod_date") == 11, F.col("prod_date").cast("string")).otherwise(line).alias("value")
 
+        sizes = [r.n for r in p.well_day.groupBy(year).agg(F.count(F.lit(1)).alias("n")).collect()]
+        years, parts = len(sizes), max(1, -(-max(sizes, default=0) // PART_ROWS))
+        part = F.pmod(F.xxhash64("well_name", "prod_date"), F.lit(parts)).alias("part")
+
         def files(rows: DataFrame, folder: str) -> None:
-            rows.select(text, year).repartition("year").write.mode("append").partitionBy("year").text(folder)
+            laid = rows.select(text, year, part)
+            tasks = parts * years
+            laid = laid.repartition(tasks, "year", "part") if tasks > int(p.spark.conf.get("spark.sql.shuffle.partitions")) else laid.repartition("year", "part")
+            laid.write.mode("append").partitionBy("year", "part").text(folder)
 
         files(p.well_day.where(F.year("prod_date") <= 1997), f"{path}/in")
         ledger = LoadLedger(p.spark, f"{path}/out", LOAD_COLUMNS, header=False)
@@ -195,12 +203,17 @@ def loads(p: Pipeline) -> str:
 
 
 def _put(p: Pipeline, source: str, target: str) -> None:
-    """The file in ``source`` takes the place and name of the file in ``target``."""
+    """The files below ``source`` take the places and names of those of the same part below
+    ``target``; a part that ``source`` lacks becomes an empty file."""
     hadoop = p.spark.sparkContext._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(target).getFileSystem(p.spark.sparkContext._jsc.hadoopConfiguration())
-    (new,), (old,) = ([f.getPath() for f in fs.globStatus(hadoop.Path(f"{d}/part-*"))] for d in (source, target))
-    fs.delete(old, False)
-    fs.rename(new, old)
+    new, old = ({f.getPath().getParent().getName(): f.getPath() for f in fs.globStatus(hadoop.Path(f"{d}/part=*/part-*")) or []} for d in (source, target))
+    for part, path in old.items():
+        fs.delete(path, False)
+        if part in new:
+            fs.rename(new[part], path)
+        else:
+            fs.create(path, False).close()
 
 
 def _ledger(p: Pipeline) -> LoadLedger:
@@ -210,6 +223,11 @@ def _ledger(p: Pipeline) -> LoadLedger:
 _LOADED = "COUNT_IF(day(prod_date) <> 11) AS rows_loaded, COUNT_IF(day(prod_date) = 11) AS rows_rejected FROM well_day"
 
 
+def _counts() -> list[Column]:
+    """The files of a year together."""
+    return [F.sum(c).alias(c) for c in ("rows_loaded", "rows_rejected")]
+
+
 def _year() -> Column:
     return F.regexp_extract("file_path", "year=([0-9]+)", 1).cast("int").alias("year")
 
@@ -220,7 +238,7 @@ def _year() -> Column:
     [("year", "int"), ("status", "keep"), ("rows_loaded", "int"), ("rows_rejected", "int")]))
 def q_load_ledger(p: Pipeline) -> DataFrame:
     """SRC-4: every load of every file; an unchanged file is loaded once, a changed one again."""
-    return present(_ledger(p).entries().select(_year(), "status", "rows_loaded", "rows_rejected"))
+    return present(_ledger(p).entries().groupBy(_year(), "status").agg(*_counts()))
 
 
 @register("load_history", oracle(
@@ -230,7 +248,7 @@ def q_load_ledger(p: Pipeline) -> DataFrame:
 def q_load_history(p: Pipeline) -> DataFrame:
     """SRC-4: the loads within a time window, here since the first load ended."""
     since = p.spark.read.parquet(f"{loads(p)}/between").select("at").scalar()
-    return present(_ledger(p).history(since).select(_year(), "rows_loaded", "rows_rejected"))
+    return present(_ledger(p).history(since).groupBy(_year()).agg(*_counts()))
 
 
 @register("load_current", oracle(
