@@ -31,8 +31,14 @@ apart. Candidates whose signatures agree in under ``AGREE`` of the places are
 left out: a pair at the threshold falls below that with a probability of about
 1e-7. Components come from contraction (``components``).
 
-Measured recall is in the README. Links are confirmed exactly: a document is
-never linked below the threshold.
+What these rounds leave apart is completed exactly (``apart_pairs``), with no bound on
+regions or groups: two sets at the threshold share one of the first n - ceil(n * MATCH
+/ OF) + 1 shingles of each in any common order (a prefix filter; here the order is by
+how full a shingle's slot of a fixed-size count is, so that common ones come last).
+Shingles whose holders are connected already are left out; all pairs of the others that
+are still apart and whose sizes allow it are checked on the full sets.
+
+Links are confirmed exactly: a document is never linked below the threshold.
 
 Defined cases
 * NULL and empty texts, and texts without words: no shingles, own component,
@@ -67,6 +73,8 @@ AGREE = 0.55
 MATCH, OF = 75, 100
 CACHE = 200_000
 BLOCK = 4096
+#: Slots of the counts that order shingles (a power of two).
+SLOTS = 1 << 20
 
 _RNG = np.random.default_rng(20240229)
 _POSITION = _RNG.integers(1, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -312,6 +320,61 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "_sa", "_sb").mapInArrow(_overlap, "a binary, b binary")
 
 
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of a task hold a shingle of each slot."""
+    shingle, counts = Shingler(), np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for text in batch.column(0):
+            np.add.at(counts, shingle(text.as_py()) & np.uint64(SLOTS - 1), 1)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["slot", "n"])
+
+
+def first_shingles(texts: DataFrame) -> DataFrame:
+    """(shingle, node, n): of each set, as many of its rarest shingles (by slot) as one at the
+    threshold can miss and one more. ``texts`` holds one text of each set."""
+    sums = store(texts.mapInArrow(_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")), "slots")
+    full = np.zeros(SLOTS, np.int64)  # of a fixed size, whatever the texts
+    found = sums.toPandas()
+    full[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    full = np.minimum(full, 2**31 - 1).astype(np.int32)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler()
+        for batch in batches:
+            for text in batch.column(0):
+                s = shingle(text.as_py())
+                if not len(s):
+                    continue
+                order = np.lexsort((s, full[(s & np.uint64(SLOTS - 1)).astype(np.int64)]))
+                taken = s[order[: len(s) - -(-len(s) * MATCH // OF) + 1]].view(np.int64)
+                node = pa.array([_set_id(s)], pa.binary())
+                for at in range(0, len(taken), BLOCK):
+                    part = taken[at : at + BLOCK]
+                    same = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(part), np.int32)), node).dictionary_decode()
+                    yield pa.RecordBatch.from_arrays([pa.array(part), same, pa.array(np.full(len(part), len(s), np.int64))], ["shingle", "node", "n"])
+
+    return texts.mapInArrow(first, "shingle long, node binary, n long")
+
+
+def apart_pairs(docs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every pair (a, b) of classes in different components (``labels``) that can be at the threshold."""
+    one = classes.select(F.col("doc_id").alias("_id")).distinct()
+    texts = docs.select("doc_id", "text").join(one, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
+    held = first_shingles(texts)
+    # ids that several rows share bring a set twice; what is equal is one
+    of = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    held = held.join(of, F.col("node") == F.col("_node"), "left").select("shingle", "node", "n", F.coalesce("_label", "node").alias("label"))
+    held = store(held, "first")
+    open_ = held.groupBy(F.col("shingle").alias("_s")).agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi").select("_s")
+    held = held.join(store(open_, "open"), F.col("shingle") == F.col("_s"), "left_semi").distinct()
+    held = store(held, "apart")
+    other = held.select(F.col("shingle").alias("_s"), F.col("node").alias("_b"), F.col("n").alias("_m"), F.col("label").alias("_l"))
+    near = F.least("n", "_m") * OF >= F.greatest("n", "_m") * MATCH
+    on = (F.col("shingle") == F.col("_s")) & (F.col("node") < F.col("_b")) & (F.col("label") != F.col("_l")) & near
+    return held.join(other, on).select(F.col("node").alias("a"), F.col("_b").alias("b")).distinct()
+
+
 def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, members): the sets of the classes ``nodes`` (n), from their texts."""
     nodes = nodes.select(F.col("n").alias("_n"))
@@ -347,7 +410,15 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     rest = rest.join(of.toDF("_na", "_la"), F.col("a") == F.col("_na"), "left").join(of.toDF("_nb", "_lb"), F.col("b") == F.col("_nb"), "left")
     rest = rest.filter(~F.col("_la").eqNullSafe(F.col("_lb")) | F.col("_la").isNull()).select("a", "b")
     more = store(confirmed(rest, sets), "links")
-    return labels if more.isEmpty() else components(sure.union(more))
+    linked = sure.union(more)
+    labels = labels if more.isEmpty() else components(linked)
+    # checked pairs that were no link need not be checked again
+    left = store(apart_pairs(docs, classes, labels).join(pairs.toDF("_a", "_b", "_same"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "left")
+    if left.isEmpty():
+        return labels
+    nodes = store(left.select(F.col("a").alias("n")).union(left.select("b")).distinct(), "others")
+    last = store(confirmed(left, full_sets(docs, classes, nodes)), "links")
+    return labels if last.isEmpty() else components(linked.union(last))
 
 
 def labelled(docs: DataFrame) -> DataFrame:

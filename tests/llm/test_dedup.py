@@ -103,6 +103,24 @@ def test_linked_pairs_in_a_template_crowd_are_found(spark):
     assert got == Counter((i, 200, i - i % 2) for i in range(600))
 
 
+def test_links_that_no_region_shows_are_found(spark, monkeypatch):
+    """Candidates of hash regions and of rare shingles switched off: the exact completion finds every link."""
+    rng = random.Random(5)
+    none = "a binary, b binary"
+    monkeypatch.setattr(near_dedup, "candidates", lambda classes: spark.createDataFrame([], none))
+    monkeypatch.setattr(near_dedup, "rare_pairs", lambda sets: spark.createDataFrame([], none))
+    rows = []
+    for k in range(60):
+        words = list(BASE)  # one crowd: all share most shingles, only some are at the threshold
+        for j in rng.sample(range(0, len(words), 6), rng.randrange(1, 12)):
+            words[j] = f"new{k}_{j}"
+        rows.append((k, " ".join(words)))
+    rows += [(100 + i, t) for i, t in enumerate(["", "one", "one", "a b c d e f", "A b c d e f g", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs).collect())
+    assert got == near_groups(rows)
+
+
 def test_drop_near_copies(spark):
     docs = fixture(spark)
     out = near_dedup.drop_near_copies(docs)
