@@ -74,7 +74,7 @@ MATCH, OF = 75, 100
 CACHE = 200_000
 BLOCK = 4096
 #: Slots of the counts that order shingles (a power of two).
-SLOTS = 1 << 20
+SLOTS = 1 << 16
 
 _RNG = np.random.default_rng(20240229)
 _POSITION = _RNG.integers(1, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
