@@ -15,14 +15,11 @@ come from), on the last such depth also of a member picked by hash, and regions
 that are crowded at full depth are dealt by hash into small groups, differently
 in every order.
 
-Members of crowded regions have a second path, which does not go by hash: the
-classes of crowded regions that hold the same shingle, if at most ``RARE`` of
-these classes hold it, are candidates of each other. Of a class the rarest such
-shingles are taken, as many as a set can miss of one at the threshold and one
-more (a prefix filter). A pair at the threshold that shares no such shingle
-overlaps in more common ones only, so one of the two consists of those to at
-least 2 * MATCH / (OF + MATCH): it is close to a common text or to many members,
-and found through these in the forest.
+Members of crowded regions have a second path, which does not go by hash: of each
+set the rarest shingles are taken (by how many sets of crowded regions hold them,
+counted exactly), as many as it can miss of one at the threshold and one more (a
+prefix filter). Sets that share one held by at most ``RARE`` of them are candidates of
+each other at once; the others serve the completion below.
 
 Candidates are checked on the full sets, recomputed from the whole texts, in
 two rounds: first each class with its most similar candidate; then, after
@@ -31,12 +28,14 @@ apart. Candidates whose signatures agree in under ``AGREE`` of the places are
 left out: a pair at the threshold falls below that with a probability of about
 1e-7. Components come from contraction (``components``).
 
-What these rounds leave apart is completed exactly (``apart_pairs``), with no bound on
-regions or groups: two sets at the threshold share one of the first n - ceil(n * MATCH
-/ OF) + 1 shingles of each in any common order (a prefix filter; here the order is by
-how full a shingle's slot of a fixed-size count is, so that common ones come last).
-Shingles whose holders are connected already are left out; all pairs of the others that
-are still apart and whose sizes allow it are checked on the full sets.
+What these rounds leave apart in crowded regions is completed exactly (``apart_pairs``),
+with no bound on regions or groups: two sets at the threshold share one of the taken
+shingles of each. At the first one they share, no more than what follows it in the
+order can be common to both, so sets that differ in enough rarer shingles are no pair
+however many hold the shingle; shingles whose holders are connected already are left
+out, and of the other holders' pairs those inside one component. All pairs that are
+left are checked on the full sets. Classes that share no crowded region meet in every
+region they share; a pair at the threshold shares none with a probability of about 2e-6.
 
 Links are confirmed exactly: a document is never linked below the threshold.
 
@@ -65,16 +64,14 @@ from .components import components
 WORDS = 5
 TREES, DEPTH = 16, 8
 #: Prefix lengths in turn; a crowded region goes on with the next order's hashes after DEPTH.
-DEPTHS = [3, 4, 6, 8, 10, 12, 16]
+DEPTHS = [2, 3, 4, 6, 8, 10, 12, 16]
 REGION = 12
-#: A shingle that at most so many classes of crowded regions hold joins them.
+#: A shingle that at most so many classes of crowded regions hold joins them before the completion.
 RARE = 32
 AGREE = 0.55
 MATCH, OF = 75, 100
 CACHE = 200_000
 BLOCK = 4096
-#: Slots of the counts that order shingles (a power of two).
-SLOTS = 1 << 16
 
 _RNG = np.random.default_rng(20240229)
 _POSITION = _RNG.integers(1, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -199,21 +196,28 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([part, same, pa.array(np.full(len(part), len(values), np.int64))], ["shingle", "node", "n"])
 
 
-def rare_pairs(sets: DataFrame, rare: int = RARE) -> DataFrame:
-    """Distinct pairs (a, b) of the sets that share one of their rarest shingles, held by at most ``rare`` of them."""
+def first_shingles(sets: DataFrame) -> DataFrame:
+    """(shingle, node, n, c, rest): of each set, the rarest shingles, as many as one at the
+    threshold can miss and one more; those that no other set holds take their place but are
+    left out. ``c`` sets hold the shingle; ``rest`` shingles of the set come from it on."""
     held = sets.mapInArrow(_shingles, "shingle long, node binary, n long")
-    counts = held.groupBy(F.col("shingle").alias("_s")).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c").between(2, rare))
+    counts = held.groupBy(F.col("shingle").alias("_s")).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     # stored, so that the join's sides are plain shuffles: a common shingle has many rows on the left
-    counts = store(counts, "rare")
-    shared = held.join(counts, F.col("shingle") == F.col("_s")).select("shingle", "node", "n", "_c")
-    shared = store(shared, "shared")
-    # a set's partner at the threshold misses at most n - ceil(n * MATCH / OF) of its shingles
-    rarest = F.array_sort(F.collect_list(F.struct("_c", "shingle")))
-    taken = shared.groupBy("node", "n").agg(rarest.alias("s")).select(
-        "node", "n", F.explode(F.slice("s", 1, (F.col("n") - F.ceil(F.col("n") * MATCH / OF) + 1).cast("int"))).alias("s")
-    )
-    groups = taken.groupBy("s.shingle").agg(F.array_sort(F.collect_list(F.struct("node", "n"))).alias("m")).filter(F.size("m") > 1)
-    close = groups.select(F.explode("m").alias("x"), "m").select("x", F.explode(F.filter("m", lambda y: (y["node"] > F.col("x.node")) & _near("x", y))).alias("y"))
+    counts = store(counts, "counts")
+    shared = held.join(counts, F.col("shingle") == F.col("_s")).select("shingle", "node", "n", F.col("_c").alias("c"))
+    by_set = shared.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("c", "shingle"))).alias("s"))
+    can_miss = F.col("n") - F.ceil(F.col("n") * MATCH / OF)
+    taken = F.slice("s", F.lit(1), F.greatest(F.lit(0), can_miss + 1 - (F.col("n") - F.size("s"))).cast("int"))
+    places = by_set.select("node", "n", F.size("s").alias("_size"), F.posexplode(taken).alias("_at", "s"))
+    return store(places.select("s.shingle", "node", "n", "s.c", (F.col("_size") - F.col("_at")).cast("long").alias("rest")), "first")
+
+
+def rare_pairs(held: DataFrame, rare: int = RARE) -> DataFrame:
+    """Distinct pairs (a, b) of the sets that share one of their first shingles, held by at most ``rare`` sets."""
+    members = F.array_sort(F.collect_list(F.struct("node", "n", "rest")))
+    groups = held.filter(F.col("c") <= rare).groupBy("shingle").agg(members.alias("m")).filter(F.size("m") > 1)
+    fits = lambda y: (y["node"] > F.col("x.node")) & _near("x", y) & _enough(F.col("x.n"), y["n"], F.col("x.rest"), y["rest"])
+    close = groups.select(F.explode("m").alias("x"), "m").select("x", F.explode(F.filter("m", fits)).alias("y"))
     return close.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
@@ -288,6 +292,11 @@ def _near(x: str, y):
     return (F.least(nx, ny) * OF >= F.greatest(nx, ny) * MATCH)
 
 
+def _enough(nx: Column, ny: Column, rx: Column, ry: Column) -> Column:
+    """Whether sets whose first common shingle has so many after it, itself included, can have the similarity."""
+    return F.least(rx, ry) * (OF + MATCH) >= (nx + ny) * MATCH
+
+
 def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -320,59 +329,27 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "_sa", "_sb").mapInArrow(_overlap, "a binary, b binary")
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many sets of a task hold a shingle of each slot."""
-    shingle, counts = Shingler(), np.zeros(SLOTS, np.int64)
-    for batch in batches:
-        for text in batch.column(0):
-            np.add.at(counts, shingle(text.as_py()) & np.uint64(SLOTS - 1), 1)
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["slot", "n"])
-
-
-def first_shingles(texts: DataFrame) -> DataFrame:
-    """(shingle, node, n): of each set, as many of its rarest shingles (by slot) as one at the
-    threshold can miss and one more. ``texts`` holds one text of each set."""
-    sums = store(texts.mapInArrow(_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")), "slots")
-    full = np.zeros(SLOTS, np.int64)  # of a fixed size, whatever the texts
-    found = sums.toPandas()
-    full[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    full = np.minimum(full, 2**31 - 1).astype(np.int32)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler()
-        for batch in batches:
-            for text in batch.column(0):
-                s = shingle(text.as_py())
-                if not len(s):
-                    continue
-                order = np.lexsort((s, full[(s & np.uint64(SLOTS - 1)).astype(np.int64)]))
-                taken = s[order[: len(s) - -(-len(s) * MATCH // OF) + 1]].view(np.int64)
-                node = pa.array([_set_id(s)], pa.binary())
-                for at in range(0, len(taken), BLOCK):
-                    part = taken[at : at + BLOCK]
-                    same = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(part), np.int32)), node).dictionary_decode()
-                    yield pa.RecordBatch.from_arrays([pa.array(part), same, pa.array(np.full(len(part), len(s), np.int64))], ["shingle", "node", "n"])
-
-    return texts.mapInArrow(first, "shingle long, node binary, n long")
-
-
-def apart_pairs(docs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every pair (a, b) of classes in different components (``labels``) that can be at the threshold."""
-    one = classes.select(F.col("doc_id").alias("_id")).distinct()
-    texts = docs.select("doc_id", "text").join(one, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    held = first_shingles(texts)
-    # ids that several rows share bring a set twice; what is equal is one
+def apart_pairs(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every pair (a, b) of sets in different components (``labels``) that can be at the
+    threshold, from their ``first_shingles``."""
     of = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    held = held.join(of, F.col("node") == F.col("_node"), "left").select("shingle", "node", "n", F.coalesce("_label", "node").alias("label"))
-    held = store(held, "first")
-    open_ = held.groupBy(F.col("shingle").alias("_s")).agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi").select("_s")
-    held = held.join(store(open_, "open"), F.col("shingle") == F.col("_s"), "left_semi").distinct()
-    held = store(held, "apart")
-    other = held.select(F.col("shingle").alias("_s"), F.col("node").alias("_b"), F.col("n").alias("_m"), F.col("label").alias("_l"))
-    near = F.least("n", "_m") * OF >= F.greatest("n", "_m") * MATCH
-    on = (F.col("shingle") == F.col("_s")) & (F.col("node") < F.col("_b")) & (F.col("label") != F.col("_l")) & near
-    return held.join(other, on).select(F.col("node").alias("a"), F.col("_b").alias("b")).distinct()
+    held = store(held.join(of, F.col("node") == F.col("_node"), "left").select("shingle", "node", "n", "rest", F.coalesce("_label", "node").alias("label")), "labelled")
+    # of a shingle's holders, those of its largest component meet others only
+    per = held.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_c"), F.min("n").alias("_n"), F.max("rest").alias("_r"))
+    open_ = per.groupBy(F.col("shingle").alias("_s")).agg(
+        F.max(F.struct("_c", "label"))["label"].alias("_most"), F.count(F.lit(1)).alias("_labels"), F.min("_n").alias("_least"), F.max("_r").alias("_rest")
+    ).filter("_labels > 1")
+    # what no holder can be near enough to is out: no partner is smaller than the least holder, or has more left than any
+    smallest = F.greatest(F.col("_least"), F.ceil(F.col("n") * MATCH / OF))
+    held = held.join(store(open_, "open"), F.col("shingle") == F.col("_s")).filter(_enough(F.col("n"), smallest, F.col("rest"), F.col("_rest")))
+    held = store(held.select("shingle", "node", "n", "rest", "label", (F.col("label") == F.col("_most")).alias("most")), "apart")
+    other = held.select(*[F.col(c).alias(f"_{c}") for c in held.columns])
+    on = (
+        (F.col("shingle") == F.col("_shingle")) & (F.col("label") != F.col("_label")) & (F.col("_most") | (F.col("node") < F.col("_node")))
+        & (F.least("n", "_n") * OF >= F.greatest("n", "_n") * MATCH) & _enough(F.col("n"), F.col("_n"), F.col("rest"), F.col("_rest"))
+    )
+    pairs = held.filter(~F.col("most")).join(other, on)
+    return pairs.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -393,7 +370,8 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     in_crowds = full_sets(docs, classes, crowded)
     # an id that several rows share brings sets of other classes too
     in_crowds = in_crowds.join(crowded, F.col("node") == F.col("n"), "left_semi")
-    pairs = candidates(classes).union(rare_pairs(in_crowds)).distinct()
+    held = first_shingles(in_crowds)
+    pairs = candidates(classes).union(rare_pairs(held)).distinct()
     pairs = store(likely(pairs, classes), "pairs")
     others = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().join(crowded.toDF("_c"), F.col("n") == F.col("_c"), "left_anti")
     others = store(others, "others")
@@ -413,11 +391,10 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     linked = sure.union(more)
     labels = labels if more.isEmpty() else components(linked)
     # checked pairs that were no link need not be checked again
-    left = store(apart_pairs(docs, classes, labels).join(pairs.toDF("_a", "_b", "_same"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "left")
+    left = store(apart_pairs(held, labels).join(pairs.toDF("_a", "_b", "_same"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "left")
     if left.isEmpty():
         return labels
-    nodes = store(left.select(F.col("a").alias("n")).union(left.select("b")).distinct(), "others")
-    last = store(confirmed(left, full_sets(docs, classes, nodes)), "links")
+    last = store(confirmed(left, in_crowds), "links")
     return labels if last.isEmpty() else components(linked.union(last))
 
 

@@ -214,3 +214,39 @@ def test_near_copies_without_ids_and_with_shared_ids(spark):
     assert got == {rows[3], rows[4], rows[5]}
     alone = spark.createDataFrame([(None, edited(1)), (None, edited(2))], "doc_id long, text string")
     assert alone.transform(near_dedup.drop_near_copies).count() == 1
+
+
+def test_apart_sets_are_joined_only_where_they_can_be_near(spark):
+    """Sets that share most shingles with a large group but differ in enough rare ones are
+    no candidates of its members; those that do not are, as are small components of each other."""
+    template, group, rows = [f"t{i}" for i in range(100)], 300, []
+
+    def holders(k: int, own: int, words: int, label: str):
+        rest = words - own  # all rarer shingles come before the shared one
+        return [(1, f"{label}{k}".encode(), words, rest, label.encode())]
+
+    for k in range(group):
+        rows += holders(k, 5, len(template), "grp")
+    rows += [x for k in range(50) for x in holders(k, 20, len(template), f"far{k}-")]
+    rows += holders(0, 10, len(template), "near") + holders(0, 12, len(template), "too")
+    held = spark.createDataFrame([(s, bytes(n), c, r) for s, n, c, r, _ in rows], "shingle long, node binary, n long, rest long")
+    labels = spark.createDataFrame([(bytes(n), bytes(label)) for _, n, _, _, label in rows if label == b"grp"], "node binary, label binary")
+    got = {(bytes(r.a), bytes(r.b)) for r in near_dedup.apart_pairs(held, labels).collect()}
+    alone = {b"near0", b"too0"}
+    want = {tuple(sorted((x, f"grp{k}".encode()))) for x in alone for k in range(group)} | {tuple(sorted(alone))}
+    assert got == want
+
+
+def test_first_shingles_count_exactly_and_keep_their_place(spark):
+    """Unique shingles take places of the prefix; common ones come last, by exact counts."""
+    import numpy as np
+
+    def member(k: int, own: int):
+        s = np.sort(np.array([*range(10_000, 10_100 - own), *(50_000 + 100 * k + i for i in range(own))], np.uint64))
+        return bytes([k]), s.tobytes()
+
+    sets = spark.createDataFrame([member(k, own) for k, own in enumerate([0, 10, 24, 30])], "node binary, members binary")
+    got = near_dedup.first_shingles(sets).collect()
+    taken = Counter(bytes(r.node)[0] for r in got)
+    assert taken == {0: 16, 1: 16, 2: 2}
+    assert {r.rest for r in got if bytes(r.node)[0] == 1} == set(range(75, 91))
