@@ -64,7 +64,7 @@ def test_pipeline_on_an_empty_table(spark):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_the_rest_imports_without_this_part():
