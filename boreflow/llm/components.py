@@ -1,9 +1,9 @@
 """Connected components of an edge table, by contraction with random priorities.
 
-In each round every node moves to its neighbour of smallest priority, if that
-is smaller than its own, and edges are contracted; priorities are drawn anew
-each round, so the edges left shrink by a constant factor whatever the shape
-(a chain of any length, a star of any size). Each round is a few joins and
+In each round every node moves to the node of smallest priority within two steps
+of it, and edges are contracted; priorities are drawn anew each round, so the edges
+left shrink by a constant factor whatever the shape (a chain of any length), and a
+star or a crowd of any size takes one round. Each round is a few joins and
 hash-partitioned aggregates; results are written to the shared folder.
 """
 
@@ -18,20 +18,26 @@ from .common import store
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b); equal labels, one component."""
     live = store(edges.select("a", "b").filter("a != b").distinct(), "edges")
-    labels = store(live.select(F.col("a").alias("node")).union(live.select("b")).distinct().withColumn("label", F.col("node")), "labels")
+    labels = live.select(F.col("a").alias("node"), F.col("b").alias("label"))  # of no edges: empty
     for turn in range(64):
         if live.isEmpty():
             return labels
 
-        def rank(c):
-            return F.xxhash64(F.lit(turn), c)
-
-        both = live.union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        best = both.groupBy("a").agg(F.min(F.struct(rank("b").alias("r"), F.col("b").alias("v"))).alias("m"))
-        hop = store(best.select(F.col("a").alias("old"), F.when(F.col("m.r") < rank("a"), F.col("m.v")).otherwise(F.col("a")).alias("new")), "hops")
-        labels = store(
-            labels.join(hop, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label")), "labels"
-        )
+        def ranked(c):
+            return F.struct(F.xxhash64(F.lit(turn), c).alias("r"), F.col(c).alias("v"))
+
+        sides = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = live.select(F.explode(sides).alias("e")).select("e.a", "e.b")
+        # stored before the join, so that its sides are plain shuffles and a hub can be split
+        near = both.groupBy("a").agg(F.min(ranked("b")).alias("m")).select(F.col("a").alias("node"), F.least("m", ranked("a")).alias("m"))
+        near = store(near, "nearest")
+        # a node is a neighbour of its neighbours, so its own smallest is among theirs
+        hop = both.join(near, F.col("b") == F.col("node")).groupBy("a").agg(F.min("m").alias("m"))
+        hop = store(hop.select(F.col("a").alias("old"), F.col("m.v").alias("new")), "hops")
+        if turn:
+            labels = store(labels.join(hop, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+        else:
+            labels = hop.toDF("node", "label")
         moved = live.join(hop, F.col("a") == F.col("old")).select(F.col("new").alias("a"), "b")
         moved = moved.join(hop, F.col("b") == F.col("old")).select("a", F.col("new").alias("b"))
         moved = moved.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -52,6 +52,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -221,26 +222,33 @@ def rare_pairs(held: DataFrame, rare: int = RARE) -> DataFrame:
     return close.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def crowded_nodes(classes: DataFrame, region: int = REGION) -> DataFrame:
-    """(n) of every class in a crowded region of some order."""
-    rows = forest(classes).select("tree", "node", _prefix(DEPTHS[0]).alias("p"))
-    shared = rows.groupBy(F.col("tree").alias("_tree"), F.col("p").alias("_p")).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > region)
-    shared = store(shared, "prefixes")
-    return store(rows.join(shared, (F.col("tree") == F.col("_tree")) & (F.col("p") == F.col("_p"))).select(F.col("node").alias("n")).distinct(), "crowded")
+class Forest(NamedTuple):
+    """Classes and the rows of their ``forest`` that share a prefix, with ``c``, how many share the first one."""
 
+    classes: DataFrame
+    rows: DataFrame
 
-def candidates(classes: DataFrame, region: int = REGION) -> DataFrame:
-    """Distinct pairs (a, b) of classes that are neighbours in some order."""
-    rows = forest(classes)
-    first = DEPTHS[0]
+
+def shared_forest(classes: DataFrame) -> Forest:
+    rows, first = forest(classes), _prefix(DEPTHS[0])
     # counts are stored before each join: its sides are then plain shuffles, and the
     # run-time planner can split a prefix that a large part of all classes share
-    shared = rows.groupBy("tree", _prefix(first).alias("_p")).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
-    shared = store(shared.withColumnRenamed("tree", "_tree"), "prefixes")
-    rows = rows.join(shared, (F.col("tree") == F.col("_tree")) & (_prefix(first) == F.col("_p"))).drop("_tree", "_p")
-    rows = store(rows.withColumnRenamed("_c", f"c{first}"), "forest")
-    settled = rows.filter(F.col(f"c{first}") <= region).select("tree", F.lit(first).alias("depth"), _prefix(first).alias("p"), F.lit(0).cast("long").alias("part"), "node", "n_shingles")
-    large = rows.filter(F.col(f"c{first}") > region)
+    shared = rows.groupBy(F.col("tree").alias("_tree"), first.alias("_p")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = store(shared, "prefixes")
+    return Forest(classes, store(rows.join(shared, (F.col("tree") == F.col("_tree")) & (first == F.col("_p"))).drop("_tree", "_p"), "forest"))
+
+
+def crowded_nodes(shared: Forest, region: int = REGION) -> DataFrame:
+    """(n) of every class in a crowded region of some order."""
+    return store(shared.rows.filter(F.col("c") > region).select(F.col("node").alias("n")).distinct(), "crowded")
+
+
+def candidates(shared: Forest, region: int = REGION) -> DataFrame:
+    """Distinct pairs (a, b) of classes that are neighbours in some order."""
+    classes, rows = shared
+    first, last = DEPTHS[0], DEPTHS[-1]
+    settled = rows.filter(F.col("c") <= region).select("tree", F.lit(first).alias("depth"), _prefix(first).alias("p"), F.lit(0).cast("long").alias("part"), "node", "n_shingles")
+    large = rows.filter(F.col("c") > region)
     # how common a class's full prefixes are, over all orders: largest at a centre
     deep = store(large.groupBy(F.col("tree").alias("_tree"), F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_c")), "prefixes")
     common = large.join(deep, (F.col("tree") == F.col("_tree")) & (F.col("key") == F.col("_key"))).groupBy(F.col("node").alias("_node")).agg(F.sum("_c").alias("_common"))
@@ -249,30 +257,29 @@ def candidates(classes: DataFrame, region: int = REGION) -> DataFrame:
     mins = classes.select(F.col("node").alias("_node"), "mins")
     following = F.expr(f"substring(mins, {4 * DEPTH} * ((tree + 1) % {TREES}) + 1, {4 * DEPTH})")
     large = large.join(mins, F.col("node") == F.col("_node")).withColumn("key", F.concat("key", following)).drop("_node", "mins")
-    large = store(large, "crowded")
-    counted, centres, picked = large, [], F.lit(None)
-    for d in DEPTHS:
-        found = large.groupBy(F.col("tree").alias("_tree"), _prefix(d).alias("_p")).agg(
-            F.count(F.lit(1)).alias(f"_c{d}"),
-            F.max(F.struct("_common", "node", "n_shingles")).alias(f"_m{d}"),
-            F.min(F.struct(F.xxhash64("tree", "node").alias("h"), "node", "n_shingles")).alias(f"_r{d}"),
-        )
-        found = store(found, "prefixes")
-        counted = counted.join(found, (F.col("tree") == F.col("_tree")) & (_prefix(d) == F.col("_p"))).drop("_tree", "_p")
-        crowded = F.col(f"_c{d}") > region
-
-        def member(c: str):
-            return F.struct(F.col(f"{c}.node").alias("node"), F.col(f"{c}.n_shingles").alias("n"))
-
-        centres.append(F.when(crowded, member(f"_m{d}")))
-        picked = F.when(crowded, member(f"_r{d}")).otherwise(picked)
-    depth = F.coalesce(*[F.when(F.col(f"_c{d}") <= region, F.lit(d)) for d in DEPTHS], F.lit(DEPTHS[-1]))
-    crowd = F.col(f"_c{DEPTHS[-1]}")
-    part = F.when(crowd > region, F.pmod(F.xxhash64("node", "tree"), F.ceil(crowd * 2 / region))).otherwise(F.lit(0).cast("long"))
-    counted = store(
-        counted.select("tree", "node", "n_shingles", "key", depth.alias("depth"), part.alias("part"), F.array_compact(F.array_distinct(F.array(*centres, picked))).alias("centres")),
-        "regions",
+    large = store(large.select("tree", "node", "n_shingles", "key", "_common"), "crowded")
+    # the crowded prefixes of all depths at once, each with its centre and a member picked by hash
+    at, p = large.withColumn("depth", F.explode(F.array(*map(F.lit, DEPTHS)))), F.expr("substring(key, 1, 4 * depth)")
+    found = at.groupBy(F.col("tree").alias("_tree"), F.col("depth").alias("_depth"), p.alias("_p")).agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.max(F.struct("_common", "node", "n_shingles")).alias("_m"),
+        F.min(F.struct(F.xxhash64("tree", "node").alias("h"), "node", "n_shingles")).alias("_r"),
+    )
+    found = store(found.filter(F.col("_c") > region), "prefixes")
+
+    def member(c: str):
+        return F.struct(F.col(f"{c}.node").alias("node"), F.col(f"{c}.n_shingles").alias("n"))
+
+    met = at.drop("_common").join(found, (F.col("tree") == F.col("_tree")) & (F.col("depth") == F.col("_depth")) & (p == F.col("_p")))
+    # a prefix is at most as common as a shorter one, so the depths that are crowded come first
+    counted = met.groupBy("tree", "node", "n_shingles", "key").agg(
+        F.max("depth").alias("_crowded"), F.max(F.when(F.col("depth") == last, F.col("_c"))).alias("_crowd"),
+        F.collect_list(member("_m")).alias("_centres"), F.max_by(member("_r"), "depth").alias("_picked"),
     )
+    depth = F.coalesce(*[F.when(F.col("_crowded") == d, F.lit(then)) for d, then in zip(DEPTHS, DEPTHS[1:])], F.lit(last))
+    part = F.when(F.col("_crowd") > region, F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("_crowd") * 2 / region))).otherwise(F.lit(0).cast("long"))
+    centres = F.array_distinct(F.array_append("_centres", F.col("_picked")))
+    counted = store(counted.select("tree", "node", "n_shingles", "key", depth.alias("depth"), part.alias("part"), centres.alias("centres")), "regions")
     deeper = counted.select("tree", "depth", F.expr("substring(key, 1, 4 * depth)").alias("p"), "part", "node", "n_shingles")
     stars = (
         counted.select("node", "n_shingles", F.explode("centres").alias("c"))
@@ -366,12 +373,13 @@ def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, label) of every class that a confirmed link reaches."""
-    crowded = crowded_nodes(classes)
+    shared = shared_forest(classes)
+    crowded = crowded_nodes(shared)
     in_crowds = full_sets(docs, classes, crowded)
     # an id that several rows share brings sets of other classes too
     in_crowds = in_crowds.join(crowded, F.col("node") == F.col("n"), "left_semi")
     held = first_shingles(in_crowds)
-    pairs = candidates(classes).union(rare_pairs(held)).distinct()
+    pairs = candidates(shared).union(rare_pairs(held)).distinct()
     pairs = store(likely(pairs, classes), "pairs")
     others = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().join(crowded.toDF("_c"), F.col("n") == F.col("_c"), "left_anti")
     others = store(others, "others")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 from collections import Counter, defaultdict
 
 import duckdb
@@ -149,6 +150,26 @@ def test_components(spark):
     assert len(pairs) == len({p[0] for p in pairs}) == len({p[1] for p in pairs})
 
 
+def test_stars_and_crowds_contract_in_one_round(spark, monkeypatch):
+    """Each round is several shuffles: a hub's links, in whatever order its links fall, need one."""
+    module, rounds = sys.modules[components.__module__], []
+    monkeypatch.setattr(module, "store", lambda df, name, f=module.store: rounds.append(name) or f(df, name))
+    edges = [(0, i) for i in range(1, 400)] + [(1000 + i, 1000 + j) for i in range(30) for j in range(i)]
+    labels = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert rounds.count("hops") == 1
+    assert len(labels) == 430 and len({r.label for r in labels}) == 2 and len({(r.node < 1000, r.label) for r in labels}) == 2
+
+
+def test_crowded_regions_of_all_depths_take_one_pass(spark, monkeypatch):
+    """A crowd's prefixes are counted for all depths together, and its centre and deepest regions are as before."""
+    stored = []
+    monkeypatch.setattr(near_dedup, "store", lambda df, name, keep=False, f=near_dedup.store: stored.append(name) or f(df, name, keep))
+    docs = spark.createDataFrame([(k, edited(k)) for k in range(60)] + [(200, " ".join(BASE)), (201, "a text far from the others")], "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs).collect())
+    assert got == near_groups([tuple(r) for r in docs.collect()])
+    assert stored.count("prefixes") == 3 and stored.count("forest") == 1
+
+
 def brute_lines(rows):
     seen, covered = {}, defaultdict(set)
     docs = sorted({(i is None, i or 0, hashlib.md5(t.encode()).hexdigest(), t) for i, t in rows if t is not None})
