@@ -76,6 +76,42 @@ def test_month_versions_equal_the_whole_table(spark):
     assert rows(got, *cols) == rows(dims.dim_scd2(frame), *cols)
 
 
+def _typed_days(spark, wells=("a", "b", None)):
+    rng = random.Random(11)
+    data = [(w, START + timedelta(d), rng.choice(["OP", "WI", None]), rng.choice(["f1", None]), "p")
+            for w in wells for d in range(0, 120 if w else 25, 3) if rng.random() < 0.8]
+    return spark.createDataFrame(data, "well_name string, prod_date date, well_type string, field_name string, facility_name string")
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange")
+
+
+def test_versions_of_touched_wells_take_one_shuffle(spark):
+    days = _typed_days(spark)
+    summary = mergeable.month_versions(days).checkpoint()
+    last = max(r.month_start for r in summary.collect())  # the well without a name has no row in it
+    got = mergeable.merge_versions(summary, touched=[last])
+    whole = mergeable.merge_versions(summary)
+    assert rows(got) == rows(whole.where("well_name IS NOT NULL")) and rows(whole) != rows(got)
+    assert _exchanges(got) == 1
+    keyed = mergeable.keep_keys(got, mergeable.keep_keys(whole, None, 0), 1000)
+    assert keyed.columns == ["well_surrogate_key", *got.columns] and rows(keyed.drop("well_surrogate_key")) == rows(got)
+    assert keyed.where("well_surrogate_key > 1000").isEmpty()
+
+
+def test_summaries_laid_out_by_month_are_not_moved_again(spark, monkeypatch, tmpdir_path):
+    from boreflow.sources import sinks
+
+    days = _typed_days(spark).withColumn("month_start", F.trunc("prod_date", "month"))
+    monkeypatch.setattr(sinks, "TASK_ROWS", 10)
+    got = mergeable.month_versions(days, laid=lambda x: sinks.by_slot(x, ["month_start"], ["well_name"], 90, 30), layout=[sinks.SLOT])
+    assert _exchanges(got) == 1
+    sinks.write_partitions(got, f"{tmpdir_path}/v", ["month_start"])
+    want = mergeable.month_versions(days)
+    assert rows(spark.read.schema(want.schema).parquet(f"{tmpdir_path}/v").select(*want.columns)) == rows(want)
+
+
 def version(w, a, b, t="OP", n=1, f="f"):
     return (w, t, f, "p", n, START + timedelta(a), START + timedelta(b), False)
 
