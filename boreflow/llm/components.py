@@ -43,3 +43,16 @@ def components(edges: DataFrame) -> DataFrame:
         moved = moved.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         live = store(moved.distinct(), "edges")
     raise RuntimeError("components did not converge")
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after further ``edges`` (a, b), new nodes included: what
+    is one component already is one node, so only edges between components are contracted."""
+    of = labels.toDF("_node", "_label")
+    between = edges.select("a", "b").join(of, F.col("a") == F.col("_node"), "left").select(F.coalesce("_label", "a").alias("a"), "b")
+    between = between.join(of, F.col("b") == F.col("_node"), "left").select("a", F.coalesce("_label", "b").alias("b"))
+    moved = components(between).toDF("_old", "_new")
+    known = labels.join(moved, F.col("label") == F.col("_old"), "left").select("node", F.coalesce("_new", "label").alias("label"))
+    # a label is one of its nodes, so what is no node yet is new
+    new = moved.join(of, F.col("_old") == F.col("_node"), "left_anti").select(F.col("_old").alias("node"), F.col("_new").alias("label"))
+    return store(known.union(new), "labels")

@@ -60,7 +60,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare_workers, store, table, temporary, wrapped
-from .components import components
+from .components import components, merged
 
 WORDS = 5
 TREES, DEPTH = 16, 8
@@ -396,14 +396,13 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     rest = rest.join(of.toDF("_na", "_la"), F.col("a") == F.col("_na"), "left").join(of.toDF("_nb", "_lb"), F.col("b") == F.col("_nb"), "left")
     rest = rest.filter(~F.col("_la").eqNullSafe(F.col("_lb")) | F.col("_la").isNull()).select("a", "b")
     more = store(confirmed(rest, sets), "links")
-    linked = sure.union(more)
-    labels = labels if more.isEmpty() else components(linked)
+    labels = labels if more.isEmpty() else merged(labels, more)
     # checked pairs that were no link need not be checked again
     left = store(apart_pairs(held, labels).join(pairs.toDF("_a", "_b", "_same"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "left")
     if left.isEmpty():
         return labels
     last = store(confirmed(left, in_crowds), "links")
-    return labels if last.isEmpty() else components(linked.union(last))
+    return labels if last.isEmpty() else merged(labels, last)
 
 
 def labelled(docs: DataFrame) -> DataFrame:

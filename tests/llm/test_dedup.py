@@ -10,7 +10,7 @@ import duckdb
 
 from boreflow.llm import exact_dedup, line_dedup, near_dedup
 from boreflow.llm.common import shared_path, table
-from boreflow.llm.components import components
+from boreflow.llm.components import components, merged
 
 from .helpers import BASE, SCHEMA, TEXTS, edited, empty, fixture, near_groups
 
@@ -160,6 +160,20 @@ def test_stars_and_crowds_contract_in_one_round(spark, monkeypatch):
     assert len(labels) == 430 and len({r.label for r in labels}) == 2 and len({(r.node < 1000, r.label) for r in labels}) == 2
 
 
+def test_further_edges_contract_only_what_is_apart(spark, monkeypatch):
+    module, sizes = sys.modules[components.__module__], []
+    frame = lambda e: spark.createDataFrame(e, "a long, b long")
+    labels = components(frame([(0, i) for i in range(1, 50)] + [(100, 101), (101, 102), (200, 201)])).checkpoint()
+    monkeypatch.setattr(module, "store", lambda df, name, f=module.store: sizes.append((name, df.count())) or f(df, name))
+    # inside one component, between two (three times), new nodes alone and with a component, a loop
+    more = [(3, 4), (5, 100), (6, 101), (7, 102), (300, 301), (302, 200), (9, 9)]
+    got = {r.node: r.label for r in merged(labels, frame(more)).collect()}
+    groups = Counter(got.values())
+    assert sorted(groups.values()) == [2, 3, 53] and len(got) == 58
+    assert len({got[i] for i in (0, 49, 100, 102)}) == 1 and got[302] == got[201] and got[300] == got[301]
+    assert sizes[0] == ("edges", 3)
+
+
 def test_crowded_regions_of_all_depths_take_one_pass(spark, monkeypatch):
     """A crowd's prefixes are counted for all depths together, and its centre and deepest regions are as before."""
     stored = []
