@@ -24,6 +24,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 16 << 20
 
 
+#: Rows of a stored result that one task writes, if about so many are known to come.
+TASK_ROWS = 16_384
+
 #: Folders stored inside ``temporary``, innermost last.
 _TEMPORARY: list[list[str]] = []
 
@@ -62,6 +65,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which makes or takes in about ``rows`` rows, to be stored: a small result is
+    written by few tasks, however many partitions the shuffles have, a large one as it lies."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage is cut and a lost executor re-reads files instead of recomputing."""

@@ -59,7 +59,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare_workers, store, table, temporary, wrapped
+from .common import few, prepare_workers, store, table, temporary, wrapped
 from .components import components, merged
 
 WORDS = 5
@@ -71,6 +71,8 @@ REGION = 12
 RARE = 32
 AGREE = 0.55
 MATCH, OF = 75, 100
+#: A row with a set weighs so many plain rows where tasks are sized.
+HEAVY = 16
 CACHE = 200_000
 BLOCK = 4096
 
@@ -202,15 +204,17 @@ def first_shingles(sets: DataFrame) -> DataFrame:
     threshold can miss and one more; those that no other set holds take their place but are
     left out. ``c`` sets hold the shingle; ``rest`` shingles of the set come from it on."""
     held = sets.mapInArrow(_shingles, "shingle long, node binary, n long")
+    many = sets.agg(F.sum(F.length("members"))).first()[0] or 0
+    many //= 8
     counts = held.groupBy(F.col("shingle").alias("_s")).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     # stored, so that the join's sides are plain shuffles: a common shingle has many rows on the left
-    counts = store(counts, "counts")
+    counts = store(few(counts, many), "counts")
     shared = held.join(counts, F.col("shingle") == F.col("_s")).select("shingle", "node", "n", F.col("_c").alias("c"))
     by_set = shared.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("c", "shingle"))).alias("s"))
     can_miss = F.col("n") - F.ceil(F.col("n") * MATCH / OF)
     taken = F.slice("s", F.lit(1), F.greatest(F.lit(0), can_miss + 1 - (F.col("n") - F.size("s"))).cast("int"))
     places = by_set.select("node", "n", F.size("s").alias("_size"), F.posexplode(taken).alias("_at", "s"))
-    return store(places.select("s.shingle", "node", "n", "s.c", (F.col("_size") - F.col("_at")).cast("long").alias("rest")), "first")
+    return store(few(places.select("s.shingle", "node", "n", "s.c", (F.col("_size") - F.col("_at")).cast("long").alias("rest")), many), "first")
 
 
 def rare_pairs(held: DataFrame, rare: int = RARE) -> DataFrame:
@@ -234,13 +238,14 @@ def shared_forest(classes: DataFrame) -> Forest:
     # counts are stored before each join: its sides are then plain shuffles, and the
     # run-time planner can split a prefix that a large part of all classes share
     shared = rows.groupBy(F.col("tree").alias("_tree"), first.alias("_p")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    shared = store(shared, "prefixes")
-    return Forest(classes, store(rows.join(shared, (F.col("tree") == F.col("_tree")) & (first == F.col("_p"))).drop("_tree", "_p"), "forest"))
+    many = TREES * classes.count()
+    shared = store(few(shared, many), "prefixes")
+    return Forest(classes, store(few(rows.join(shared, (F.col("tree") == F.col("_tree")) & (first == F.col("_p"))).drop("_tree", "_p"), many), "forest"))
 
 
 def crowded_nodes(shared: Forest, region: int = REGION) -> DataFrame:
     """(n) of every class in a crowded region of some order."""
-    return store(shared.rows.filter(F.col("c") > region).select(F.col("node").alias("n")).distinct(), "crowded")
+    return store(few(shared.rows.filter(F.col("c") > region).select(F.col("node").alias("n")).distinct(), shared.rows.count()), "crowded")
 
 
 def candidates(shared: Forest, region: int = REGION) -> DataFrame:
@@ -249,15 +254,16 @@ def candidates(shared: Forest, region: int = REGION) -> DataFrame:
     first, last = DEPTHS[0], DEPTHS[-1]
     settled = rows.filter(F.col("c") <= region).select("tree", F.lit(first).alias("depth"), _prefix(first).alias("p"), F.lit(0).cast("long").alias("part"), "node", "n_shingles")
     large = rows.filter(F.col("c") > region)
+    many = large.count()
     # how common a class's full prefixes are, over all orders: largest at a centre
-    deep = store(large.groupBy(F.col("tree").alias("_tree"), F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_c")), "prefixes")
+    deep = store(few(large.groupBy(F.col("tree").alias("_tree"), F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_c")), many), "prefixes")
     common = large.join(deep, (F.col("tree") == F.col("_tree")) & (F.col("key") == F.col("_key"))).groupBy(F.col("node").alias("_node")).agg(F.sum("_c").alias("_common"))
     large = large.join(common, F.col("node") == F.col("_node")).drop("_node")
     # crowded classes are followed through the next order's hashes as well
     mins = classes.select(F.col("node").alias("_node"), "mins")
     following = F.expr(f"substring(mins, {4 * DEPTH} * ((tree + 1) % {TREES}) + 1, {4 * DEPTH})")
     large = large.join(mins, F.col("node") == F.col("_node")).withColumn("key", F.concat("key", following)).drop("_node", "mins")
-    large = store(large.select("tree", "node", "n_shingles", "key", "_common"), "crowded")
+    large = store(few(large.select("tree", "node", "n_shingles", "key", "_common"), many), "crowded")
     # the crowded prefixes of all depths at once, each with its centre and a member picked by hash
     at, p = large.withColumn("depth", F.explode(F.array(*map(F.lit, DEPTHS)))), F.expr("substring(key, 1, 4 * depth)")
     found = at.groupBy(F.col("tree").alias("_tree"), F.col("depth").alias("_depth"), p.alias("_p")).agg(
@@ -265,7 +271,7 @@ def candidates(shared: Forest, region: int = REGION) -> DataFrame:
         F.max(F.struct("_common", "node", "n_shingles")).alias("_m"),
         F.min(F.struct(F.xxhash64("tree", "node").alias("h"), "node", "n_shingles")).alias("_r"),
     )
-    found = store(found.filter(F.col("_c") > region), "prefixes")
+    found = store(few(found.filter(F.col("_c") > region), len(DEPTHS) * many), "prefixes")
 
     def member(c: str):
         return F.struct(F.col(f"{c}.node").alias("node"), F.col(f"{c}.n_shingles").alias("n"))
@@ -279,7 +285,7 @@ def candidates(shared: Forest, region: int = REGION) -> DataFrame:
     depth = F.coalesce(*[F.when(F.col("_crowded") == d, F.lit(then)) for d, then in zip(DEPTHS, DEPTHS[1:])], F.lit(last))
     part = F.when(F.col("_crowd") > region, F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("_crowd") * 2 / region))).otherwise(F.lit(0).cast("long"))
     centres = F.array_distinct(F.array_append("_centres", F.col("_picked")))
-    counted = store(counted.select("tree", "node", "n_shingles", "key", depth.alias("depth"), part.alias("part"), centres.alias("centres")), "regions")
+    counted = store(few(counted.select("tree", "node", "n_shingles", "key", depth.alias("depth"), part.alias("part"), centres.alias("centres")), len(DEPTHS) * many), "regions")
     deeper = counted.select("tree", "depth", F.expr("substring(key, 1, 4 * depth)").alias("p"), "part", "node", "n_shingles")
     stars = (
         counted.select("node", "n_shingles", F.explode("centres").alias("c"))
@@ -340,7 +346,8 @@ def apart_pairs(held: DataFrame, labels: DataFrame) -> DataFrame:
     """Every pair (a, b) of sets in different components (``labels``) that can be at the
     threshold, from their ``first_shingles``."""
     of = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    held = store(held.join(of, F.col("node") == F.col("_node"), "left").select("shingle", "node", "n", "rest", F.coalesce("_label", "node").alias("label")), "labelled")
+    many = held.count()
+    held = store(few(held.join(of, F.col("node") == F.col("_node"), "left").select("shingle", "node", "n", "rest", F.coalesce("_label", "node").alias("label")), many), "labelled")
     # of a shingle's holders, those of its largest component meet others only
     per = held.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_c"), F.min("n").alias("_n"), F.max("rest").alias("_r"))
     open_ = per.groupBy(F.col("shingle").alias("_s")).agg(
@@ -348,8 +355,8 @@ def apart_pairs(held: DataFrame, labels: DataFrame) -> DataFrame:
     ).filter("_labels > 1")
     # what no holder can be near enough to is out: no partner is smaller than the least holder, or has more left than any
     smallest = F.greatest(F.col("_least"), F.ceil(F.col("n") * MATCH / OF))
-    held = held.join(store(open_, "open"), F.col("shingle") == F.col("_s")).filter(_enough(F.col("n"), smallest, F.col("rest"), F.col("_rest")))
-    held = store(held.select("shingle", "node", "n", "rest", "label", (F.col("label") == F.col("_most")).alias("most")), "apart")
+    held = held.join(store(few(open_, many), "open"), F.col("shingle") == F.col("_s")).filter(_enough(F.col("n"), smallest, F.col("rest"), F.col("_rest")))
+    held = store(few(held.select("shingle", "node", "n", "rest", "label", (F.col("label") == F.col("_most")).alias("most")), many), "apart")
     other = held.select(*[F.col(c).alias(f"_{c}") for c in held.columns])
     on = (
         (F.col("shingle") == F.col("_shingle")) & (F.col("label") != F.col("_label")) & (F.col("_most") | (F.col("node") < F.col("_node")))
@@ -361,63 +368,70 @@ def apart_pairs(held: DataFrame, labels: DataFrame) -> DataFrame:
 
 def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, members): the sets of the classes ``nodes`` (n), from their texts."""
+    many = HEAVY * nodes.count()
     nodes = nodes.select(F.col("n").alias("_n"))
     wanted = classes.join(nodes, F.col("node") == F.col("_n"), "left_semi").select(F.col("doc_id").alias("_id")).distinct()
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     made = texts.mapInArrow(_sets, "node binary, members binary")
     # an id that several rows share can bring sets nobody asked for, or one twice
-    made = store(made, "sets")
+    made = store(few(made, many), "sets")
     twice = made.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return made if twice.isEmpty() else store(made.dropDuplicates(["node"]), "sets")
+    return made if twice.isEmpty() else store(few(made.dropDuplicates(["node"]), many), "sets")
 
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, label) of every class that a confirmed link reaches."""
-    shared = shared_forest(classes)
+    shared, many = shared_forest(classes), classes.count()
     crowded = crowded_nodes(shared)
     in_crowds = full_sets(docs, classes, crowded)
     # an id that several rows share brings sets of other classes too
     in_crowds = in_crowds.join(crowded, F.col("node") == F.col("n"), "left_semi")
     held = first_shingles(in_crowds)
     pairs = candidates(shared).union(rare_pairs(held)).distinct()
-    pairs = store(likely(pairs, classes), "pairs")
+    # a class has a few candidates, each with two signatures
+    pairs = store(few(likely(pairs, classes), HEAVY * many), "pairs")
+    tried = HEAVY * pairs.count()
     others = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().join(crowded.toDF("_c"), F.col("n") == F.col("_c"), "left_anti")
-    others = store(others, "others")
+    others = store(few(others, many), "others")
     outside = full_sets(docs, classes, others).join(others, F.col("node") == F.col("n"), "left_semi")
     sets = in_crowds.union(outside)
     sided = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "same").union(pairs.select("b", "a", "same"))
     best = sided.groupBy("x").agg(F.max(F.struct("same", "y")).alias("m"))
     best = best.select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b")).distinct()
-    sure = store(confirmed(best, sets), "links")
-    labels = components(sure)
+    sure = store(few(confirmed(best, sets), tried), "links")
+    labels = components(sure, sure.count())
     # what the first links connect needs no further check
     of = labels.toDF("_node", "_label")
     rest = pairs.join(best.toDF("_ba", "_bb"), (F.col("a") == F.col("_ba")) & (F.col("b") == F.col("_bb")), "left_anti")
     rest = rest.join(of.toDF("_na", "_la"), F.col("a") == F.col("_na"), "left").join(of.toDF("_nb", "_lb"), F.col("b") == F.col("_nb"), "left")
     rest = rest.filter(~F.col("_la").eqNullSafe(F.col("_lb")) | F.col("_la").isNull()).select("a", "b")
-    more = store(confirmed(rest, sets), "links")
-    labels = labels if more.isEmpty() else merged(labels, more)
+    more = store(few(confirmed(rest, sets), tried), "links")
+    found = more.count()
+    labels = merged(labels, more, found) if found else labels
     # checked pairs that were no link need not be checked again
-    left = store(apart_pairs(held, labels).join(pairs.toDF("_a", "_b", "_same"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "left")
-    if left.isEmpty():
+    left = store(few(apart_pairs(held, labels).join(pairs.toDF("_a", "_b", "_same"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), tried), "left")
+    unchecked = left.count()
+    if not unchecked:
         return labels
-    last = store(confirmed(left, in_crowds), "links")
-    return labels if last.isEmpty() else merged(labels, last)
+    last = store(few(confirmed(left, in_crowds), HEAVY * unchecked), "links")
+    found = last.count()
+    return merged(labels, last, found) if found else labels
 
 
 def labelled(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, own, n_shingles, label (of its component; NULL without shingles)."""
     signed = store(signatures(docs), "signatures")
+    many = signed.count()
     # equal sets have equal signatures, so these group by the node alone
     classes = store(
-        signed.filter(F.col("node").isNotNull()).groupBy("node", "n_shingles", "mins").agg(F.min("doc_id").alias("doc_id")), "classes"
+        few(signed.filter(F.col("node").isNotNull()).groupBy("node", "n_shingles", "mins").agg(F.min("doc_id").alias("doc_id")), many), "classes"
     )
     with temporary(docs.sparkSession):
-        labels = store(links(docs, classes).toDF("_node", "_label"), "components", keep=True)
+        labels = store(few(links(docs, classes).toDF("_node", "_label"), many), "components", keep=True)
     joined = signed.filter(F.col("node").isNotNull()).join(labels, F.col("node") == F.col("_node"), "left")
     joined = joined.select("doc_id", "own", "n_shingles", F.coalesce("_label", "node").alias("label"))
     # documents without shingles stand alone: kept out of the joins, where their NULL would be one key
-    return store(joined.union(signed.filter(F.col("node").isNull()).select("doc_id", "own", "n_shingles", "node")), "labelled")
+    return store(few(joined.union(signed.filter(F.col("node").isNull()).select("doc_id", "own", "n_shingles", "node")), many), "labelled")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -425,7 +439,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     rows = labelled(docs)
     linked, alone = rows.filter(F.col("label").isNotNull()), rows.filter(F.col("label").isNull())
     # stored before the join, so that its sides are plain shuffles and a large group can be split
-    least = store(linked.groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("component_id")), "least")
+    least = store(few(linked.groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("component_id")), rows.count()), "least")
     found = linked.join(least, F.col("label") == F.col("_label")).select("doc_id", "n_shingles", "component_id")
     found = found.union(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -439,7 +453,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "own")).alias("m")
         kept = rows.filter(F.col("label").isNotNull()).groupBy("label").agg(first).select("m.doc_id", "m.own")
         kept = kept.union(rows.filter(F.col("label").isNull()).select("doc_id", "own")).distinct()
-        kept = store(kept.toDF("_id", "_own"), "kept", keep=True)
+        kept = store(few(kept.toDF("_id", "_own"), rows.count()), "kept", keep=True)
     tagged = wrapped(docs).withColumn("own", text_hash(F.col("row.text")))
     on = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_own"))
     return tagged.join(kept, on, "left_semi").select("row.*")

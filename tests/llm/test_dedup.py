@@ -285,3 +285,23 @@ def test_first_shingles_count_exactly_and_keep_their_place(spark):
     taken = Counter(bytes(r.node)[0] for r in got)
     assert taken == {0: 16, 1: 16, 2: 2}
     assert {r.rest for r in got if bytes(r.node)[0] == 1} == set(range(75, 91))
+
+
+def test_small_results_are_written_by_few_tasks(spark):
+    """However many partitions the shuffles have: each file of a small table is a task of this and of later steps."""
+    settings = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    most = 2 * spark.sparkContext.defaultParallelism
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        labels = components(spark.createDataFrame([(i, i + 1 + i % 3) for i in range(2000)], "a long, b long"))
+        docs = spark.createDataFrame([(k, edited(k)) for k in range(300)], "doc_id long, text string")
+        classes = near_dedup.signatures(docs).select("node", "n_shingles", "mins").checkpoint()
+        shared = near_dedup.shared_forest(classes)
+        files = [len(x.inputFiles()) for x in (labels, shared.rows, near_dedup.crowded_nodes(shared))]
+        assert labels.count() == 2002 and shared.rows.count() > 150
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert max(files) <= most < 150
