@@ -368,7 +368,7 @@ def apart_pairs(held: DataFrame, labels: DataFrame) -> DataFrame:
 
 def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, members): the sets of the classes ``nodes`` (n), from their texts."""
-    many = HEAVY * nodes.count()
+    many = HEAVY * docs.count()  # the join takes in all texts
     nodes = nodes.select(F.col("n").alias("_n"))
     wanted = classes.join(nodes, F.col("node") == F.col("_n"), "left_semi").select(F.col("doc_id").alias("_id")).distinct()
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
