@@ -70,6 +70,9 @@ def test_ranking_ties_nulls_and_partitions(spark):
     rn = global_row_number(df, [F.col("v").desc_nulls_last(), F.col("well_name")], partitions=5)
     ref_rn = df.select("well_name", F.row_number().over(w).alias("row_number"))
     assert {r.well_name: r.row_number for r in rn.collect()} == {r.well_name: r.row_number for r in ref_rn.collect()}
+    # rows are numbered where they lie: only the summary of the partitions is shuffled
+    plan = rn._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number(" not in plan and plan.count("Window") == 1, plan
 
 
 def test_value_ranking_share_ends_at_one(spark):

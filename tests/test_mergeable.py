@@ -133,6 +133,43 @@ def test_keys_of_untouched_split_and_joined_versions(spark):
     assert sorted([second[("a", at(41))], second[("a", at(51))]]) == [5, 6]
 
 
+def test_versions_of_other_entities_are_copied_with_their_keys(spark, monkeypatch):
+    frame = lambda data: spark.createDataFrame(data, VERSIONS)
+    data = [version("a", 0, 9), version("a", 10, 19, "WI", 2), version("b", 0, 9), version(None, 0, 5), version(None, 6, 9, None, 2), version("c", 3, 4, f=None)]
+    old = mergeable.keep_keys(frame(data), None, 0).checkpoint()
+    # a's first version is split, its second gone; c moves before its start; the others have no new version
+    new = frame([version("a", 0, 4), version("a", 5, 6, "WI", 2), version("a", 7, 9, n=3), version("a", 10, 12, None, 4), version("c", 1, 3, f=None)])
+    alone = mergeable.keep_keys(new, old, 6)
+    monkeypatch.setattr(type(old), "join", lambda *a, **k: pytest.fail("versions and keys meet without a join"))
+    known = []
+    monkeypatch.setattr(mergeable, "global_row_number", lambda df, order, out: known.append(df.count()) or df.withColumn(out, F.lit(1)))
+    both = mergeable.keep_keys(new, old, 6, copied=True)
+    assert known == [3]
+    monkeypatch.undo()
+    both = mergeable.keep_keys(new, old, 6, copied=True)
+    assert both.columns == old.columns and both.schema == old.schema
+    assert rows(both) == rows(alone.unionByName(old.where("well_name = 'b' OR well_name IS NULL")))
+    was = {(r.well_name, r.effective_start_date): r.well_surrogate_key for r in old.collect()}
+    now = {(r.well_name, r.effective_start_date): r.well_surrogate_key for r in both.collect()}
+    at = lambda d: START + timedelta(d)
+    assert now[("a", at(0))] == was[("a", at(0))] and now[("c", at(1))] == was[("c", at(3))]
+    assert [now[("a", at(d))] for d in (5, 7, 10)] == [7, 8, 9]
+    # an earlier table without rows, and no new version at all
+    assert rows(mergeable.keep_keys(new, old.limit(0), 6, copied=True).drop("well_surrogate_key")) == rows(new)
+    assert rows(mergeable.keep_keys(new.limit(0), old, 6, copied=True)) == rows(old)
+
+
+def test_current_version_with_two_attributes(spark):
+    """The last version has two rows if an attribute changes inside it: the greater one is current."""
+    data = [("a", START + timedelta(d), "OP", f, "p") for d, f in ((0, "z"), (40, "x"), (41, "y"), (80, "x"))]
+    data += [("b", START, "OP", "x", "p"), ("b", START + timedelta(40), None, None, "p"), ("b", START + timedelta(40), None, "x", None)]
+    frame = spark.createDataFrame(data, "well_name string, prod_date date, well_type string, field_name string, facility_name string")
+    got = mergeable.merge_versions(mergeable.month_versions(frame))
+    cols = ["well_name", "well_type", "field_name", "facility_name", "effective_start_date", "effective_end_date", "is_current"]
+    assert rows(got, *cols) == rows(dims.dim_scd2(frame), *cols)
+    assert got.where("is_current").count() == 2
+
+
 def test_signed_sums_take_out_what_they_put_in(spark):
     schema = "k string, oil decimal(18,5), is_shutin boolean"
     from decimal import Decimal as D
