@@ -207,6 +207,22 @@ def test_refreshed_months_only(spark, tmpdir_path, monkeypatch):
     assert "2020-03-01" not in scan and "2020-01-01" not in scan
 
 
+def test_dimensions_read_the_summaries_once(spark, tmpdir_path, monkeypatch):
+    import boreflow.streaming.refresh as module
+
+    price, fx = _series(spark, [("2020-01-01", 50)], [("2020-01-01", 9)])
+    table = SnapshotTable(spark, os.path.join(tmpdir_path, "s"), ["month_start"])
+    land_silver(_rows(spark, [(w, (START + timedelta(d)).isoformat(), "OP", 5) for w in ("A", None) for d in (0, 40, 41)]), table)
+    r = GoldRefresh(spark, table, os.path.join(tmpdir_path, "g"), os.path.join(tmpdir_path, "c"), price, fx)
+    read, real = {}, module.write_replace
+    monkeypatch.setattr(module, "write_replace", lambda df, path, *a: read.setdefault(path.split("/")[-1], df.inputFiles()) and False or real(df, path, *a))
+    r.run()
+    assert [n for n, files in read.items() if any("well_month_versions" in f for f in files) and n.startswith("dim")] == ["dim_well_scd1"]
+    silver = table.read().drop("month_start")
+    for name, want in (("dim_well", dims.dim_latest(silver)), ("dim_well_scd1", dims.dim_scd1(silver)), ("dim_date", dims.calendar(silver))):
+        assert rows(spark.read.parquet(r.path(name)).select(*want.columns)) == rows(want), name
+
+
 def full(spark, r, table):
     silver = table.read().drop("month_start")
     spine = silver.select(F.col("prod_date").alias("cal_date"))
